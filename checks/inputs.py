@@ -67,7 +67,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def test_model(spark: SparkSession) -> LinearModel:
-    return LinearModel(spark.createDataFrame(WEIGHTS, "term string, weight double, idf double"), BIAS)
+    rows = F.array(
+        *[
+            F.struct(F.lit(t).alias("term"), F.lit(w).alias("weight"), F.lit(i).alias("idf"))
+            for t, w, i in WEIGHTS
+        ]
+    )
+    return LinearModel(spark.range(1).select(F.inline(rows)), BIAS)
 
 
 def _phrase(index) -> F.Column:
@@ -128,10 +134,13 @@ def manual_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as an uploaded row of its source's file, in the app's staging shape."""
+    """Every document as an uploaded row: English ones from datasets, others from CSV files."""
     name = F.concat("source", F.lit(".csv"))
+    link = F.when(F.col("lang") == "en", source_tag("dataset", F.col("source"))).otherwise(
+        source_tag("csv", name)
+    )
     return table(spark, sf_dir, "documents").select(
-        "doc_id", F.col("text").alias("review_text"), source_tag("csv", name).alias("source")
+        "doc_id", F.col("text").alias("review_text"), link.alias("source")
     )
 
 
@@ -155,13 +164,15 @@ def load_app(spark: SparkSession, sf_dir: str, path: str | None = None) -> Star:
 _stars: dict[tuple[str, str, str], str] = {}
 
 
-def stored_star(spark: SparkSession, sf_dir: str, kind: str = "batch") -> Star:
-    """The loaded warehouse dashboards read; written once per application and data set."""
+def stored_path(spark: SparkSession, sf_dir: str, kind: str = "batch") -> str:
+    """Folder of the warehouse dashboards read; loaded once per application and data set."""
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _stars:
         path = staging_path(spark, f"star-{kind}")
         {"batch": load_batch, "app": load_app}[kind](spark, sf_dir, path)
         _stars[key] = path
-    return read_star(spark, _stars[key])
+    return _stars[key]
 
 
+def stored_star(spark: SparkSession, sf_dir: str, kind: str = "batch") -> Star:
+    return read_star(spark, stored_path(spark, sf_dir, kind))

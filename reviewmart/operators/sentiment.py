@@ -106,14 +106,13 @@ def _local_scores(df: DataFrame, rows: list, bias: float, text: Column) -> DataF
     counted = counter.transform(df.withColumn("_tokens", tokens(text)))
     counted = counted.drop("_tokens").withColumn("_tf", F.unwrap_udt("_vector")).drop("_vector")
 
-    def total(part) -> Column:
-        terms = F.zip_with("_tf.indices", "_tf.values", part)
-        return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
+    def per_term(factors: Column) -> Column:
+        return F.zip_with("_tf.indices", "_tf.values", lambda i, tf: tf * F.get(factors, i))
 
     sums = counted.withColumns(
         {
-            "_dot": total(lambda i, tf: tf * F.get(gain, i)),
-            "_square": total(lambda i, tf: F.pow(tf * F.get(idf, i), F.lit(2.0))),
+            "_dot": F.aggregate(per_term(gain), F.lit(0.0), lambda a, b: a + b),
+            "_square": F.aggregate(per_term(idf), F.lit(0.0), lambda a, b: a + b * b),
         }
     )
     return sums.withColumn("score", _score(bias)).drop("_tf", "_dot", "_square")

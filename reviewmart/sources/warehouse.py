@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SCHEMAS = {
     "dim_date": "date_id long, review_date timestamp_ntz, review_year int, review_month int, "
@@ -41,7 +42,7 @@ class Star:
 
 def column_names(table: str) -> list[str]:
     """Columns of a star table, in order."""
-    return [field.split()[0] for field in SCHEMAS[table].split(", ")]
+    return StructType.fromDDL(SCHEMAS[table]).names
 
 
 def read_loads(spark: SparkSession, path: str) -> list:
@@ -57,7 +58,10 @@ def read_loads(spark: SparkSession, path: str) -> list:
 
 def _parts(spark: SparkSession, path: str, table: str, ids: list[int]) -> DataFrame:
     if not ids:
-        return spark.createDataFrame([], SCHEMAS[table])
+        fields = StructType.fromDDL(SCHEMAS[table]).fields
+        return spark.range(0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+        )
     return (
         spark.read.schema(SCHEMAS[table] + ", load_id long")
         .parquet(f"{path}/{table}")
