@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewmart.functions.links import source_tag
 from reviewmart.operators.enrich import enrich
+from reviewmart.operators.keys import in_order
 from reviewmart.operators.normalize import (
     drop_null_text,
     normalize_src1,
@@ -16,10 +17,10 @@ from reviewmart.operators.normalize import (
     union_sources,
 )
 from reviewmart.operators.sentiment import LinearModel
-from reviewmart.profiles import APP, BATCH
-from reviewmart.session import staging_path
 from reviewmart.plans.ingest import append_reviews, ingest_pages
 from reviewmart.plans.load import load_star
+from reviewmart.profiles import APP, BATCH
+from reviewmart.session import staging_path
 from reviewmart.sources.warehouse import Star, read_star
 
 LOAD_TS = datetime(2024, 3, 15, 10, 30, 0)
@@ -147,18 +148,25 @@ def document_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_batch(spark: SparkSession, sf_dir: str, path: str | None = None) -> Star:
     """A fresh warehouse holding one batch load."""
     path = path or staging_path(spark, "star")
-    return load_star(enriched(spark, sf_dir), path, LOAD_TS, BATCH, KEYS).star
+    rows = in_order(drop_null_text(reviews(spark, sf_dir)), KEYS)
+    return load_star(enrich(rows, test_model(spark), BATCH, KEYS), path, LOAD_TS, BATCH).star
+
+
+def load_manual(spark: SparkSession, sf_dir: str, path: str, load_ts: datetime = LOAD_TS) -> Star:
+    """Append every user turn as a manual entry."""
+    keys = ["conv_id", "turn"]
+    rows = in_order(manual_reviews(spark, sf_dir), keys)
+    return append_reviews(rows, test_model(spark), path, load_ts, keys).star
 
 
 def load_app(spark: SparkSession, sf_dir: str, path: str | None = None) -> Star:
     """A fresh warehouse holding three app loads: pages, manual entries, uploads."""
     path = path or staging_path(spark, "star")
     model = test_model(spark)
-    ingest_pages(table(spark, sf_dir, "pages"), model, path, LOAD_TS, ordered=True)
-    keys = ["conv_id", "turn"]
-    append_reviews(manual_reviews(spark, sf_dir), model, path, LOAD_TS, keys, keys)
-    uploads = enrich(document_uploads(spark, sf_dir), model, APP, ["doc_id"])
-    return load_star(uploads, path, SECOND_TS, APP, ["doc_id"]).star
+    ingest_pages(in_order(table(spark, sf_dir, "pages"), ["page_id"]), model, path, LOAD_TS)
+    load_manual(spark, sf_dir, path)
+    rows = in_order(document_uploads(spark, sf_dir), ["doc_id"])
+    return load_star(enrich(rows, model, APP, ["doc_id"]), path, SECOND_TS, APP).star
 
 
 _stars: dict[tuple[str, str, str], str] = {}

@@ -23,13 +23,12 @@ from reviewmart.operators.keys import assign_keys
 from reviewmart.operators.members import distinct_members, first_wins, new_members
 from reviewmart.plans import admin
 from reviewmart.plans import dashboard as D
-from reviewmart.plans.ingest import append_reviews
 from reviewmart.plans.load import member_candidates
 from reviewmart.profiles import APP, BATCH
 from reviewmart.session import staging_path
 from reviewmart.sources import csv_files
 from reviewmart.sources.pages import extract_page_reviews
-from reviewmart.sources.warehouse import Star, column_names, read_star
+from reviewmart.sources.warehouse import COLUMNS, DIMENSIONS, Star, read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,15 +134,7 @@ def page_reviews_top50(spark, sf_dir):
 )
 def append_manual(spark, sf_dir):
     """User turns validated, enriched and loaded as manual entries."""
-    keys = ["conv_id", "turn"]
-    return append_reviews(
-        I.manual_reviews(spark, sf_dir),
-        I.test_model(spark),
-        staging_path(spark, "star"),
-        I.LOAD_TS,
-        keys,
-        keys,
-    ).star.fact_reviews
+    return I.load_manual(spark, sf_dir, staging_path(spark, "star")).fact_reviews
 
 
 # --- projections and filters -----------------------------------------------------------
@@ -672,7 +663,7 @@ def fact_reviews_app(spark, sf_dir):
 
 
 def _dimension(name: str) -> None:
-    columns = ", ".join(column_names(name))
+    columns = ", ".join(COLUMNS[name])
 
     def query(spark, sf_dir):
         return getattr(I.stored_star(spark, sf_dir), name)
@@ -681,7 +672,7 @@ def _dimension(name: str) -> None:
     register(_with(O.BATCH_STAR, f"SELECT {columns} FROM {name}"))(query)
 
 
-for _name in ("dim_date", "dim_product", "dim_customer", "dim_location"):
+for _name in DIMENSIONS:
     _dimension(_name)
 
 
@@ -721,10 +712,8 @@ def delete_all_reviews(spark, sf_dir):
     """Manual entries loaded after clearing the fact: ids go on, dimensions are kept."""
     path = _copied(spark, sf_dir)
     admin.delete_all_reviews(spark, path, I.SECOND_TS)
-    keys = ["conv_id", "turn"]
-    manual = I.manual_reviews(spark, sf_dir)
-    loaded = append_reviews(manual, I.test_model(spark), path, I.SECOND_TS, keys, keys)
-    return loaded.star.fact_reviews.select("review_id", "review_text")
+    star = I.load_manual(spark, sf_dir, path, I.SECOND_TS)
+    return star.fact_reviews.select("review_id", "review_text")
 
 
 # --- integrity -------------------------------------------------------------------------

@@ -15,20 +15,26 @@ _POSITION_BITS = 33
 SINGLE_TASK_ROWS = 100_000
 
 
-def number_rows(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Store rows with ``row_seq``, an increasing row number with gaps.
+def in_order(df: DataFrame, order: list[str]) -> DataFrame:
+    """Range-partition and sort rows, so that scan order means ``order``.
 
-    With ``order`` rows are range-partitioned and sorted by it, one shuffle; without, they
-    are numbered where they lie, in scan order, and nothing is shuffled. The numbers are
-    written out with the rows, so a recomputed task cannot change them later.
+    Row-wise steps keep it. Sort before them: choosing the ranges reads the input once
+    more, and only the source columns then travel through the shuffle.
+    """
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def number_rows(df: DataFrame) -> DataFrame:
+    """Store rows with ``row_seq``, a number that increases in scan order, with gaps.
+
+    Nothing is shuffled, and the numbers are written out with the rows: a recomputed task
+    cannot change them later.
     """
-    if order:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return stage(df.withColumn("row_seq", F.monotonically_increasing_id()), "numbered")
 
 
 def dense_keys(numbered: DataFrame, key: str, start: int = 0) -> DataFrame:
-    """Replace ``row_seq`` order by gapless keys ``start + 1, start + 2, ...``.
+    """Add gapless keys in ``row_seq`` order: ``start + 1, start + 2, ...``.
 
     Per-partition counts become offsets. The offset table has one row per partition that
     wrote the numbered rows, so broadcasting and summing it up is bounded.
@@ -50,16 +56,26 @@ def dense_keys(numbered: DataFrame, key: str, start: int = 0) -> DataFrame:
     )
 
 
-def assign_keys(
-    df: DataFrame,
+def key_stored(
+    stored: DataFrame,
     order: list[str],
     key: str,
     start: int = 0,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Number rows ``start + 1`` onwards by ``order``."""
-    stored = stage(df, "unnumbered")
+    """Number the rows of a stored table ``start + 1`` onwards by ``order``."""
     if is_small(stored, single_task_rows):
         rank = F.row_number().over(Window.orderBy(*order))
         return stored.withColumn(key, F.lit(start).cast("long") + rank)
-    return dense_keys(number_rows(stored, order), key, start).drop("row_seq")
+    return dense_keys(number_rows(in_order(stored, order)), key, start).drop("row_seq")
+
+
+def assign_keys(
+    df: DataFrame,
+    order: list[str],
+    key: str,
+    start: int = 0,
+    single_task_rows: int = SINGLE_TASK_ROWS,
+) -> DataFrame:
+    """Number rows ``start + 1`` onwards by ``order``."""
+    return key_stored(stage(df, "unnumbered"), order, key, start, single_task_rows)

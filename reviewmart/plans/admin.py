@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmart.sources.warehouse import (
+    DIMENSIONS,
     commit,
     read_loads,
     read_star,
@@ -47,7 +48,7 @@ def compact(spark: SparkSession, path: str, new_path: str, at: datetime) -> None
     """Rewrite the live warehouse to a new folder, without deleted rows."""
     loads = read_loads(spark, path)
     star = read_star(spark, path)
-    for table in ("dim_date", "dim_product", "dim_customer", "dim_location", "fact_reviews"):
+    for table in (*DIMENSIONS, "fact_reviews"):
         write_part(getattr(star, table), new_path, table, 1)
     last_review_id = loads[-1].last_review_id if loads else 0
     commit(spark, new_path, 1, "load", at, star.fact_reviews.count(), last_review_id)

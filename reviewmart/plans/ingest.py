@@ -47,14 +47,9 @@ def run_batch(
 
 
 def _ingest(
-    reviews: DataFrame,
-    model: _Model,
-    star_path: str,
-    load_ts: datetime,
-    keys: list[str],
-    order: list[str] | None,
+    reviews: DataFrame, model: _Model, star_path: str, load_ts: datetime, keys: list[str]
 ) -> Loaded:
-    return load_star(enrich(reviews, model, APP, keys), star_path, load_ts, APP, order)
+    return load_star(enrich(reviews, model, APP, keys), star_path, load_ts, APP)
 
 
 def ingest_csv(
@@ -63,7 +58,7 @@ def ingest_csv(
     """An uploaded CSV with a detected text column; ``name`` is its display name."""
     texts = with_scan_row_id(select_text(read_reviews_csv(spark, path)))
     tagged = texts.withColumn("source", source_tag("csv", F.lit(name)))
-    return _ingest(tagged, model, star_path, load_ts, _ROW, None)
+    return _ingest(tagged, model, star_path, load_ts, _ROW)
 
 
 def ingest_dataset(
@@ -72,7 +67,7 @@ def ingest_dataset(
     """A downloaded dataset folder, tagged with its dataset link."""
     texts = with_scan_row_id(select_text(read_dataset_dir(spark, path)))
     tagged = texts.withColumn("source", source_tag("dataset", F.lit(slug)))
-    return _ingest(tagged, model, star_path, load_ts, _ROW, None)
+    return _ingest(tagged, model, star_path, load_ts, _ROW)
 
 
 def ingest_pages(
@@ -81,24 +76,18 @@ def ingest_pages(
     star_path: str,
     load_ts: datetime,
     per_page: int | None = 50,
-    ordered: bool = False,
 ) -> Loaded:
     """Fetched pages (``page_id, url, html``), tagged with their address."""
     found = extract_page_reviews(pages, per_page)
     tagged = found.withColumn("source", source_tag("page", F.col("url")))
-    keys = ["page_id", "pos"]
-    return _ingest(tagged, model, star_path, load_ts, keys, keys if ordered else None)
+    return _ingest(tagged, model, star_path, load_ts, ["page_id", "pos"])
 
 
 def append_reviews(
-    reviews: DataFrame,
-    model: _Model,
-    star_path: str,
-    load_ts: datetime,
-    keys: list[str],
-    order: list[str] | None = None,
+    reviews: DataFrame, model: _Model, star_path: str, load_ts: datetime, keys: list[str]
 ) -> Loaded:
     """Typed-in reviews (``review_text`` and ``keys``); blank ones are refused."""
     valid = reviews.filter(has_text(F.col("review_text")))
-    tagged = valid.withColumn("source", source_tag("manual"))
-    return _ingest(tagged, model, star_path, load_ts, keys, order)
+    return _ingest(
+        valid.withColumn("source", source_tag("manual")), model, star_path, load_ts, keys
+    )

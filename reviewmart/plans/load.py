@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewmart.functions.links import source_tag
 from reviewmart.operators.enrich import loadable, with_attributes
-from reviewmart.operators.keys import assign_keys, dense_keys, number_rows
+from reviewmart.operators.keys import dense_keys, key_stored, number_rows
 from reviewmart.operators.members import first_wins, new_members
 from reviewmart.operators.resolve import (
     date_parts,
@@ -21,6 +21,7 @@ from reviewmart.operators.resolve import (
     timestamp,
 )
 from reviewmart.profiles import Profile
+from reviewmart.session import stage
 from reviewmart.sources.warehouse import (
     Star,
     commit,
@@ -63,6 +64,26 @@ def date_member(spark: SparkSession, load_ts: datetime) -> DataFrame:
     )
 
 
+def add_members(
+    path: str,
+    load_id: int,
+    table: str,
+    key: str,
+    natural: list[str],
+    candidates: DataFrame,
+    known: DataFrame,
+) -> DataFrame:
+    """Append the members a dimension lacks; returns the dimension with them."""
+    spark = known.sparkSession
+    fresh = stage(new_members(candidates, known, natural), "members")
+    if fresh.isEmpty():
+        return known
+    start = known.agg(F.max(key)).first()[0] or 0
+    write_part(key_stored(fresh, ["row_seq"], key, start), path, table, load_id)
+    part = spark.read.schema(known.schema).parquet(f"{path}/{table}/load_id={load_id}")
+    return known.unionByName(part)
+
+
 def fact_rows(
     rows: DataFrame, star: Star, load_ts: datetime, profile: Profile
 ) -> DataFrame:
@@ -79,13 +100,12 @@ def load_star(
     path: str,
     load_ts: datetime,
     profile: Profile,
-    order: list[str] | None = None,
 ) -> Loaded:
     """Load enriched reviews: new dimension members, then facts, then the commit.
 
-    ``source`` is the source name (batch) or the finished source link (app). ``order``
-    names the unique columns that fix key and first-wins order for any partitioning, at
-    the price of one shuffle; without it rows count in scan order and are not shuffled.
+    ``source`` is the source name (batch) or the finished source link (app). Rows count in
+    scan order and are not shuffled; sources sorted by ``in_order`` first give the same
+    review ids and the same first-wins members under any partitioning.
     """
     spark = enriched.sparkSession
     loads = read_loads(spark, path)
@@ -95,25 +115,19 @@ def load_star(
     link = source_tag("merged", F.col("source")) if profile.is_batch else F.col("source")
     rows = with_attributes(loadable(enriched, profile), profile).withColumn("source_link", link)
     wanted = [
-        *(order or []),
         *("review_text", "sentiment_label", "issue_reason", "ai_recommendation"),
         *("source_link", "age", "gender", "category", "brand", "country", "city"),
         *("customer_name", "product_name"),
     ]
-    numbered = number_rows(rows.select(*wanted), order)
+    numbered = number_rows(rows.select(*wanted))
 
     before = read_star(spark, path)
     candidates = member_candidates(numbered, profile, ["row_seq"])
     candidates["dim_date"] = ("date_id", _DATE_KEYS, date_member(spark, load_ts))
-    after = {}
-    for table, (key, natural, found) in candidates.items():
-        known = getattr(before, table)
-        start = known.agg(F.max(key)).first()[0] or 0
-        fresh = assign_keys(new_members(found, known, natural), ["row_seq"], key, start)
-        write_part(fresh, path, table, load_id)
-        part = spark.read.schema(known.schema).parquet(f"{path}/{table}/load_id={load_id}")
-        after[table] = known.unionByName(part)
-
+    after = {
+        table: add_members(path, load_id, table, key, natural, found, getattr(before, table))
+        for table, (key, natural, found) in candidates.items()
+    }
     dims = Star(fact_reviews=before.fact_reviews, **after)
     keyed = dense_keys(numbered, "review_id", last_review_id)
     write_part(fact_rows(keyed, dims, load_ts, profile), path, "fact_reviews", load_id)

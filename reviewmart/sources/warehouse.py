@@ -13,20 +13,55 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-SCHEMAS = {
-    "dim_date": "date_id long, review_date timestamp_ntz, review_year int, review_month int, "
-    "review_day int",
-    "dim_product": "product_id long, product_name string, category string, brand string",
-    "dim_customer": "customer_id long, customer_name string, age int, gender string",
-    "dim_location": "location_id long, country string, city string",
-    "fact_reviews": "review_id long, product_id long, customer_id long, date_id long, "
-    "location_id long, review_text string, sentiment_label string, issue_reason string, "
-    "ai_recommendation string, source_link string, load_timestamp timestamp_ntz",
-    "deleted_reviews": "review_id long",
-    "loads": "load_id long, kind string, load_ts timestamp_ntz, rows long, last_review_id long",
+
+COLUMNS = {
+    "dim_date": {
+        "date_id": "long",
+        "review_date": "timestamp_ntz",
+        "review_year": "int",
+        "review_month": "int",
+        "review_day": "int",
+    },
+    "dim_product": {
+        "product_id": "long",
+        "product_name": "string",
+        "category": "string",
+        "brand": "string",
+    },
+    "dim_customer": {
+        "customer_id": "long",
+        "customer_name": "string",
+        "age": "int",
+        "gender": "string",
+    },
+    "dim_location": {"location_id": "long", "country": "string", "city": "string"},
+    "fact_reviews": {
+        "review_id": "long",
+        "product_id": "long",
+        "customer_id": "long",
+        "date_id": "long",
+        "location_id": "long",
+        "review_text": "string",
+        "sentiment_label": "string",
+        "issue_reason": "string",
+        "ai_recommendation": "string",
+        "source_link": "string",
+        "load_timestamp": "timestamp_ntz",
+    },
+    "deleted_reviews": {"review_id": "long"},
+    "loads": {
+        "load_id": "long",
+        "kind": "string",
+        "load_ts": "timestamp_ntz",
+        "rows": "long",
+        "last_review_id": "long",
+    },
 }
+DIMENSIONS = ("dim_date", "dim_product", "dim_customer", "dim_location")
+
+
+def _ddl(table: str) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in COLUMNS[table].items())
 
 
 @dataclass(frozen=True)
@@ -40,15 +75,10 @@ class Star:
     fact_reviews: DataFrame
 
 
-def column_names(table: str) -> list[str]:
-    """Columns of a star table, in order."""
-    return StructType.fromDDL(SCHEMAS[table]).names
-
-
 def read_loads(spark: SparkSession, path: str) -> list:
     """Committed loads, deletes and clears, oldest first; one small row each."""
     try:
-        loads = spark.read.schema(SCHEMAS["loads"]).parquet(f"{path}/loads")
+        loads = spark.read.schema(_ddl("loads")).parquet(f"{path}/loads")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -58,12 +88,10 @@ def read_loads(spark: SparkSession, path: str) -> list:
 
 def _parts(spark: SparkSession, path: str, table: str, ids: list[int]) -> DataFrame:
     if not ids:
-        fields = StructType.fromDDL(SCHEMAS[table]).fields
-        return spark.range(0).select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-        )
+        empty = [F.lit(None).cast(kind).alias(name) for name, kind in COLUMNS[table].items()]
+        return spark.range(0).select(*empty)
     return (
-        spark.read.schema(SCHEMAS[table] + ", load_id long")
+        spark.read.schema(_ddl(table) + ", load_id long")
         .parquet(f"{path}/{table}")
         .filter(F.col("load_id").isin(ids))
         .drop("load_id")
@@ -80,13 +108,13 @@ def read_star(spark: SparkSession, path: str) -> Star:
     if deleted:
         gone = _parts(spark, path, "deleted_reviews", deleted)
         fact = fact.join(gone, "review_id", "left_anti")
-    dims = {t: _parts(spark, path, t, loaded) for t in SCHEMAS if t.startswith("dim_")}
+    dims = {t: _parts(spark, path, t, loaded) for t in DIMENSIONS}
     return Star(fact_reviews=fact, **dims)
 
 
 def write_part(df: DataFrame, path: str, table: str, load_id: int) -> None:
     """Write one load's part of a table, replacing what a failed attempt left there."""
-    df.select(*column_names(table)).write.mode("overwrite").parquet(
+    df.select(*COLUMNS[table]).write.mode("overwrite").parquet(
         f"{path}/{table}/load_id={load_id}"
     )
 
