@@ -13,10 +13,11 @@ from pyspark.ml.feature import (
     Normalizer,
     SQLTransformer,
 )
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmart.functions.text import TOKEN_PATTERN, has_text, tokens
+from reviewmart.operators import lookup
 from reviewmart.operators.lookup import is_small, lookup_join
 from reviewmart.profiles import (
     BLANK_PLACEHOLDER,
@@ -58,6 +59,30 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def _vocabulary(texts: DataFrame) -> DataFrame:
+    """``term, idf`` of every term, from one pass over the texts.
+
+    A text's terms are made distinct in place; the empty term, added to each text, counts
+    the texts themselves.
+    """
+    terms = F.array_append(F.array_distinct(tokens(F.col("_text"))), F.lit(""))
+    counted = texts.select(F.explode(terms).alias("term")).groupBy("term").agg(
+        F.count("*").alias("df")
+    )
+    stored = stage(counted, "frequencies")
+    total = stored.filter(F.col("term") == "").first()
+    n = total.df if total else 0
+    idf = F.log(F.lit(n + 1.0) / (F.col("df") + 1.0))
+    return stored.filter(F.col("term") != "").select("term", idf.alias("idf"))
+
+
+def _lookup_terms(counts: DataFrame, table: DataFrame) -> DataFrame:
+    """Join term counts to a term table; counts joined in two parts are stored first."""
+    if not is_small(table, lookup.MAX_BROADCAST_ROWS):
+        counts = stage(counts, "counts")
+    return lookup_join(counts, table, ["term"])
+
+
 def tfidf(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """TF-IDF of every term of every text: ``key, term, tf, idf, tfidf`` (unit length).
 
@@ -71,21 +96,12 @@ def tfidf(df: DataFrame, key: str, text: str = "text") -> DataFrame:
         .groupBy(key, "term")
         .agg(F.count("*").alias("tf"))
     )
-    n = texts.count()
-    # Document frequencies need no shuffle by key: a text's terms are made distinct in place.
-    seen = texts.select(F.explode(F.array_distinct(tokens(F.col("_text")))).alias("term"))
-    idf = F.log((F.lit(n) + 1.0) / (F.count("*") + 1.0))
-    vocabulary = stage(seen.groupBy("term").agg(idf.alias("idf")), "vocabulary")
-    weighted = lookup_join(counts, vocabulary, ["term"]).withColumn(
-        "_raw", F.col("tf") * F.col("idf")
-    )
-    lengths = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("_raw") ** 2)).alias("_length"))
+    raw = F.col("tf") * F.col("idf")
+    length = F.sqrt(F.sum(raw * raw).over(Window.partitionBy(key)))
     return (
-        weighted.join(lengths, key)
-        .withColumn(
-            "tfidf",
-            F.when(F.col("_length") > 0, F.col("_raw") / F.col("_length")).otherwise(0.0),
-        )
+        _lookup_terms(counts, _vocabulary(texts))
+        .withColumn("_length", length)
+        .withColumn("tfidf", F.when(F.col("_length") > 0, raw / F.col("_length")).otherwise(0.0))
         .select(key, "term", "tf", "idf", "tfidf")
     )
 
@@ -128,7 +144,7 @@ def _joined_scores(
         .agg(F.count("*").alias("_tf"))
     )
     sums = (
-        lookup_join(terms, model.weights, ["term"])
+        _lookup_terms(terms, model.weights)
         .groupBy(*keys)
         .agg(
             F.sum(F.col("_tf") * F.col("idf") * F.col("weight")).alias("_dot"),
