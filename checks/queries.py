@@ -453,7 +453,7 @@ def _labelled(spark, sf_dir) -> DataFrame:
 @register()
 def ml_sentiment(spark, sf_dir):
     """A pipeline fitted on labelled documents, applied to all documents."""
-    model = S.fit_sentiment(_labelled(spark, sf_dir))
+    model = S.fit_sentiment(_labelled(spark, sf_dir), "doc_id")
     texts = I.table(spark, sf_dir, "documents").select(
         "doc_id", F.col("text").alias("review_text")
     )
@@ -465,7 +465,7 @@ def ml_fit_metrics(spark, sf_dir):
     """Rows and area under the ROC curve of a fit, on a held-out fifth of the labels."""
     rows = _labelled(spark, sf_dir)
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
-    model = S.fit_sentiment(rows.filter(~held_out))
+    model = S.fit_sentiment(rows.filter(~held_out), "doc_id")
     scored = model.transform(rows.filter(held_out)).select("label", "_margin")
     auc = BinaryClassificationEvaluator(rawPredictionCol="_margin").evaluate(scored)
     return rows.agg(

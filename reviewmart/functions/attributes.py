@@ -18,8 +18,19 @@ from reviewmart.profiles import (
 )
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _residue(bucket: Column, n: int) -> Column:
+    """``bucket % n``, declared non-null.
+
+    Catalyst calls every remainder nullable. It would then push a null check, and with it
+    the whole hash, below each join on a derived key.
+    """
+    return F.coalesce(bucket % n, F.lit(0))
+
+
+def _pick(values: tuple[str, ...], bucket: Column) -> Column:
+    index = _residue(bucket, len(values)) + 1
+    found = F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+    return F.coalesce(found, F.lit(values[0]))
 
 
 def _from_clothing(source: Column, profile: Profile) -> Column:
@@ -28,7 +39,7 @@ def _from_clothing(source: Column, profile: Profile) -> Column:
 
 def derived_age(bucket: Column) -> Column:
     """Synthetic age from 20 to 64."""
-    return (F.lit(20) + bucket % 45).cast("int")
+    return (F.lit(20) + _residue(bucket, 45)).cast("int")
 
 
 def customer_age(bucket: Column, input_age: Column, profile: Profile) -> Column:
@@ -47,9 +58,8 @@ def derived_gender(bucket: Column, source: Column, profile: Profile) -> Column:
 
 def customer_name(gender: Column, bucket: Column) -> Column:
     """``Customer_<initial>_<0..999>``."""
-    return F.concat(
-        F.lit("Customer_"), F.substring(gender, 1, 1), F.lit("_"), (bucket % 1000).cast("string")
-    )
+    number = _residue(bucket, 1000).cast("string")
+    return F.concat(F.lit("Customer_"), F.substring(gender, 1, 1), F.lit("_"), number)
 
 
 def product_category(source: Column, input_category: Column, profile: Profile) -> Column:
@@ -62,21 +72,22 @@ def product_category(source: Column, input_category: Column, profile: Profile) -
 
 def brand(bucket: Column, profile: Profile) -> Column:
     """Synthetic brand from the profile's list."""
-    return _pick(profile.brands, bucket % len(profile.brands))
+    return _pick(profile.brands, bucket)
 
 
 def product_name(brand_name: Column, bucket: Column) -> Column:
     """``Product_<brand>_<0..49>``."""
-    return F.concat(F.lit("Product_"), brand_name, F.lit("_"), (bucket % 50).cast("string"))
+    number = _residue(bucket, 50).cast("string")
+    return F.concat(F.lit("Product_"), brand_name, F.lit("_"), number)
 
 
 def country(bucket: Column) -> Column:
     """Synthetic country."""
-    return _pick(tuple(c for c, _ in LOCATIONS), bucket % len(LOCATIONS))
+    return _pick(tuple(c for c, _ in LOCATIONS), bucket)
 
 
 def city(bucket: Column) -> Column:
     """Synthetic city of the synthetic country."""
     # bucket mod 5 fixes the country and bucket mod 3 the city, so 15 pairs cover both.
     pairs = tuple(LOCATIONS[i % 5][1][i % 3] for i in range(15))
-    return _pick(pairs, bucket % 15)
+    return _pick(pairs, bucket)

@@ -43,15 +43,16 @@ def loadable(df: DataFrame, profile: Profile) -> DataFrame:
 def with_attributes(df: DataFrame, profile: Profile) -> DataFrame:
     """Add the synthetic customer, product and location columns.
 
-    Expects ``review_text`` and ``source``; the batch profile also reads ``input_age`` and
-    ``input_category``.
+    Expects loadable rows with ``review_text`` and ``source``; the batch profile also reads
+    ``input_age`` and ``input_category``.
     """
     source, bucket = F.col("source"), F.col("_bucket")
     age, category = (
         (F.col("input_age"), F.col("input_category")) if profile.is_batch else (None, None)
     )
     return (
-        df.withColumn("_bucket", text_bucket(F.col("review_text")))
+        # Text is never null here; saying so keeps null checks off the hash in later joins.
+        df.withColumn("_bucket", F.coalesce(text_bucket(F.col("review_text")), F.lit(0)))
         .withColumns(
             {
                 "age": A.customer_age(bucket, age, profile),

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A table up to this many narrow rows (some 100 bytes each) is broadcast.
-MAX_BROADCAST_ROWS = 200_000
+# A table up to this many narrow rows is broadcast: some 50 MB of keys and values.
+MAX_BROADCAST_ROWS = 500_000
 
 # Beyond it, this many of the most frequent keys are still joined by broadcast.
 HOT_KEYS = 1_000

@@ -215,13 +215,20 @@ def predict_sentiment(
     return scored.withColumn("sentiment_label", label).drop(*extra)
 
 
-def fit_sentiment(labelled: DataFrame, vocab_size: int = 1 << 16, min_df: float = 2.0):
-    """Fit TF-IDF and logistic regression on ``_text`` and ``label`` (1 = positive)."""
+def fit_sentiment(
+    labelled: DataFrame, key: str, vocab_size: int = 1 << 16, min_df: float = 2.0
+) -> PipelineModel:
+    """Fit TF-IDF and logistic regression on ``_text`` and ``label`` (1 = positive).
+
+    The fit reads its rows some hundred times, so they are spread evenly by their unique
+    ``key`` and kept, on disk where memory ends. Only the vocabulary, capped by
+    ``vocab_size``, and its coefficients reach the driver.
+    """
     tokenizer = SQLTransformer(
         statement="SELECT *, regexp_extract_all(lower(coalesce(_text, '')), "
         f"'{TOKEN_PATTERN}', 0) AS _tokens FROM __THIS__"
     )
-    return Pipeline(
+    pipeline = Pipeline(
         stages=[
             tokenizer,
             CountVectorizer(
@@ -237,7 +244,12 @@ def fit_sentiment(labelled: DataFrame, vocab_size: int = 1 << 16, min_df: float
                 regParam=0.01,
             ),
         ]
-    ).fit(labelled)
+    )
+    rows = labelled.select(key, "_text", "label").repartition(key).persist()
+    try:
+        return pipeline.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def export_weights(spark: SparkSession, model: PipelineModel) -> LinearModel:

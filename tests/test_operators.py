@@ -12,8 +12,9 @@ from reviewmart.operators import keys as K
 from reviewmart.operators import lookup as L
 from reviewmart.operators import normalize as N
 from reviewmart.operators import sentiment as S
-from reviewmart.operators.enrich import enrich, loadable
+from reviewmart.operators.enrich import enrich, loadable, with_attributes
 from reviewmart.operators.members import first_wins, new_members
+from reviewmart.operators.resolve import resolve_product
 from reviewmart.profiles import APP, BATCH
 from reviewmart.session import stage, staging_path
 
@@ -106,6 +107,13 @@ def test_first_wins_combines_in_hash_tables_before_the_shuffle(spark, sf):
     assert "SortAggregate" not in plan and "partial_min_by" in plan
 
 
+def test_derived_keys_bring_no_null_check_over_the_hash(spark, sf):
+    rows = with_attributes(I.reviews(spark, sf), BATCH)
+    plan = plan_of(resolve_product(rows, I.stored_star(spark, sf).dim_product, BATCH))
+    assert "md5" in plan
+    assert not [line for line in plan.splitlines() if "Filter" in line and "md5" in line]
+
+
 def test_new_members(spark):
     known = spark.createDataFrame([("a",), ("b",)], "k string")
     found = spark.createDataFrame([("b", 1), ("c", 2)], "k string, v int")
@@ -210,7 +218,7 @@ def fitted(spark, sf):
     texts = I.table(spark, sf, "documents").select("doc_id", F.col("text").alias("_text"))
     labels = I.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     rows = texts.join(labels, "doc_id")
-    return rows, S.fit_sentiment(rows)
+    return rows, S.fit_sentiment(rows, "doc_id")
 
 
 def test_fit_separates_its_labels(fitted):
