@@ -242,6 +242,7 @@ def fit_sentiment(
                 rawPredictionCol="_margin",
                 probabilityCol="_probability",
                 regParam=0.01,
+                tol=1e-4,
             ),
         ]
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewmart.functions.links import source_tag
 from reviewmart.functions.text import has_text
 from reviewmart.operators.enrich import enrich
+from reviewmart.operators.keys import in_order
 from reviewmart.operators.normalize import (
     drop_null_text,
     normalize_src1,
@@ -28,6 +29,18 @@ _Model = LinearModel | PipelineModel
 _ROW = ["row_id"]
 
 
+def _scanned(df: DataFrame) -> DataFrame:
+    """Number rows in scan order; spread those of few files.
+
+    A file with line breaks inside cells is read by one task, which must not have to score
+    all of it too. The range shuffle keeps the order; many files need none.
+    """
+    rows = with_scan_row_id(df)
+    if len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism:
+        rows = in_order(rows, _ROW)
+    return rows
+
+
 def run_batch(
     spark: SparkSession,
     product_csv: str,
@@ -40,7 +53,7 @@ def run_batch(
     product = read_reviews_csv(spark, product_csv)
     clothing = read_reviews_csv(spark, clothing_csv)
     staged = union_sources(
-        normalize_src1(with_scan_row_id(product)), normalize_src2(with_scan_row_id(clothing))
+        normalize_src1(_scanned(product)), normalize_src2(_scanned(clothing))
     )
     enriched = enrich(drop_null_text(staged), model, BATCH, ["source_ord", "row_id"])
     return load_star(enriched, star_path, load_ts, BATCH)
@@ -56,7 +69,7 @@ def ingest_csv(
     spark: SparkSession, path: str, name: str, model: _Model, star_path: str, load_ts: datetime
 ) -> Loaded:
     """An uploaded CSV with a detected text column; ``name`` is its display name."""
-    texts = with_scan_row_id(select_text(read_reviews_csv(spark, path)))
+    texts = _scanned(select_text(read_reviews_csv(spark, path)))
     tagged = texts.withColumn("source", source_tag("csv", F.lit(name)))
     return _ingest(tagged, model, star_path, load_ts, _ROW)
 
@@ -65,7 +78,7 @@ def ingest_dataset(
     spark: SparkSession, path: str, slug: str, model: _Model, star_path: str, load_ts: datetime
 ) -> Loaded:
     """A downloaded dataset folder, tagged with its dataset link."""
-    texts = with_scan_row_id(select_text(read_dataset_dir(spark, path)))
+    texts = _scanned(select_text(read_dataset_dir(spark, path)))
     tagged = texts.withColumn("source", source_tag("dataset", F.lit(slug)))
     return _ingest(tagged, model, star_path, load_ts, _ROW)
 
