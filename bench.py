@@ -29,9 +29,10 @@ HEADLINE = (
     "derived_customer",
     "dim_customer_first",
     "dim_product_distinct",
-    "assign_keys_dense",
+    "assign_keys",
     "resolve_product",
     "star_load",
+    "batch_pipeline",
     "star_load_app",
     "star_stats",
     "sentiment_counts",

@@ -21,7 +21,7 @@ from reviewmart.operators import sentiment as S
 from reviewmart.operators.enrich import loadable, with_attributes
 from reviewmart.operators.keys import assign_keys
 from reviewmart.operators.members import distinct_members, first_wins, new_members
-from reviewmart.plans import admin
+from reviewmart.plans import admin, ingest
 from reviewmart.plans import dashboard as D
 from reviewmart.plans.load import member_candidates
 from reviewmart.profiles import APP, BATCH
@@ -38,11 +38,12 @@ ORACLES: dict[str, str] = {}
 MODULI = (2, 3, 5, 6, 7, 45, 50, 1000)
 
 
-def register(sql: str | None = None) -> Callable[[Query], Query]:
+def register(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
-        QUERIES[query.__name__] = query
+        key = name or query.__name__
+        QUERIES[key] = query
         if sql is not None:
-            ORACLES[query.__name__] = sql
+            ORACLES[key] = sql
         return query
 
     return add
@@ -382,7 +383,8 @@ _CLASSES = ("Negative", "Positive")
         f"SELECT source_ord, row_id, sentiment, "
         f"{O.reason_sql('review_text', 'sentiment', BATCH)} AS batch_reason, "
         f"{O.reason_sql('review_text', 'sentiment', APP)} AS app_reason FROM classes",
-    )
+    ),
+    name="issue_reason",
 )
 def issue_reasons(spark, sf_dir):
     """Reasons of every text under either sentiment and profile, nulls included."""
@@ -508,7 +510,8 @@ def dim_location_distinct(spark, sf_dir):
         O.INPUTS,
         """SELECT source_ord, row_id, 1000 + row_number() OVER (ORDER BY source_ord, row_id)
         AS review_id FROM u WHERE review_text IS NOT NULL""",
-    )
+    ),
+    name="assign_keys",
 )
 def assign_keys_dense(spark, sf_dir):
     """Gapless keys over all reviews by the distributed path, continuing from 1000."""
@@ -652,6 +655,48 @@ def star_load_app(spark, sf_dir):
     return _named(I.load_app(spark, sf_dir))
 
 
+@register(
+    _with(
+        f"{O.BATCH_STAR}, {O.STATS}",
+        'SELECT "Sentiment", "Gender", "Category", "Reason", count(*) AS "Count" FROM stats '
+        "GROUP BY ALL",
+    )
+)
+def batch_pipeline(spark, sf_dir):
+    """The whole batch run from two CSV files, in scan order, to dashboard counts."""
+    product, clothing = staging_path(spark, "csv"), staging_path(spark, "csv")
+    csv_files.write_reviews_csv(I.product_reviews(spark, sf_dir).drop("row_id"), product)
+    csv_files.write_reviews_csv(I.clothing_reviews(spark, sf_dir).drop("row_id"), clothing)
+    star = ingest.run_batch(
+        spark, product, clothing, I.test_model(spark), staging_path(spark, "star"), I.LOAD_TS
+    ).star
+    by = ("Sentiment", "Gender", "Category", "Reason")
+    return D.star_stats(star).groupBy(*by).agg(F.count("*").alias("Count"))
+
+
+_UPLOADED = "review_text, sentiment_label, issue_reason, ai_recommendation, source_link"
+
+
+@register(
+    _with(
+        O.app_star(
+            f"SELECT 1 AS load_nr, doc_id AS k1, 0::BIGINT AS k2, text AS review_text, "
+            f"'https://www.kaggle.com/datasets/a/b' AS source, {O.LOAD} AS load_ts FROM documents"
+        ),
+        f"SELECT {_UPLOADED}, count(*) AS rows FROM fact_reviews GROUP BY ALL",
+    )
+)
+def dataset_upload(spark, sf_dir):
+    """Every document as a dataset folder: scanned, detected, enriched and loaded."""
+    path = staging_path(spark, "dataset")
+    csv_files.write_reviews_csv(I.table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    star = ingest.ingest_dataset(
+        spark, path, "a/b", I.test_model(spark), staging_path(spark, "star"), I.LOAD_TS, "all"
+    ).star
+    columns = _UPLOADED.split(", ")
+    return star.fact_reviews.groupBy(*columns).agg(F.count("*").alias("rows"))
+
+
 @register(_with(O.BATCH_STAR, f"SELECT {O.FACT_COLUMNS} FROM fact_reviews"))
 def fact_reviews(spark, sf_dir):
     return I.stored_star(spark, sf_dir).fact_reviews
@@ -668,8 +713,7 @@ def _dimension(name: str) -> None:
     def query(spark, sf_dir):
         return getattr(I.stored_star(spark, sf_dir), name)
 
-    query.__name__ = name
-    register(_with(O.BATCH_STAR, f"SELECT {columns} FROM {name}"))(query)
+    register(_with(O.BATCH_STAR, f"SELECT {columns} FROM {name}"), name)(query)
 
 
 for _name in DIMENSIONS:

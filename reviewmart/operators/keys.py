@@ -63,7 +63,7 @@ def key_stored(
     start: int = 0,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Number the rows of a stored table ``start + 1`` onwards by ``order``."""
+    """Number the rows of a stored or kept table ``start + 1`` onwards by ``order``."""
     if is_small(stored, single_task_rows):
         rank = F.row_number().over(Window.orderBy(*order))
         return stored.withColumn(key, F.lit(start).cast("long") + rank)

@@ -75,10 +75,16 @@ def ingest_csv(
 
 
 def ingest_dataset(
-    spark: SparkSession, path: str, slug: str, model: _Model, star_path: str, load_ts: datetime
+    spark: SparkSession,
+    path: str,
+    slug: str,
+    model: _Model,
+    star_path: str,
+    load_ts: datetime,
+    pick: str = "first",
 ) -> Loaded:
-    """A downloaded dataset folder, tagged with its dataset link."""
-    texts = _scanned(select_text(read_dataset_dir(spark, path)))
+    """A downloaded dataset folder, its first or all CSV files, tagged with its dataset link."""
+    texts = _scanned(select_text(read_dataset_dir(spark, path, pick)))
     tagged = texts.withColumn("source", source_tag("dataset", F.lit(slug)))
     return _ingest(tagged, model, star_path, load_ts, _ROW)
 

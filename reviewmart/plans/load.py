@@ -21,7 +21,6 @@ from reviewmart.operators.resolve import (
     timestamp,
 )
 from reviewmart.profiles import Profile
-from reviewmart.session import stage
 from reviewmart.sources.warehouse import (
     Star,
     commit,
@@ -75,11 +74,16 @@ def add_members(
 ) -> DataFrame:
     """Append the members a dimension lacks; returns the dimension with them."""
     spark = known.sparkSession
-    fresh = stage(new_members(candidates, known, natural), "members")
-    if fresh.isEmpty():
-        return known
-    start = known.agg(F.max(key)).first()[0] or 0
-    write_part(key_stored(fresh, ["row_seq"], key, start), path, table, load_id)
+    # Kept for the emptiness check, the numbering and the write; recomputed from the stored
+    # rows, with the same outcome, if an executor is lost.
+    fresh = new_members(candidates, known, natural).persist()
+    try:
+        if fresh.count() == 0:
+            return known
+        start = known.agg(F.max(key)).first()[0] or 0
+        write_part(key_stored(fresh, ["row_seq"], key, start), path, table, load_id)
+    finally:
+        fresh.unpersist()
     part = spark.read.schema(known.schema).parquet(f"{path}/{table}/load_id={load_id}")
     return known.unionByName(part)
 
