@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewmart.session import stage
+
 # A table up to this many narrow rows is broadcast: some 50 MB of keys and values.
 MAX_BROADCAST_ROWS = 500_000
 
-# Beyond it, this many of the most frequent keys are still joined by broadcast.
-HOT_KEYS = 1_000
+# Beyond it, keys that hold more than one in HOT_KEYS rows are still joined by broadcast;
+# there are fewer than HOT_KEYS of them.
+HOT_KEYS = 100_000
 
 
 def is_small(table: DataFrame, rows: int) -> bool:
@@ -26,19 +29,15 @@ def lookup_join(
     """Inner join of ``facts`` to a stored lookup table with unique ``keys``.
 
     A table counted to be small is broadcast and ``facts`` is not shuffled. A larger one
-    is shuffled against the facts, except for the most frequent keys: those few rows are
-    broadcast, so no reducer receives a hot key and every row is kept.
+    is shuffled against the facts, except for frequent keys: their rows are broadcast, so
+    no reducer receives a hot key and every row is kept.
     """
     limit = MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
     if is_small(table, limit):
         return facts.join(F.broadcast(table), keys)
-    hot = (
-        facts.groupBy(*keys)
-        .count()
-        .orderBy(F.desc("count"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys)
-    )
+    counts = stage(facts.groupBy(*keys).count(), "key-counts")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    hot = counts.filter(F.col("count") > total / HOT_KEYS).select(*keys)
     hot_table = table.join(F.broadcast(hot), keys, "left_semi")
     cold = facts.join(F.broadcast(hot), keys, "left_anti")
     return facts.join(F.broadcast(hot_table), keys).unionByName(

@@ -181,10 +181,10 @@ def linear_scores(
     travel with the tasks.
     """
     seen = scored_text(F.col(text))
-    if is_small(model.weights, max_local_terms):
-        rows = model.weights.select("term", "weight", "idf").collect()
-        return _local_scores(df, rows, model.bias, seen)
-    return _joined_scores(df, model, seen, keys)
+    rows = model.weights.select("term", "weight", "idf").limit(max_local_terms + 1).collect()
+    if len(rows) > max_local_terms:
+        return _joined_scores(df, model, seen, keys)
+    return _local_scores(df, rows, model.bias, seen)
 
 
 def decode_label(prediction: Column, text: Column, profile: Profile) -> Column:

@@ -71,6 +71,8 @@ def test_large_lookup_splits_hot_keys_and_keeps_every_row(spark, monkeypatch):
     table = stage(spark.range(800).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), "t")
     monkeypatch.setattr(L, "HOT_KEYS", 3)
     found = L.lookup_join(facts, table, ["k"], max_broadcast_rows=10)
+    plan = plan_of(found)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
     assert sorted((r.i, r.v) for r in found.collect()) == [
         (i, k * 2) for i, k in enumerate(keys) if k is not None and k < 800
     ]
@@ -259,7 +261,7 @@ def test_tfidf_against_brute_force_with_a_hot_term(spark, monkeypatch):
         wanted |= {(i, t): v / length for t, v in raw.items()}
     for limit in (1000, 5):
         monkeypatch.setattr(L, "MAX_BROADCAST_ROWS", limit)
-        monkeypatch.setattr(L, "HOT_KEYS", 2)
+        monkeypatch.setattr(L, "HOT_KEYS", 20)
         found = {(r.id, r.term): r.tfidf for r in S.tfidf(df, "id").collect()}
         assert found == pytest.approx(wanted)
 
