@@ -66,6 +66,7 @@ def main() -> None:
             "spark.driver.memory": "20g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.sql.shuffle.partitions": cpus,
             # The test files are small: cut them so that every core gets a share.
             "spark.sql.files.maxPartitionBytes": "2m",

@@ -48,7 +48,10 @@ def timestamp(load_ts: datetime) -> Column:
 
 
 def resolve_date(df: DataFrame, dim: DataFrame, load_ts: datetime) -> DataFrame:
-    """Add ``date_id`` of the load's day (not of the review)."""
-    keys = ["review_year", "review_month", "review_day"]
-    dated = df.select("*", *date_parts(timestamp(load_ts)))
-    return lookup_join(dated, dim.select(*keys, "date_id"), keys).drop(*keys)
+    """Add ``date_id`` of the load's day (not of the review): one value for all rows."""
+    today = dim.filter(
+        (F.col("review_year") == load_ts.year)
+        & (F.col("review_month") == load_ts.month)
+        & (F.col("review_day") == load_ts.day)
+    )
+    return df.withColumn("date_id", today.agg(F.min("date_id")).scalar())

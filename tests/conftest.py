@@ -19,6 +19,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": "8g",
         },
     )

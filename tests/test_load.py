@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from reviewmart.operators import quality as Q
-from reviewmart.operators.keys import in_order
+from reviewmart.operators.enrich import enrich, loadable, with_attributes
+from reviewmart.operators.keys import dense_keys, in_order, number_rows
+from reviewmart.operators.normalize import drop_null_text
 from reviewmart.plans import admin, ingest
 from reviewmart.plans import dashboard as D
-from reviewmart.plans.load import load_star
-from reviewmart.operators.enrich import enrich
-from reviewmart.operators.normalize import drop_null_text
+from reviewmart.plans.load import fact_rows, load_star
 from reviewmart.profiles import APP, BATCH
 from reviewmart.session import staging_path
 from reviewmart.sources import csv_files
@@ -203,6 +203,17 @@ def test_dashboard_reads_no_text(spark, batch):
     assert "SortMergeJoin" not in plan
 
 
+def test_fact_is_built_without_shuffling_it(spark, sf, batch):
+    _, star = batch
+    rows = with_attributes(loadable(I.enriched(spark, sf), BATCH), BATCH)
+    numbered = number_rows(rows.withColumn("source_link", F.col("source")))
+    facts = fact_rows(dense_keys(numbered, "review_id"), star, I.LOAD_TS, BATCH)
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    # The only exchange by key is the one that counts rows per partition for the offsets.
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 4 and "NestedLoop" not in plan
+
+
 def test_quality_reports_find_faults(spark, path):
     star = append(spark, path, T1, "a1", "b2").star
     faulty = Star(
