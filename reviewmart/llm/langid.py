@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from reviewmart.llm.common import find_package, remainder, table, text_chunks
 
@@ -226,29 +227,33 @@ def fit(docs: DataFrame) -> LanguageModel:
     return LanguageModel(languages, idf, w, _best_temperature(logits, np.array([truth[i] for i in held], np.int64)))
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` (doc_id, text and others) as (doc_id, lang_pred, score), one row per row.
+def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``docs`` (text and others) with ``lang_pred`` and ``score`` put after its columns.
 
     Only the text is looked at. Without a letter (null and empty texts too), or where the model
-    learned no language, the language is ``und`` and the score 0.
+    learned no language, the language is ``und`` and the score 0. Columns of the same names
+    give way.
     """
     find_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop("lang_pred", "score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_chunks(batch):
-                found = [shared.value.predict(f, c) for f, c in _rows(data, offsets)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[low:high],
-                        pa.array([f[0] for f in found], pa.string()),
-                        pa.array([f[1] for f in found], pa.float64()),
-                    ],
-                    names=["doc_id", "lang_pred", "score"],
-                )
+            found = [
+                shared.value.predict(f, c) for _, _, data, offsets in text_chunks(batch) for f, c in _rows(data, offsets)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns,
+                    pa.array([f[0] for f in found], pa.string()),
+                    pa.array([f[1] for f in found], pa.float64()),
+                ],
+                names=[*batch.schema.names, "lang_pred", "score"],
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *added]))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +261,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(F.col("doc_id"), 3) == 1
     model = fit(docs.where(~held_out))
-    return predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return predicted(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 QUERIES = {"op6_language_id": op6_language_id}

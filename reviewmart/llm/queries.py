@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from reviewmart.llm import bpe, langid, minhash, packing, toxicity
+from reviewmart.llm import (
+    bpe,
+    langid,
+    lattice,
+    licences,
+    minhash,
+    multiindex,
+    ngrams,
+    packing,
+    toolcalls,
+    toxicity,
+)
 
-_MODULES = (packing, bpe, langid, toxicity, minhash)
+_MODULES = (ngrams, packing, multiindex, lattice, bpe, langid, toxicity, licences, minhash, toolcalls)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
