@@ -20,11 +20,6 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_CONFIDENCE = 0.5
 
 
-def _keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id ``verdicts`` (doc_id) holds; only ids and texts are shuffled."""
-    return docs.join(verdicts.select("doc_id").distinct(), "doc_id", "left_semi")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score, learned from the labels of kept folds, is below 0.3.
 

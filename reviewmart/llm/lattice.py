@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reviewmart.llm.common import constants, find_package, mix, table
 from reviewmart.llm.components import components
-from reviewmart.llm.vectors import is_valid, matrix, over_runs, same_length, unit_rows
+from reviewmart.llm.vectors import block_pairs, is_valid, matrix, over_runs, same_length, unit_rows
 from reviewmart.session import stage
 
 LEAST_COSINE = 0.93
@@ -95,20 +95,6 @@ def _cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 )
 
 
-def _blocks(members: DataFrame, key: str) -> DataFrame:
-    """Rows (key, node) dealt to pairs of blocks (key, lo, hi, first, node) of at most about BLOCK."""
-    sizes = members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
-    members = members.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    return members.withColumn("other", other).select(
-        key,
-        F.least("block", "other").alias("lo"),
-        F.greatest("block", "other").alias("hi"),
-        (F.col("block") <= F.col("other")).alias("first"),
-        "node",
-    )
-
-
 def _in_runs(blocks: DataFrame, vectors: DataFrame, key: str, work, schema: str) -> DataFrame:
     keys = [key, "lo", "hi"]
     joined = blocks.join(vectors, "node").repartition(*keys).sortWithinPartitions(*keys, "node")
@@ -185,9 +171,9 @@ def near_duplicate_vectors(rows: DataFrame) -> DataFrame:
         found.join(shared.where("own AND x <> y").select("key"), "key", "left_semi").select("key", "node").distinct(),
         "buckets",
     )
-    links = _in_runs(_blocks(buckets, "key"), vectors, "key", _spanning_links, "a long, b long")
+    links = _in_runs(block_pairs(buckets, "key", BLOCK), vectors, "key", _spanning_links, "a long, b long")
     named = stage(components(links), "components")
-    counts = _in_runs(_blocks(named, "component"), vectors, "component", _link_counts, "node long, n long")
+    counts = _in_runs(block_pairs(named, "component", BLOCK), vectors, "component", _link_counts, "node long, n long")
     by_class = stage(
         classes.join(named, "node", "left")
         .join(counts.groupBy("node").agg(F.sum("n").alias("n")), "node", "left")

@@ -9,26 +9,29 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from reviewmart.llm.common import constants, mix, table, text_chunks, word_hashes
 from reviewmart.llm.components import components
+from reviewmart.llm.vectors import block_pairs, over_runs
 from reviewmart.session import stage
 
 WORDS = 5
 #: Linked: NUMERATOR * union <= 100 * intersection.
 NUMERATOR = 75
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 64, 6
 COORDINATES = BANDS * ROWS
-#: Equal coordinates that a pair must show before its sets are fetched: six standard
-#: deviations below what a similarity of 0.75 gives, so one pair in 10^9 is lost by it.
-#: Coordinates are compared by one bit each, so unequal ones agree half the time.
-LEAST_EQUAL = int(COORDINATES * 0.875 - 6 * (COORDINATES * 0.875 * 0.125) ** 0.5)
+#: Sketches are compared by one byte of each coordinate. A pair of similarity 0.75 has this many
+#: equal ones but for one case in 30,000; only such pairs have their sets fetched.
+LEAST_EQUAL = int(COORDINATES * 0.75 - 4 * (COORDINATES * 0.75 * 0.25) ** 0.5)
+#: The same by one bit, at six standard deviations: a cheap first look.
+LEAST_BITS = int(COORDINATES * 0.875 - 6 * (COORDINATES * 0.875 * 0.125) ** 0.5)
+#: Nodes of a bucket that are compared with as many others at once.
+BLOCK = 512
 #: Candidate ids up to this count (16 MB) are sent to all tasks; beyond it texts are shuffled.
 BROADCAST_IDS = 1_000_000
 
 _WORDS = tuple(f"bits{k}" for k in range(COORDINATES // 64))
-_SKETCHED = "doc_id long, n_shingles long, digest binary, bands array<long>, " + ", ".join(f"{w} long" for w in _WORDS)
+_SKETCHED = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary, " + ", ".join(f"{w} long" for w in _WORDS)
 
 _SHINGLE = constants(WORDS, 11)
 _SEEDS = constants(2 * COORDINATES, 23)
@@ -80,6 +83,12 @@ def fast_sketch(items: np.ndarray) -> np.ndarray:
     return mix(bins)
 
 
+def band_keys(sketch: np.ndarray) -> np.ndarray:
+    """One key per band of ROWS coordinates, of their bytes as they are compared later."""
+    folded = (sketch.reshape(BANDS, ROWS) + np.uint64(1)) * _FOLD
+    return mix(folded.sum(axis=1, dtype=np.uint64) + _BAND)
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, high, data, offsets in text_chunks(batch):
@@ -89,22 +98,22 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 if not len(items):
                     digests.append(None)
                     bands.append(None)
-                    sketches.append([None] * len(_WORDS))
+                    sketches.append((None, [None] * len(_WORDS)))
                     continue
                 digests.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest())
-                sketch = fast_sketch(items)
-                folded = (sketch.reshape(BANDS, ROWS) * _FOLD).sum(axis=1, dtype=np.uint64)
-                bands.append(mix(folded + _BAND).view(np.int64))
-                sketches.append(np.packbits((sketch & np.uint64(1)).astype(bool)).view(np.int64).tolist())
+                sketch = fast_sketch(items).astype(np.uint8)
+                bands.append(band_keys(sketch).view(np.int64))
+                sketches.append((sketch.tobytes(), np.packbits(sketch & 1).view(np.int64).tolist()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0)[low:high],
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
-                    *(pa.array([s[k] for s in sketches], pa.int64()) for k in range(len(_WORDS))),
+                    pa.array([s[0] for s in sketches], pa.binary()),
+                    *(pa.array([s[1][k] for s in sketches], pa.int64()) for k in range(len(_WORDS))),
                 ],
-                names=["doc_id", "n_shingles", "digest", "bands", *_WORDS],
+                names=["doc_id", "n_shingles", "digest", "bands", "sketch", *_WORDS],
             )
 
 
@@ -130,7 +139,7 @@ def _likely(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         pairs = pairs.join(side.toDF(end, f"n{end}", *(f"{end}{k}" for k in range(len(_WORDS)))), end)
     return (
         pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * NUMERATOR)
-        .where(_equal_bits("a", "b") >= LEAST_EQUAL)
+        .where(_equal_bits("a", "b") >= LEAST_BITS)
         .select("a", "b", "na", "nb")
     )
 
@@ -152,12 +161,57 @@ def _verified(docs: DataFrame, likely: DataFrame) -> DataFrame:
     )
 
 
-def _pivots(entries: DataFrame, count: int) -> DataFrame:
-    """The least ``count`` nodes of each bucket."""
-    if count == 1:
-        return entries.groupBy("key").agg(F.min("node").alias("pivot"))
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-    return entries.withColumn("rank", rank).where(F.col("rank") <= count).select("key", F.col("node").alias("pivot"))
+def _open_buckets(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows (key, node, component) of the buckets that hold several components."""
+    named = entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    ends = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    return named.join(ends.where("x <> y").select("key"), "key", "left_semi")
+
+
+def _apart_but_alike(run: pa.Table) -> pa.RecordBatch | None:
+    """Pairs of one block pair that lie in different components and have like sketches.
+
+    A pair is given by the first bucket that both are in, and by no other.
+    """
+    rows, first = run.num_rows, run["first"].to_numpy(zero_copy_only=False)
+    node, component, size = (run[c].to_numpy() for c in ("node", "component", "n_shingles"))
+    sketch = np.frombuffer(b"".join(run["sketch"].to_pylist()), np.uint8).reshape(rows, COORDINATES)
+    bits = np.packbits(sketch & 1, axis=1).view(np.uint64)
+    same = run["lo"][0].as_py() == run["hi"][0].as_py()
+    left = np.arange(rows) if same else np.flatnonzero(first)
+    right = np.arange(rows) if same else np.flatnonzero(~first)
+    key, pairs = np.int64(run["key"][0].as_py()), []
+    for i in left.tolist():
+        j = right[right > i] if same else right
+        j = j[component[j] != component[i]]
+        j = j[np.minimum(size[j], size[i]) * 100 >= np.maximum(size[j], size[i]) * NUMERATOR]
+        j = j[COORDINATES - np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64) >= LEAST_BITS]
+        equal = sketch[j] == sketch[i]
+        alike = equal.sum(axis=1) >= LEAST_EQUAL
+        j, equal = j[alike], equal[alike]
+        if len(j):
+            shared = equal.reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1)
+            j = j[band_keys(sketch[i]).view(np.int64)[shared] == key]
+            pairs.extend((min(node[i], x), max(node[i], x)) for x in node[j].tolist())
+    if not pairs:
+        return None
+    a, b = zip(*pairs)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _remaining(nodes: DataFrame, entries: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs (a, b, na, nb) that share a bucket, lie in different components and look alike."""
+    open_ = stage(_open_buckets(entries, found), "open")
+    size = nodes.select("node", "n_shingles")
+    about = (
+        open_.select("node", "component").distinct().join(nodes.select("node", "n_shingles", "sketch"), "node")
+    )
+    keys = ["key", "lo", "hi"]
+    met = block_pairs(open_.select("key", "node"), "key", BLOCK).join(about, "node")
+    pairs = met.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(
+        over_runs(keys, _apart_but_alike), "a long, b long"
+    )
+    return pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").select("a", "b", "na", "nb")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -165,10 +219,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Returns (doc_id, n_shingles, component_id, kept), one row per input row. Documents of equal
     shingle sets are one class, whatever their number, and only classes are compared. In a
-    bucket, the least node is compared with all others; then only nodes that still lie in
-    different components go on, compared with four times as many pivots each round, until no
-    bucket holds two components. So copies never make all their pairs, and no pair that could
-    join two components is left out.
+    bucket, the least node is compared with all others. Where a bucket then still holds several
+    components, in blocks, every two nodes of different ones are looked at, and verified where
+    their sketches are alike. So copies never make all their pairs, and no pair that could join
+    two components is left out.
 
     Null and empty texts have no shingles and stand alone. A null doc_id stands alone and is
     kept. Rows of the same doc_id count as one document.
@@ -177,47 +231,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = stage(
         sketches.where("digest IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min_by(F.struct("n_shingles", "bands", *_WORDS), "doc_id").alias("s"), F.min("doc_id").alias("node"))
+        .agg(F.min_by(F.struct("n_shingles", "bands", "sketch", *_WORDS), "doc_id").alias("s"), F.min("doc_id").alias("node"))
         .select("digest", "node", "s.*"),
         "nodes",
     )
     entries = nodes.select(F.explode("bands").alias("key"), "node").distinct()
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     entries = stage(entries.join(shared, "key", "left_semi"), "entries")
-    found, linked, tested, count = None, None, None, 1
-    while True:
-        pivots = _pivots(entries, count)
-        live = entries
-        if found is not None:
-            names = found.toDF("node", "component")
-            live = entries.join(names, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            marks = live.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-            live = live.join(marks.where("x <> y").select("key"), "key", "left_semi")
-            live = stage(live, "live")
-            if live.isEmpty():
-                break
-            pivots = _pivots(live.select("key", "node"), count)
-            pivots = pivots.join(names.toDF("pivot", "other"), "pivot", "left").withColumn(
-                "other", F.coalesce("other", "pivot")
-            )
-            near = live.join(pivots, "key").where("component <> other")
-        else:
-            near = live.join(pivots, "key").where("node <> pivot")
-        pairs = near.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        likely = stage(_likely(nodes, pairs), "likely")
-        if not likely.isEmpty():
-            links = _verified(docs, likely)
-            linked = links if linked is None else links.unionAll(linked.select("a", "b"))
-            found = components(linked)
-            linked = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        elif found is None:
-            found = components(pairs.limit(0))
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        entries = stage(live.select("key", "node").join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"), "entries")
-        count *= 4
+    pivots = entries.groupBy("key").agg(F.min("node").alias("pivot"))
+    pairs = entries.join(pivots, "key").where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    links = _verified(docs, stage(_likely(nodes, pairs.distinct()), "likely"))
+    found = stage(components(links), "components")
+    remaining = stage(_remaining(nodes, entries, found), "remaining")
+    if not remaining.isEmpty():
+        links = _verified(docs, remaining)
+        found = stage(components(links.unionAll(found.select("node", "component"))), "components")
     classes = nodes.join(found.toDF("node", "component_id"), "node", "left").select(
         "digest", F.coalesce("component_id", "node").alias("component_id")
     )

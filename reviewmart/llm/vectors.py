@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -68,3 +68,21 @@ def over_runs(keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None]
             yield from filter(None, [work(pa.Table.from_batches(rest))])
 
     return run
+
+
+def block_pairs(members: DataFrame, key: str, block: int) -> DataFrame:
+    """Members (key, node) of groups, dealt to all pairs of blocks of about ``block`` of their group.
+
+    Rows (key, lo, hi, first, node): whoever holds one (key, lo, hi) can compare the nodes of
+    block ``lo`` (first) with those of ``hi``. A group of any size becomes tasks of bounded size.
+    """
+    sizes = members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("blocks"))
+    members = members.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    return members.withColumn("other", other).select(
+        key,
+        F.least("block", "other").alias("lo"),
+        F.greatest("block", "other").alias("hi"),
+        (F.col("block") <= F.col("other")).alias("first"),
+        "node",
+    )
