@@ -4,28 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 
-_HALF = np.arange(1 << 16, dtype=np.uint16)
-_BITS = ((_HALF[:, None] >> np.arange(16, dtype=np.uint16)) & 1).astype(bool)
-_ONES = _BITS.sum(axis=1).astype(np.uint8)
-
-
-def _places(bits: np.ndarray) -> np.ndarray:
-    """Row w, column r: where word w of 16 bits has its r-th set bit."""
-    out = np.zeros((len(bits), 16), np.uint8)
-    words, at = np.nonzero(bits)
-    rank = (np.cumsum(bits, axis=1) - 1)[words, at]
-    out[words, rank] = at
-    return out
-
-
-_ONE_AT, _ZERO_AT = _places(_BITS), _places(~_BITS)
-
 
 class EliasFano:
     """A non-decreasing sequence of 64-bit values in about 2 + log2(universe / length) bits each.
 
-    The low bits of the values are packed; the high bits are a row of unary numbers, with the
-    ranks of its ones and zeros noted per 16 bits. The four arrays may lie in a mapped file.
+    What is stored: the low bits of the values, packed, and the high bits as a row of unary
+    numbers. Both may lie in a mapped file. The row is unpacked once, on first use, to where
+    the values of each high part begin, or to where each value's bit is.
     """
 
     def __init__(self, values: np.ndarray):
@@ -35,15 +20,13 @@ class EliasFano:
         top = int(values[-1]) if n else 0
         self.shift = max(0, (top // max(n, 1)).bit_length() - 1)
         high = (values >> np.uint64(self.shift)).astype(np.int64)
-        size = n + (int(high[-1]) if n else 0) + 2
-        row = np.zeros(-(-size // 16) * 16, bool)
+        self.size = n + (int(high[-1]) if n else 0) + 1
+        row = np.zeros(self.size, bool)
         row[high + np.arange(n)] = True
-        self.high = np.packbits(row, bitorder="little").view(np.uint16)
-        ones = _ONES[self.high].astype(np.int64)
-        before = np.cumsum(ones) - ones
-        self.ones = before.astype(np.uint32)
-        self.zeros = (np.arange(len(ones)) * 16 - before).astype(np.uint32)
+        self.high = np.packbits(row, bitorder="little")
         self.low = self._packed(values) if self.shift else np.zeros(2, np.uint64)
+        self._begins: np.ndarray | None = None
+        self._places: np.ndarray | None = None
 
     def _packed(self, values: np.ndarray) -> np.ndarray:
         out = np.zeros(-(-self.n * self.shift // 64) + 2, np.uint64)
@@ -56,53 +39,51 @@ class EliasFano:
         return out
 
     def arrays(self) -> dict[str, np.ndarray]:
-        return {"high": self.high, "ones": self.ones, "zeros": self.zeros, "low": self.low}
+        return {"high": self.high, "low": self.low}
+
+    def _row(self) -> np.ndarray:
+        return np.unpackbits(self.high, count=self.size, bitorder="little").view(bool)
 
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.shift:
             return np.zeros(len(at), np.uint64)
         place = at.astype(np.uint64) * np.uint64(self.shift)
         word, bit = (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
-        value = self.low[word] >> bit
-        over = bit > 0
-        value[over] |= self.low[word[over] + 1] << (np.uint64(64) - bit[over])
+        # Shifted in two steps, as a shift by 64 is no shift.
+        value = (self.low[word] >> bit) | ((self.low[word + 1] << (np.uint64(63) - bit)) << np.uint64(1))
         return value & np.uint64((1 << self.shift) - 1)
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
         """The values at the places ``at``: the place of a one gives its high part."""
-        word = np.searchsorted(self.ones, at, "right") - 1
-        place = word * 16 + _ONE_AT[self.high[word], at - self.ones[word]]
-        return ((place - at).astype(np.uint64) << np.uint64(self.shift)) | self._low(at)
-
-    def _after_zero(self, k: np.ndarray) -> np.ndarray:
-        """How many values have a high part below k."""
-        out = np.zeros(len(k), np.int64)
-        some = np.flatnonzero(k > 0)
-        nth = k[some] - 1
-        last = int(self.zeros[-1]) + 16 - int(_ONES[self.high[-1]])
-        inside = nth < last
-        out[some[~inside]] = self.n
-        some, nth = some[inside], nth[inside]
-        word = np.searchsorted(self.zeros, nth, "right") - 1
-        out[some] = word * 16 + _ZERO_AT[self.high[word], nth - self.zeros[word]] - nth
-        return out
+        if self._places is None:
+            self._places = np.flatnonzero(self._row())
+        return ((self._places[at] - at).astype(np.uint64) << np.uint64(self.shift)) | self._low(at)
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """The place of each value, -1 where the sequence has none: the successor among the few
-        values that share the high part, if it is the value itself."""
+        """The place of each value, -1 where the sequence has none: the successor, by halving,
+        among the values that share the high part, if it is the value itself."""
         if not self.n:
             return np.full(len(values), -1, np.int64)
+        if self._begins is None:
+            zeros = np.flatnonzero(~self._row())
+            begins = np.concatenate([[0], zeros - np.arange(len(zeros)), [self.n]])
+            self._begins = begins.astype(np.uint32 if self.n < 1 << 32 else np.int64)
         values = values.astype(np.uint64, copy=False)
-        high = (values >> np.uint64(self.shift)).astype(np.int64)
-        at, end = self._after_zero(high), self._after_zero(high + 1)
+        high = np.minimum(values >> np.uint64(self.shift), np.uint64(len(self._begins) - 1)).astype(np.int64)
+        at = self._begins[high].astype(np.int64)
+        stop = self._begins[np.minimum(high + 1, len(self._begins) - 1)].astype(np.int64)
         wanted = values & np.uint64((1 << self.shift) - 1)
-        out = np.full(len(values), -1, np.int64)
+        end = stop.copy()
         on = np.flatnonzero(at < end)
-        at, end, wanted = at[on], end[on], wanted[on]
         while len(on):
-            held = self._low(at)
-            hit = held == wanted
-            out[on[hit]] = at[hit]
-            go = ~hit & (held < wanted) & (at + 1 < end)
-            on, at, end, wanted = on[go], at[go] + 1, end[go], wanted[go]
+            low, up = at[on], end[on]
+            middle = (low + up) >> 1
+            below = self._low(middle) < wanted[on]
+            low, up = np.where(below, middle + 1, low), np.where(below, up, middle)
+            at[on], end[on] = low, up
+            on = on[low < up]
+        out = np.full(len(values), -1, np.int64)
+        near = np.flatnonzero(at < stop)
+        hit = near[self._low(at[near]) == wanted[near]]
+        out[hit] = at[hit]
         return out
