@@ -1,0 +1,462 @@
+"""The training-data operators against brute force, and on rows that are easy to get wrong."""
+
+import base64
+import collections
+import hashlib
+import json
+import math
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from reviewmart.llm import bpe, langid, lattice, licences, minhash, multiindex, ngrams, packing, toolcalls, toxicity
+from reviewmart.llm.common import find_package
+from reviewmart.llm.components import components
+from reviewmart.llm.elias_fano import EliasFano
+from reviewmart.llm.queries import QUERIES
+
+BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+LONG = "über the hills and far away 1234 'tis " * 4000
+TEXTS = [None, "", "  \n\t ", "a", "a b c", LONG, LONG, "Straße ñandú's 中文 \u0000 é😀", "the same text of six words", "the same text of six words", "1 2 3 !", "x" * 3000]
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    """Null ids, null and empty texts, a repeated row, long texts, and columns with taken names."""
+    find_package(spark)
+    rows = [(i, t, ("en", "de", None)[i % 3], "s", i) for i, t in enumerate(TEXTS)]
+    rows += [rows[8], (None, "the same text of six words", "en", None, None), (None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    clashing = ("score", "node", "key", "piece", "held", "lang_pred", "row", "part", "word")
+    return spark.createDataFrame(rows, schema).withColumns({c: F.lit("x") for c in clashing}).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def documents(spark, sf):
+    find_package(spark)
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+def test_elias_fano_finds_and_reads_back():
+    rng = np.random.default_rng(1)
+    for top in (3, 500, 10**9, 2**63 - 1):
+        values = np.unique(rng.integers(0, top, 400))
+        held = EliasFano(values)
+        asked = np.concatenate([values, rng.integers(0, top, 400)])
+        place = {v: i for i, v in enumerate(values.tolist())}
+        assert held.find(asked).tolist() == [place.get(v, -1) for v in asked.tolist()]
+        assert (held[np.arange(len(values))] == values).all()
+    crowded = EliasFano(np.concatenate([np.arange(5000), [2**40]]))
+    assert crowded.find(np.array([4999, 5000, 2**40])).tolist() == [4999, -1, 5000]
+
+
+def test_a_trie_sums_to_one_at_most():
+    rng = np.random.default_rng(2)
+    word = rng.integers(1, 6, 400).astype(np.uint64)
+    before, after = (rng.integers(1, 9, 400).astype(np.uint32) for _ in range(2))
+    share = 1 / 8
+    trie = ngrams.Trie(word, before, after, np.full(400, math.log10(share)))
+    for w in range(1, 6):
+        for b in (1, 5, 99):
+            c = np.arange(1, 9).astype(np.uint32)
+            rank = np.repeat(trie.sequences["words"].find(np.array([w])), 8)
+            value, open_ = trie.score(rank, np.full(8, b, np.uint32), c)
+            total = (10 ** (value + np.where(open_, math.log10(share), 0))).sum()
+            assert 0.8 < total <= 1 + 1e-9
+
+
+def ngram_rows(docs):
+    scored = ngrams.score(docs.withColumn("held_out", ngrams.remainder(F.col("doc_id"), 5) == 1))
+    return [r.asDict() for r in scored.collect()]
+
+
+def test_ngram_base_scores_are_exact(documents):
+    found = {r["doc_id"]: r for r in ngram_rows(documents)}
+    tokens = {r["doc_id"]: words(r["text"]) + [None] for r in documents.select("doc_id", "text").collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in tokens}
+    counts = collections.Counter(t for i, ts in tokens.items() if not held[i] for t in ts)
+    norm = sum(counts.values()) + 0.5 * (len(counts) + 1)
+    for i, ts in tokens.items():
+        row = found[i]
+        assert (row["held_out"], row["n_tokens"]) == (held[i], len(ts))
+        assert row["n_known"] == sum(counts[t] > 0 for t in ts)
+        assert row["base_score"] == pytest.approx(sum(math.log10((counts[t] + 0.5) / norm) for t in ts), abs=1e-6)
+    out = [r for r in found.values() if r["held_out"]]
+    assert sum(r["score"] for r in out) > 1.001 * sum(r["base_score"] for r in out)
+
+
+def test_split_words_keep_scores_whole(documents, monkeypatch):
+    monkeypatch.setattr(ngrams, "SHARD_POSITIONS", 2000)
+    monkeypatch.setattr(ngrams.Usual, "__post_init__", lambda u: setattr(u, "salts", np.maximum(1, u.counts // 300)))
+    rows = ngram_rows(documents)
+    assert len(rows) == documents.count() and all(r["score"] < 0 for r in rows)
+
+
+def test_ngrams_on_edges(edges):
+    rows = ngram_rows(edges)
+    assert len(rows) == edges.count()
+    assert all(math.isfinite(r["score"]) and r["n_tokens"] >= 1 for r in rows)
+    empty = ngram_rows(edges.where("false"))
+    assert empty == []
+
+
+def test_word_ids_are_the_tokenizers_own(edges):
+    tokenizer = Tokenizer.from_file(WORDS)
+    tokenizer.encode_special_tokens = True
+    found = collections.defaultdict(list)
+    for r in packing.token_pieces(edges, WORDS).collect():
+        found[r["doc_id"]].append(r)
+    for i, text in enumerate(TEXTS):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        parts = {r["piece"]: r for r in found[i]}
+        assert len(parts) == -(-len(ids) // 4096)
+        for k, r in parts.items():
+            piece = np.array(ids[4096 * k : 4096 * (k + 1)], "<u4")
+            assert (r["start"], r["length"], r["ids_crc32"]) == (4096 * k, len(piece), zlib.crc32(piece.tobytes()))
+
+
+def check_packing(rows, capacity):
+    places = collections.defaultdict(list)
+    for r in rows:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for spans in places.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(places)
+
+
+def test_packing_meets_its_bound_and_keeps_all_pieces(edges, documents, monkeypatch):
+    pieces = packing.token_pieces(documents, WORDS)
+    monkeypatch.setattr(packing, "PARTITION_PIECES", 40)
+    packed = packing.pack(pieces)
+    used, bound = packing.certificate(packed)
+    assert check_packing(packed.collect(), 4096) == used
+    assert packed.count() == pieces.count() and bound <= used <= bound * 1.05 + 1
+    whole = packing.pack(packing.token_pieces(edges, WORDS))
+    assert whole.count() == packing.token_pieces(edges, WORDS).count()
+    check_packing(whole.collect(), 4096)
+    assert packing.pack(packing.token_pieces(edges.where("false"), WORDS)).count() == 0
+
+
+def test_bounds_never_pass_the_best_packing():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        lengths = rng.integers(1, 13, rng.integers(1, 8))
+        sizes = [0] * len(lengths)
+
+        def best(k, bins):
+            if k == len(lengths):
+                return len(bins)
+            options = [best(k + 1, bins + [lengths[k]])]
+            for i, b in enumerate(bins):
+                if b + lengths[k] <= 12:
+                    options.append(best(k + 1, bins[:i] + [b + lengths[k]] + bins[i + 1 :]))
+            return min(options)
+
+        assert packing.lower_bound(lengths, 12) <= best(0, []) <= packing.best_fit(lengths, 12)[2] <= len(sizes)
+
+
+def test_byte_pairs_equal_tiktoken(edges):
+    ranks = bpe.read_ranks(BYTES)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoded = bpe.encode(edges, BYTES, public_tokenizers.PATTERN)
+    ids = {r["doc_id"]: r["ids"] for r in encoded.collect()}
+    back = {r["doc_id"]: bytes(r["bytes"]) for r in bpe.decode(encoded, BYTES).collect()}
+    digests = {r["doc_id"]: r for r in bpe.round_trip_digests(edges, BYTES, public_tokenizers.PATTERN).collect()}
+    for i, text in enumerate(TEXTS):
+        assert ids[i] == own.encode_ordinary(text or "")
+        assert back[i] == (text or "").encode()
+        assert digests[i]["n_tokens"] == len(ids[i])
+        assert digests[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids[i])).encode()).hexdigest()
+        assert digests[i]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+    assert base64.b64decode(open(BYTES, "rb").readline().split()[0]) in ranks
+
+
+def test_language_model_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = langid.op6_language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    out = [r for r in rows if r["held_out"]]
+    assert len(rows) == docs.count() and sum(r["lang"] == r["lang_pred"] for r in out) > 0.97 * len(out)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_language_on_edges(edges):
+    model = langid.fit(edges)
+    rows = langid.predicted(edges, model).select("doc_id", "lang_pred", "score").collect()
+    assert len(rows) == edges.count()
+    by_id = {r["doc_id"]: r for r in rows}
+    assert {by_id[i]["lang_pred"] for i in (0, 1, 2, 10)} == {"und"}
+    untaught = langid.fit(edges.where("false"))
+    assert {r["lang_pred"] for r in langid.predicted(edges, untaught).select("lang_pred").collect()} == {"und"}
+    assert langid.predicted(edges.where("false"), model).count() == 0
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    rows = toxicity.op7_toxicity(spark, sf).join(labels, "doc_id").where("held_out").collect()
+    ill = [r["predicted"] for r in rows if r["toxic"] == 1]
+    well = [r["predicted"] for r in rows if r["toxic"] == 0]
+    assert sum(ill) > 0.75 * len(ill) and sum(well) < 0.02 * len(well)
+
+
+def test_toxicity_on_edges(spark, edges):
+    labels = spark.createDataFrame([(3, 1), (4, 0), (4, 1), (5, None), (None, 1), (8, 0)], "doc_id long, toxic int")
+    for given in (labels, labels.where("false")):
+        model = toxicity.fit(edges, given)
+        rows = toxicity.scored(edges, model).select("doc_id", "score").collect()
+        assert len(rows) == edges.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert toxicity.scored(edges.where("false"), model).count() == 0
+
+
+def least_of(links, names):
+    parent = {n: n for n in names}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    return {n: root(n) for n in names}
+
+
+def shingles(text):
+    w = words(text)
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def near_pairs(sets):
+    holders = collections.defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            holders[x].append(i)
+    common = collections.Counter((a, b) for ids in holders.values() for a in ids for b in ids if a < b)
+    return [(a, b) for (a, b), n in common.items() if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n)]
+
+
+def test_minhash_equals_brute_force(documents):
+    sets = {r["doc_id"]: shingles(r["text"]) for r in documents.select("doc_id", "text").collect()}
+    least = least_of(near_pairs(sets), sets)
+    for r in minhash.near_duplicates(documents).collect():
+        assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), least[r["doc_id"]])
+        assert r["kept"] == (r["doc_id"] == least[r["doc_id"]])
+
+
+def test_minhash_follows_chains_through_a_bucket(spark):
+    """A large group in which neighbours are near and the ends are not, in blocks of a few."""
+    base = [f"w{k}" for k in range(120)]
+    rows = [(i, " ".join(base[:20] + [f"n{j}" for j in range(i, i + 60)] + base[20:])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    find_package(spark)
+    sets = {i: shingles(t) for i, t in rows}
+    old, minhash.BLOCK = minhash.BLOCK, 8
+    try:
+        found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()}
+    finally:
+        minhash.BLOCK = old
+    assert found == least_of(near_pairs(sets), sets)
+
+
+def test_minhash_on_edges(edges):
+    rows = minhash.near_duplicates(edges).collect()
+    assert len(rows) == edges.count()
+    by_id = {r["doc_id"]: r for r in rows if r["doc_id"] is not None}
+    assert [by_id[i]["component_id"] for i in (0, 1, 2, 5, 6, 8, 9)] == [0, 1, 2, 5, 5, 8, 8]
+    assert all(r["kept"] and r["component_id"] is None for r in rows if r["doc_id"] is None)
+    assert minhash.near_duplicates(edges.where("false")).count() == 0
+
+
+def test_every_filled_sketch_estimates_the_similarity():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    for size in (1, 3, 40, 3000):
+        a, b = pool[:size], pool[size // 4 : size + size // 4]
+        x, y = minhash.fast_sketch(a), minhash.fast_sketch(b)
+        true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        assert abs((x == y).mean() - true) < 0.2
+
+
+def test_components_of_a_path_and_a_star(spark):
+    links = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 7), (None, 3)]
+    rows = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r["node"]: r["component"] for r in rows} == {**{i: 0 for i in range(31)}, **{100 + i: 100 for i in range(20)}}
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    find_package(spark)
+    rng = np.random.default_rng(5)
+    rows, centre = [], rng.normal(size=(6, 16))
+    for i in range(300):
+        v = centre[i % 6] + rng.normal(size=16) * (0.03 if i % 2 else 1.0)
+        rows.append((i, v.astype(np.float32).tolist(), int(i % 4 // 2)))
+    rows += [(300 + k, rows[7][1], 1) for k in range(40)]
+    rows += [(340, None, 1), (341, [0.0] * 16, 1), (342, [float("nan")] * 16, 1), (343, [1.0, None], 0), (344, [], 0)]
+    rows += [(345, rows[7][1], None), (None, rows[7][1], 1), (346, [1.0, 2.0], 0), (347, [2.0, 4.0], 0), rows[9]]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("node", F.lit("x"))
+
+
+def test_lattice_equals_brute_force(vectors):
+    old, lattice.BLOCK = lattice.BLOCK, 16
+    try:
+        rows = lattice.near_duplicate_vectors(vectors).collect()
+    finally:
+        lattice.BLOCK = old
+    assert len(rows) == vectors.count()
+    given = [
+        r
+        for r in vectors.collect()
+        if r["vec_id"] is not None and r["label"] is not None and r["embedding"] and all(x is not None and math.isfinite(x) for x in r["embedding"]) and any(r["embedding"])
+    ]
+    links, counts = [], collections.Counter()
+    for i, a in enumerate(given):
+        for b in given[:i]:
+            if a["label"] == b["label"] and len(a["embedding"]) == len(b["embedding"]):
+                x, y = np.array(a["embedding"]), np.array(b["embedding"])
+                if x @ y >= 0.93 * math.sqrt((x @ x) * (y @ y)):
+                    links.append((a["vec_id"], b["vec_id"]))
+                    counts[a["vec_id"]] += 1
+                    counts[b["vec_id"]] += 1
+    least = least_of(links, {r["vec_id"] for r in given})
+    for r in rows:
+        if r["vec_id"] == 9:  # its row is there twice
+            continue
+        assert r["component_id"] == least.get(r["vec_id"], r["vec_id"])
+        assert r["n_links"] == counts[r["vec_id"]] or r["vec_id"] is None
+    assert lattice.near_duplicate_vectors(vectors.where("false")).count() == 0
+
+
+def test_e8_points_are_the_nearest():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 8)) * 3
+    near = lattice.nearest_e8(x)
+    assert ((near * 2) % 1 == 0).all() and (near.sum(axis=1) % 2 == 0).all()
+    other = near[:, None, :] + lattice._ROOTS
+    assert (((x - near) ** 2).sum(1) <= ((x[:, None, :] - other) ** 2).sum(2).min(1) + 1e-9).all()
+
+
+def test_multi_index_recall_and_ties(vectors):
+    found = multiindex.nearest(vectors, F.col("vec_id") % 20 == 0).collect()
+    valid = {
+        r["vec_id"]: np.array(r["embedding"], float)
+        for r in vectors.collect()
+        if r["vec_id"] is not None and r["embedding"] and len(r["embedding"]) == 16 and all(x is not None and math.isfinite(x) for x in r["embedding"]) and any(r["embedding"])
+    }
+    hits = total = 0
+    for q in [i for i in valid if i % 20 == 0]:
+        got = [(r["vec_id"], r["score"]) for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert len(got) == 20 and q not in dict(got)
+        assert got == sorted(got, key=lambda x: (-x[1], x[0]))
+        best = sorted((i for i in valid if i != q), key=lambda i: (-round(float(valid[i] @ valid[q]), 9), i))[:20]
+        hits += len(set(best) & set(dict(got)))
+        total += 20
+        assert all(score == pytest.approx(valid[i] @ valid[q]) for i, score in got)
+    assert hits >= 0.9 * total
+    assert multiindex.nearest(vectors.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_centroid_pairs_come_by_growing_distance():
+    rng = np.random.default_rng(7)
+    a, b = rng.random(7), rng.random(9)
+    order = multiindex.visit(a, b, np.ones((7, 9), int), 63)
+    sums = [a[i] + b[j] for i, j in order]
+    assert len(set(order)) == 63 and sums == sorted(sums)
+
+
+def test_licences_on_edges(spark, edges):
+    find_package(spark)
+    given = [
+        (1, "Some words.\nReleased under the MIT License.\n\nAll rights reserved."),
+        (2, "A license to drive.\nThe MIT campus."),
+        (None, "Licensed under CC BY-NC 4.0."),
+        (1, "Licensed under CC BY-NC 4.0."),
+        (3, None),
+    ]
+    docs = edges.select("doc_id", "text").where("doc_id > 3").unionAll(spark.createDataFrame(given, "doc_id long, text string"))
+    found = {r["doc_id"]: r for r in licences.scan(docs).collect()}
+    assert len(found) == docs.select("doc_id").distinct().count()
+    assert found[1]["families"] == "cc-by-nc,mit,proprietary" and found[1]["n_lines"] == 4
+    assert (found[2]["families"], found[3]["n_lines"], found[None]["families"]) == ("", 0, "cc-by-nc")
+
+
+def test_licences_stay_native(spark, documents):
+    text = licences.classify(licences.lines_of(documents), licences.LicenceModel(["mit", "unknown"], [-1.0, 1.0], {"mit": [3.0, 0.0]}))
+    plan = text._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_tool_calls_on_edges(spark):
+    find_package(spark)
+    calls = spark.createDataFrame(
+        [
+            (1, 0, "a", None, "search", '{"text":"x", "limit": 3}'),
+            (1, 2, "b", "a", "search", '{"limit": 99, "text": ""}'),
+            (1, 3, "b", "a", "search", "{}"),
+            (1, 4, "c", "b", "nothing", "{}"),
+            (2, 0, "p", "q", "lookup", "not json"),
+            (2, 1, "q", "p", "lookup", None),
+            (3, 0, None, None, "lookup", "[1]"),
+            (3, 1, "z", "gone", "lookup", '{"text":"é","limit":1.5,"more":1}'),
+        ],
+        "conv_id long, turn long, call_id string, parent_id string, name string, arguments string",
+    ).withColumn("depth", F.lit("x"))
+    results = spark.createDataFrame(
+        [(1, 1, "a", "fine"), (1, 9, "none", None), (3, 5, None, "x")],
+        "conv_id long, turn long, call_id string, content string",
+    )
+    rows = {(r["conv_id"], r["turn"]): r for r in toolcalls.link(calls, results, toolcalls.TOOLS).collect()}
+    assert len(rows) == 11
+    assert rows[1, 0]["status"] == "linked" and rows[1, 0]["errors"] == ""
+    assert rows[1, 0]["message"] == '{"arguments":{"limit":3,"text":"x"},"id":"a","name":"search","type":"call"}'
+    assert (rows[1, 2]["depth"], rows[1, 2]["errors"]) == (1, "limit:maximum;text:minLength")
+    assert rows[1, 3]["status"] == "duplicate" and rows[1, 4]["depth"] == 2 and rows[1, 4]["errors"] == "name:unknown"
+    assert {rows[2, 0]["status"], rows[2, 1]["status"]} == {"cyclic"} and rows[2, 0]["errors"] == "arguments:json"
+    assert rows[3, 0]["status"] == "unidentified" and rows[3, 0]["errors"] == "arguments:type"
+    assert rows[3, 1]["errors"] == "limit:type;more:additionalProperties" and rows[3, 1]["depth"] == 0
+    assert (rows[1, 1]["status"], rows[1, 9]["status"], rows[3, 5]["status"]) == ("linked", "orphan", "unidentified")
+    assert json.loads(rows[1, 9]["message"])["content"] is None
+    assert toolcalls.link(calls.where("false"), results.where("false"), toolcalls.TOOLS).count() == 0
+
+
+def test_long_chains_are_ordered(spark):
+    chain = [(f"c{i}", f"c{i - 1}" if i else None) for i in range(50)]
+    rows = toolcalls.depths(spark.createDataFrame(chain, "call_id string, parent_id string")).collect()
+    assert {r["call_id"]: r["depth"] for r in rows} == {f"c{i}": i for i in range(50)}
+
+
+def test_pipeline_stages_take_effect(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    find_package(spark)
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "language", "near_duplicates", "packing"]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf).cache()
+        assert kept.columns == list(corpus_pipeline.COLUMNS)
+        assert 0.7 * docs.count() < kept.count() <= docs.count()
+        docs = kept
+    sets = {r["doc_id"]: shingles(r["text"]) for r in docs.select("doc_id", "text").collect()}
+    assert near_pairs(sets) == []
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    assert {r["doc_id"] for r in packed.collect()} == set(sets)
+
+
+def test_each_operator_has_a_query():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
