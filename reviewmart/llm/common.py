@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that are hashed at once; longer texts are taken alone.
@@ -46,6 +46,20 @@ def remainder(column: Column, modulus: int) -> Column:
     return F.coalesce(crc % F.lit(modulus), F.lit(0))
 
 
+def least_hashed(rows: DataFrame, by: str, count: int) -> DataFrame:
+    """Of each value of ``by``, the ``count`` rows (doc_id, by) of least hash, with their rank.
+
+    Rows whose hash is too great for their class are dropped where they lie, so only about twice
+    the wanted number of rows is ranked, whatever the size of a class.
+    """
+    spread = 1 << 30
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
+    sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    near = rows.join(F.broadcast(sizes), by).where(place * F.col("n") < spread * (2 * count + 100)).drop("n")
+    order = F.row_number().over(Window.partitionBy(by).orderBy(place, "doc_id"))
+    return near.withColumn("rank", order).where(F.col("rank") <= count)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = values.astype(np.uint64, copy=True)

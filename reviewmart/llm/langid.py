@@ -9,10 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from reviewmart.llm.common import find_package, remainder, table, text_chunks
+from reviewmart.llm.common import find_package, least_hashed, remainder, table, text_chunks
 
 #: Character n-grams of 1 to ORDER code points, hashed to FEATURES places.
 ORDER = 3
@@ -202,8 +201,7 @@ def fit(docs: DataFrame) -> LanguageModel:
     counts[real["feature"].to_numpy()] = real["n"].to_numpy()
     idf = np.log((1 + total) / (1 + counts)) + 1
 
-    order = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").withColumn("rank", order).where(F.col("rank") <= FIT_ROWS + CALIBRATION_ROWS)
+    chosen = least_hashed(known.select("doc_id", "lang"), "lang", FIT_ROWS + CALIBRATION_ROWS)
     rows = (
         known.select("doc_id", "text")
         .join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id")

@@ -192,26 +192,21 @@ def _apart_but_alike(run: pa.Table) -> pa.RecordBatch | None:
         if len(j):
             shared = equal.reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1)
             j = j[band_keys(sketch[i]).view(np.int64)[shared] == key]
-            pairs.extend((min(node[i], x), max(node[i], x)) for x in node[j].tolist())
+            pairs.extend((node[i], x, size[i], n) for x, n in zip(node[j].tolist(), size[j].tolist()))
     if not pairs:
         return None
-    a, b = zip(*pairs)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["a", "b", "na", "nb"])
 
 
 def _remaining(nodes: DataFrame, entries: DataFrame, found: DataFrame) -> DataFrame:
     """All pairs (a, b, na, nb) that share a bucket, lie in different components and look alike."""
     open_ = stage(_open_buckets(entries, found), "open")
-    size = nodes.select("node", "n_shingles")
-    about = (
-        open_.select("node", "component").distinct().join(nodes.select("node", "n_shingles", "sketch"), "node")
-    )
+    about = open_.select("node", "component").distinct().join(nodes.select("node", "n_shingles", "sketch"), "node")
     keys = ["key", "lo", "hi"]
     met = block_pairs(open_.select("key", "node"), "key", BLOCK).join(about, "node")
-    pairs = met.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(
-        over_runs(keys, _apart_but_alike), "a long, b long"
+    return met.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(
+        over_runs(keys, _apart_but_alike), "a long, b long, na long, nb long"
     )
-    return pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").select("a", "b", "na", "nb")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
