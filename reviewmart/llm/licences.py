@@ -7,7 +7,7 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,23 +137,27 @@ class LicenceModel:
 
 
 def _training_rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    """(family, words, held): templates and near misses, two in three fitted on, and corpus lines."""
+    """(family, words, held, stated): templates and near misses, two in three fitted on, and corpus lines."""
     stated = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
     stated += [(UNKNOWN, text) for text in NEAR_MISSES]
     rows = [(family, text, i % 3 == 2) for i, (family, text) in enumerate(stated)]
     given = spark.createDataFrame(rows, "family string, line string, held boolean").withColumn("words", words_of(F.col("line")))
+    given = given.withColumn("stated", F.lit(True))
     cue_words = sorted({w for texts in TEMPLATES.values() for t in texts for w in re.findall(r"[a-z]{4,}", t.lower())})
     hashed = F.xxhash64("line")
+    spread = 1 << 30
+    # Lines whose hash is too great are dropped where they lie.
     corpus = (
         lines.select("line")
+        .where(F.pmod(hashed, F.lit(spread)) * F.lit(lines.count()) < spread * 20 * CORPUS_LINES)
         .distinct()
-        .orderBy(hashed, "line")
+        .orderBy(F.pmod(hashed, F.lit(spread)), "line")
         .limit(CORPUS_LINES)
         .withColumn("words", words_of(F.col("line")))
         .where(F.size(F.array_intersect("words", F.array(*map(F.lit, cue_words)))) < 2)
-        .select(F.lit(UNKNOWN).alias("family"), "words", (F.pmod(hashed, F.lit(3)) == 2).alias("held"))
+        .select(F.lit(UNKNOWN).alias("family"), "words", (F.pmod(hashed, F.lit(3)) == 2).alias("held"), F.lit(False).alias("stated"))
     )
-    return given.select("family", "words", "held").unionAll(corpus)
+    return given.select("family", "words", "held", "stated").unionAll(corpus)
 
 
 def fit(spark: SparkSession, lines: DataFrame) -> LicenceModel:
@@ -167,8 +171,13 @@ def fit(spark: SparkSession, lines: DataFrame) -> LicenceModel:
     # Some hundred short rows, whatever the corpus: one partition, so a step is one task.
     rows = rows.withColumn("label", number.cast("double")).coalesce(1).sortWithinPartitions("label", "words").cache()
 
+    # N-grams of the statements alone: no other can speak for a family.
+    spoken = rows.where("stated").select(F.explode("grams").alias("gram")).distinct()
+    vocabulary = sorted(r["gram"] for r in spoken.collect())
+
     def trained(part: DataFrame) -> LicenceModel:
-        counts = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=1.0).fit(part)
+        counts = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features")
+        counts.setBinary(True)
         weighted = part.withColumn("w", F.when(F.col("family") == UNKNOWN, 0.2).otherwise(1.0))
         regression = LogisticRegression(
             family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=40, weightCol="w", standardization=False
