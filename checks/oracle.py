@@ -282,7 +282,7 @@ fact_reviews AS (
 _PAGE_ROWS = f"""
   SELECT 1 AS load_nr, page_id AS k1, CAST(pos AS BIGINT) AS k2, review_text, url AS source,
     {LOAD} AS load_ts
-  FROM page_reviews WHERE pos < 50"""
+  FROM page_reviews"""
 
 MANUAL_ROWS = f"""
   SELECT 2 AS load_nr, conv_id AS k1, turn AS k2, text AS review_text, 'Manual Entry' AS source,

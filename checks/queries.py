@@ -251,14 +251,14 @@ _PADDED = "chr(9) || ' ' || review_text || chr(160) || chr(10)"
         regexp_matches(lower(review_text), 'charger|app|best') AS has_any,
         try_cast(trunc(try_cast(substr(review_text, length(review_text), 1) || '.75' AS DOUBLE))
           AS INTEGER) AS last_digit
-        FROM u WHERE source_ord = 2""",
+        FROM u""",
     )
 )
 def text_functions(spark, sf_dir):
     """Lower-case, strip, length, prefix, substring, keyword and cast functions."""
     text = F.col("review_text")
     padded = F.concat(F.lit("\t "), text, F.lit(" \n"))
-    return N.normalize_src2(I.clothing_reviews(spark, sf_dir)).select(
+    return I.reviews(spark, sf_dir).select(
         "source_ord",
         "row_id",
         F.lower(text).alias("lowered"),
@@ -406,20 +406,26 @@ def issue_reasons(spark, sf_dir):
 
 @register(
     _with(
-        f"{O.INPUTS}, negative AS (SELECT review_text, 'Negative' AS sentiment FROM u), "
-        f"reasons AS (SELECT {O.reason_sql('review_text', 'sentiment', BATCH)} AS reason "
-        "FROM negative)",
-        f"SELECT reason, {O.advice_sql('reason', BATCH)} AS batch_advice, "
+        f"{O.INPUTS}, both_ways AS (SELECT review_text, unnest(['Negative', 'Positive']) AS sentiment "
+        f"FROM u), reasons AS (SELECT sentiment, {O.reason_sql('review_text', 'sentiment', BATCH)} "
+        "AS reason FROM both_ways)",
+        f"SELECT sentiment, reason, {O.advice_sql('reason', BATCH)} AS batch_advice, "
         f"{O.advice_sql('reason', APP)} AS app_advice, count(*) AS rows FROM reasons GROUP BY ALL",
     )
 )
 def recommendations(spark, sf_dir):
-    """Advice of both profiles for every reason that occurs, the default included."""
-    rows = I.reviews(spark, sf_dir).select(F.lower("review_text").alias("lowered"))
-    reasons = rows.select(issue_reason(F.col("lowered"), F.lit("Negative"), BATCH).alias("reason"))
-    counted = reasons.groupBy("reason").agg(F.count("*").alias("rows"))
+    """Advice of both profiles for every reason of every review, were it negative or positive."""
+    rows = I.reviews(spark, sf_dir).select(
+        F.lower("review_text").alias("lowered"),
+        F.explode(F.array(F.lit("Negative"), F.lit("Positive"))).alias("sentiment"),
+    )
+    reasons = rows.select(
+        "sentiment", issue_reason(F.col("lowered"), F.col("sentiment"), BATCH).alias("reason")
+    )
+    counted = reasons.groupBy("sentiment", "reason").agg(F.count("*").alias("rows"))
     reason = F.col("reason")
     return counted.select(
+        "sentiment",
         "reason",
         recommend(reason, BATCH).alias("batch_advice"),
         recommend(reason, APP).alias("app_advice"),

@@ -81,9 +81,9 @@ def ingest_dataset(
     model: _Model,
     star_path: str,
     load_ts: datetime,
-    pick: str = "first",
+    pick: str = "all",
 ) -> Loaded:
-    """A downloaded dataset folder, its first or all CSV files, tagged with its dataset link."""
+    """A downloaded dataset folder, all its CSV files unless asked for the first, tagged with its link."""
     texts = _scanned(select_text(read_dataset_dir(spark, path, pick)))
     tagged = texts.withColumn("source", source_tag("dataset", F.lit(slug)))
     return _ingest(tagged, model, star_path, load_ts, _ROW)
@@ -94,9 +94,10 @@ def ingest_pages(
     model: _Model,
     star_path: str,
     load_ts: datetime,
-    per_page: int | None = 50,
+    per_page: int | None = None,
 ) -> Loaded:
-    """Fetched pages (``page_id, url, html``), tagged with their address."""
+    """Fetched pages (``page_id, url, html``), tagged with their address; all texts of a page unless
+    ``per_page`` says how many."""
     found = extract_page_reviews(pages, per_page)
     tagged = found.withColumn("source", source_tag("page", F.col("url")))
     return _ingest(tagged, model, star_path, load_ts, ["page_id", "pos"])

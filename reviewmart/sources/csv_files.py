@@ -67,10 +67,10 @@ def write_reviews_csv(df: DataFrame, path: str) -> None:
 def read_dataset_dir(
     spark: SparkSession,
     path: str,
-    pick: str = "first",
+    pick: str = "all",
     schema: StructType | str | None = None,
 ) -> DataFrame:
-    """Read a dataset folder: its first ``*.csv`` by name, or all of them."""
+    """Read a dataset folder: all its ``*.csv``, or only the first by name."""
     if pick not in ("first", "all"):
         raise ValueError("pick must be 'first' or 'all'")
     first = (
