@@ -146,7 +146,8 @@ def _likely(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, likely: DataFrame) -> DataFrame:
     """The likely pairs whose full shingle sets are similar enough."""
-    ids = stage(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    ends = likely.select(F.col("a").alias("node")).distinct().unionAll(likely.select("b").distinct())
+    ids = stage(ends.distinct(), "wanted")
     few = ids.count() <= BROADCAST_IDS
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(
         F.broadcast(ids) if few else ids, "node", "left_semi"
