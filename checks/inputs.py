@@ -125,7 +125,7 @@ def enriched(spark: SparkSession, sf_dir: str, profile=BATCH) -> DataFrame:
     rows = reviews(spark, sf_dir)
     if profile.is_batch:
         rows = drop_null_text(rows)
-    return enrich(rows, test_model(spark), profile, KEYS)
+    return enrich(rows, test_model(spark), profile)
 
 
 def manual_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,14 +149,13 @@ def load_batch(spark: SparkSession, sf_dir: str, path: str | None = None) -> Sta
     """A fresh warehouse holding one batch load."""
     path = path or staging_path(spark, "star")
     rows = in_order(drop_null_text(reviews(spark, sf_dir)), KEYS)
-    return load_star(enrich(rows, test_model(spark), BATCH, KEYS), path, LOAD_TS, BATCH).star
+    return load_star(enrich(rows, test_model(spark), BATCH), path, LOAD_TS, BATCH).star
 
 
 def load_manual(spark: SparkSession, sf_dir: str, path: str, load_ts: datetime = LOAD_TS) -> Star:
     """Append every user turn as a manual entry."""
-    keys = ["conv_id", "turn"]
-    rows = in_order(manual_reviews(spark, sf_dir), keys)
-    return append_reviews(rows, test_model(spark), path, load_ts, keys).star
+    rows = in_order(manual_reviews(spark, sf_dir), ["conv_id", "turn"])
+    return append_reviews(rows, test_model(spark), path, load_ts).star
 
 
 def load_app(spark: SparkSession, sf_dir: str, path: str | None = None) -> Star:
@@ -166,7 +165,7 @@ def load_app(spark: SparkSession, sf_dir: str, path: str | None = None) -> Star:
     ingest_pages(in_order(table(spark, sf_dir, "pages"), ["page_id"]), model, path, LOAD_TS)
     load_manual(spark, sf_dir, path)
     rows = in_order(document_uploads(spark, sf_dir), ["doc_id"])
-    return load_star(enrich(rows, model, APP, ["doc_id"]), path, SECOND_TS, APP).star
+    return load_star(enrich(rows, model, APP), path, SECOND_TS, APP).star
 
 
 _stars: dict[tuple[str, str, str], str] = {}

@@ -19,7 +19,7 @@ from reviewmart.operators import quality as Q
 from reviewmart.operators import resolve as R
 from reviewmart.operators import sentiment as S
 from reviewmart.operators.enrich import loadable, with_attributes
-from reviewmart.operators.keys import assign_keys
+from reviewmart.operators.keys import assign_keys, in_order
 from reviewmart.operators.members import distinct_members, first_wins, new_members
 from reviewmart.plans import admin, ingest
 from reviewmart.plans import dashboard as D
@@ -341,7 +341,7 @@ _MODEL = f"{O.INPUTS}, {O.scored('u', O.BATCH_KEYS)}"
 @register(_with(_MODEL, "SELECT source_ord, row_id, round(score, 6) AS score FROM scored"))
 def linear_sentiment(spark, sf_dir):
     """Linear TF-IDF scores, scored inside each row."""
-    scores = S.linear_scores(I.reviews(spark, sf_dir), I.test_model(spark), I.KEYS)
+    scores = S.linear_scores(I.reviews(spark, sf_dir), I.test_model(spark))
     return scores.select("source_ord", "row_id", F.round("score", 6).alias("score"))
 
 
@@ -349,7 +349,7 @@ def linear_sentiment(spark, sf_dir):
 def linear_sentiment_joined(spark, sf_dir):
     """The same scores by joining terms to the weight table, as for a huge vocabulary."""
     scores = S.linear_scores(
-        I.reviews(spark, sf_dir), I.test_model(spark), I.KEYS, max_local_terms=0
+        I.reviews(spark, sf_dir), I.test_model(spark), max_local_terms=0
     )
     return scores.select("source_ord", "row_id", F.round("score", 6).alias("score"))
 
@@ -363,7 +363,7 @@ def linear_sentiment_joined(spark, sf_dir):
 )
 def sentiment_labels(spark, sf_dir):
     """Label decoding under both profiles, missing texts included."""
-    scores = S.linear_scores(I.reviews(spark, sf_dir), I.test_model(spark), I.KEYS)
+    scores = S.linear_scores(I.reviews(spark, sf_dir), I.test_model(spark))
     one = F.when(F.col("score") > 0, 1).otherwise(0)
     text = F.col("review_text")
     return scores.select(
@@ -465,7 +465,7 @@ def ml_sentiment(spark, sf_dir):
     texts = I.table(spark, sf_dir, "documents").select(
         "doc_id", F.col("text").alias("review_text")
     )
-    return S.predict_sentiment(texts, model, BATCH, ["doc_id"]).select("doc_id", "sentiment_label")
+    return S.predict_sentiment(texts, model, BATCH).select("doc_id", "sentiment_label")
 
 
 @register()
@@ -661,23 +661,20 @@ def star_load_app(spark, sf_dir):
     return _named(I.load_app(spark, sf_dir))
 
 
-@register(
-    _with(
-        f"{O.BATCH_STAR}, {O.STATS}",
-        'SELECT "Sentiment", "Gender", "Category", "Reason", count(*) AS "Count" FROM stats '
-        "GROUP BY ALL",
-    )
-)
+@register(_with(O.BATCH_STAR, _NAMED_SQL))
 def batch_pipeline(spark, sf_dir):
-    """The whole batch run from two CSV files, in scan order, to dashboard counts."""
+    """The whole batch run from two CSV files in file order, every stored column and id."""
     product, clothing = staging_path(spark, "csv"), staging_path(spark, "csv")
-    csv_files.write_reviews_csv(I.product_reviews(spark, sf_dir).drop("row_id"), product)
-    csv_files.write_reviews_csv(I.clothing_reviews(spark, sf_dir).drop("row_id"), clothing)
-    star = ingest.run_batch(
-        spark, product, clothing, I.test_model(spark), staging_path(spark, "star"), I.LOAD_TS
-    ).star
-    by = ("Sentiment", "Gender", "Category", "Reason")
-    return D.star_stats(star).groupBy(*by).agg(F.count("*").alias("Count"))
+    for rows, path in (
+        (I.product_reviews(spark, sf_dir), product),
+        (I.clothing_reviews(spark, sf_dir), clothing),
+    ):
+        csv_files.write_reviews_csv(in_order(rows, ["row_id"]).drop("row_id"), path)
+    return _named(
+        ingest.run_batch(
+            spark, product, clothing, I.test_model(spark), staging_path(spark, "star"), I.LOAD_TS
+        ).star
+    )
 
 
 _UPLOADED = "review_text, sentiment_label, issue_reason, ai_recommendation, source_link"

@@ -26,11 +26,9 @@ def explain_sentiment(df: DataFrame, profile: Profile) -> DataFrame:
     )
 
 
-def enrich(
-    df: DataFrame, model: LinearModel | PipelineModel, profile: Profile, keys: list[str]
-) -> DataFrame:
+def enrich(df: DataFrame, model: LinearModel | PipelineModel, profile: Profile) -> DataFrame:
     """Sentiment, then reason, then advice, in one pass over the rows."""
-    return explain_sentiment(predict_sentiment(df, model, profile, keys), profile)
+    return explain_sentiment(predict_sentiment(df, model, profile), profile)
 
 
 def loadable(df: DataFrame, profile: Profile) -> DataFrame:

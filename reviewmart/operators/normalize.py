@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmart.functions.text import has_text, to_int
+from reviewmart.operators.keys import in_order
 from reviewmart.profiles import CLOTHING_SOURCE, DEFAULT_CATEGORY, ECOMMERCE_SOURCE
 
 
@@ -43,9 +44,19 @@ def normalize_src2(df: DataFrame) -> DataFrame:
     )
 
 
-def with_scan_row_id(df: DataFrame) -> DataFrame:
-    """Number rows in scan order, for sources that bring no key."""
-    return df.withColumn("row_id", F.monotonically_increasing_id())
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Sort scanned rows by file name and place in the file, and number them so as ``row_id``.
+
+    How a scan packs files and splits into tasks depends on sizes and settings; their names
+    and offsets do not. Inside a split the scan's own order holds.
+    """
+    place = {
+        "_file": F.col("_metadata.file_path"),
+        "_start": F.col("_metadata.file_block_start"),
+        "_position": F.monotonically_increasing_id(),
+    }
+    rows = in_order(df.withColumns(place), list(place)).drop(*place)
+    return rows.withColumn("row_id", F.monotonically_increasing_id())
 
 
 def union_sources(*sources: DataFrame) -> DataFrame:

@@ -31,6 +31,9 @@ from reviewmart.session import stage
 # A weight table up to this many terms travels with the tasks (a few MB).
 MAX_LOCAL_TERMS = 200_000
 
+# The largest vocabulary size that can be asked for: no term is cut by rank.
+ALL_TERMS = (1 << 31) - 1
+
 
 @dataclass(frozen=True)
 class LinearModel:
@@ -134,27 +137,30 @@ def _local_scores(df: DataFrame, rows: list, bias: float, text: Column) -> DataF
     return sums.withColumn("score", _score(bias)).drop("_tf", "_dot", "_square")
 
 
-def _joined_scores(
-    df: DataFrame, model: LinearModel, text: Column, keys: list[str]
-) -> DataFrame:
-    """Score by joining terms to a weight table of any size."""
+def _joined_scores(df: DataFrame, model: LinearModel, text: Column) -> DataFrame:
+    """Score by joining terms to a weight table of any size.
+
+    Rows are stored with a number of their own, so that repeated or null keys mix nothing up;
+    only this number travels with the terms.
+    """
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "scored")
     terms = (
-        df.select(*keys, F.explode(tokens(text)).alias("term"))
-        .groupBy(*keys, "term")
+        rows.select("_row", F.explode(tokens(text)).alias("term"))
+        .groupBy("_row", "term")
         .agg(F.count("*").alias("_tf"))
     )
     sums = (
         _lookup_terms(terms, model.weights)
-        .groupBy(*keys)
+        .groupBy("_row")
         .agg(
             F.sum(F.col("_tf") * F.col("idf") * F.col("weight")).alias("_dot"),
             F.sum((F.col("_tf") * F.col("idf")) ** 2).alias("_square"),
         )
     )
     return (
-        df.join(sums, keys, "left")
+        rows.join(sums, "_row", "left")
         .withColumn("score", _score(model.bias))
-        .drop("_dot", "_square")
+        .drop("_row", "_dot", "_square")
     )
 
 
@@ -171,19 +177,18 @@ def scored_text(text: Column) -> Column:
 def linear_scores(
     df: DataFrame,
     model: LinearModel,
-    keys: list[str],
     text: str = "review_text",
     max_local_terms: int = MAX_LOCAL_TERMS,
 ) -> DataFrame:
     """Add ``score``: the linear model's margin over unit-length TF-IDF.
 
-    ``keys`` identify a row; they are used only when the weight table is too large to
-    travel with the tasks.
+    Each row is scored by itself where the weight table may travel with the tasks, and by a
+    join beyond that, with the same scores.
     """
     seen = scored_text(F.col(text))
     rows = model.weights.select("term", "weight", "idf").limit(max_local_terms + 1).collect()
     if len(rows) > max_local_terms:
-        return _joined_scores(df, model, seen, keys)
+        return _joined_scores(df, model, seen)
     return _local_scores(df, rows, model.bias, seen)
 
 
@@ -199,12 +204,11 @@ def predict_sentiment(
     df: DataFrame,
     model: LinearModel | PipelineModel,
     profile: Profile,
-    keys: list[str],
     text: str = "review_text",
 ) -> DataFrame:
     """Add ``sentiment_label`` by a weight table or a fitted pipeline."""
     if isinstance(model, LinearModel):
-        scored = linear_scores(df, model, keys, text)
+        scored = linear_scores(df, model, text)
         prediction = F.when(F.col("score") > 0, 1).otherwise(0)
         extra = ["score"]
     else:
@@ -215,14 +219,13 @@ def predict_sentiment(
     return scored.withColumn("sentiment_label", label).drop(*extra)
 
 
-def fit_sentiment(
-    labelled: DataFrame, key: str, vocab_size: int = 1 << 16, min_df: float = 2.0
-) -> PipelineModel:
+def fit_sentiment(labelled: DataFrame, key: str, min_df: float = 2.0) -> PipelineModel:
     """Fit TF-IDF and logistic regression on ``_text`` and ``label`` (1 = positive).
 
     The fit reads its rows some hundred times, so they are spread evenly by their unique
-    ``key`` and kept, on disk where memory ends. Only the vocabulary, capped by
-    ``vocab_size``, and its coefficients reach the driver.
+    ``key`` and kept, on disk where memory ends. The vocabulary is every term of at least
+    ``min_df`` rows; it and its coefficients reach the driver, so the labelled rows are to be
+    a sample whose terms fit there.
     """
     tokenizer = SQLTransformer(
         statement="SELECT *, regexp_extract_all(lower(coalesce(_text, '')), "
@@ -232,7 +235,7 @@ def fit_sentiment(
         stages=[
             tokenizer,
             CountVectorizer(
-                inputCol="_tokens", outputCol="_counts", vocabSize=vocab_size, minDF=min_df
+                inputCol="_tokens", outputCol="_counts", vocabSize=ALL_TERMS, minDF=min_df
             ),
             IDF(inputCol="_counts", outputCol="_weighted"),
             Normalizer(inputCol="_weighted", outputCol="_features", p=2.0),

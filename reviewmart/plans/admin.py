@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reviewmart.sources.warehouse import (
     DIMENSIONS,
     commit,
-    read_loads,
+    log_end,
     read_star,
     write_part,
 )
@@ -20,35 +20,33 @@ def delete_review(
     spark: SparkSession, path: str, ids: DataFrame | list[int], at: datetime
 ) -> int:
     """Delete reviews by id; returns how many were found. Dimensions stay as they are."""
-    loads = read_loads(spark, path)
-    if not loads:
+    end = log_end(spark, path)
+    if not end.load_id:
         return 0
     if not isinstance(ids, DataFrame):
         ids = spark.createDataFrame([(i,) for i in ids], "review_id long")
-    load_id = loads[-1].load_id + 1
+    load_id = end.load_id + 1
     live = read_star(spark, path).fact_reviews.select("review_id")
     found = live.join(ids.select(F.col("review_id").cast("long")), "review_id", "left_semi")
     write_part(found, path, "deleted_reviews", load_id)
     schema = "review_id long"
     count = spark.read.schema(schema).parquet(f"{path}/deleted_reviews/load_id={load_id}").count()
     if count:
-        commit(spark, path, load_id, "delete", at, count, loads[-1].last_review_id)
+        commit(spark, path, load_id, "delete", at, count, end.last_review_id)
     return count
 
 
 def delete_all_reviews(spark: SparkSession, path: str, at: datetime) -> None:
     """Empty the fact. Dimensions stay, and review ids keep counting up."""
-    loads = read_loads(spark, path)
-    if loads:
-        last = loads[-1]
-        commit(spark, path, last.load_id + 1, "clear", at, 0, last.last_review_id)
+    end = log_end(spark, path)
+    if end.load_id:
+        commit(spark, path, end.load_id + 1, "clear", at, 0, end.last_review_id)
 
 
 def compact(spark: SparkSession, path: str, new_path: str, at: datetime) -> None:
     """Rewrite the live warehouse to a new folder, without deleted rows."""
-    loads = read_loads(spark, path)
     star = read_star(spark, path)
     for table in (*DIMENSIONS, "fact_reviews"):
         write_part(getattr(star, table), new_path, table, 1)
-    last_review_id = loads[-1].last_review_id if loads else 0
+    last_review_id = log_end(spark, path).last_review_id
     commit(spark, new_path, 1, "load", at, star.fact_reviews.count(), last_review_id)

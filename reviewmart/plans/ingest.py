@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 from reviewmart.functions.links import source_tag
 from reviewmart.functions.text import has_text
 from reviewmart.operators.enrich import enrich
-from reviewmart.operators.keys import in_order
 from reviewmart.operators.normalize import (
     drop_null_text,
+    in_file_order,
     normalize_src1,
     normalize_src2,
     union_sources,
-    with_scan_row_id,
 )
 from reviewmart.operators.sentiment import LinearModel
 from reviewmart.plans.load import Loaded, load_star
@@ -26,19 +25,6 @@ from reviewmart.sources.csv_files import read_dataset_dir, read_reviews_csv, sel
 from reviewmart.sources.pages import extract_page_reviews
 
 _Model = LinearModel | PipelineModel
-_ROW = ["row_id"]
-
-
-def _scanned(df: DataFrame) -> DataFrame:
-    """Number rows in scan order; spread those of few files.
-
-    A file with line breaks inside cells is read by one task, which must not have to score
-    all of it too. The range shuffle keeps the order; many files need none.
-    """
-    rows = with_scan_row_id(df)
-    if len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism:
-        rows = in_order(rows, _ROW)
-    return rows
 
 
 def run_batch(
@@ -48,30 +34,35 @@ def run_batch(
     model: _Model,
     star_path: str,
     load_ts: datetime,
+    multi_line: bool = True,
 ) -> Loaded:
-    """Both review files through the whole batch pipeline, every row of them."""
-    product = read_reviews_csv(spark, product_csv)
-    clothing = read_reviews_csv(spark, clothing_csv)
-    staged = union_sources(
-        normalize_src1(_scanned(product)), normalize_src2(_scanned(clothing))
+    """Both review files through the whole batch pipeline, every row of them, in file order."""
+    product, clothing = (
+        in_file_order(read_reviews_csv(spark, path, multi_line=multi_line, infer=False))
+        for path in (product_csv, clothing_csv)
     )
-    enriched = enrich(drop_null_text(staged), model, BATCH, ["source_ord", "row_id"])
+    staged = union_sources(normalize_src1(product), normalize_src2(clothing))
+    enriched = enrich(drop_null_text(staged), model, BATCH)
     return load_star(enriched, star_path, load_ts, BATCH)
 
 
-def _ingest(
-    reviews: DataFrame, model: _Model, star_path: str, load_ts: datetime, keys: list[str]
-) -> Loaded:
-    return load_star(enrich(reviews, model, APP, keys), star_path, load_ts, APP)
+def _ingest(reviews: DataFrame, model: _Model, star_path: str, load_ts: datetime) -> Loaded:
+    return load_star(enrich(reviews, model, APP), star_path, load_ts, APP)
 
 
 def ingest_csv(
-    spark: SparkSession, path: str, name: str, model: _Model, star_path: str, load_ts: datetime
+    spark: SparkSession,
+    path: str,
+    name: str,
+    model: _Model,
+    star_path: str,
+    load_ts: datetime,
+    multi_line: bool = True,
 ) -> Loaded:
     """An uploaded CSV with a detected text column; ``name`` is its display name."""
-    texts = _scanned(select_text(read_reviews_csv(spark, path)))
+    texts = select_text(in_file_order(read_reviews_csv(spark, path, multi_line=multi_line)), ["row_id"])
     tagged = texts.withColumn("source", source_tag("csv", F.lit(name)))
-    return _ingest(tagged, model, star_path, load_ts, _ROW)
+    return _ingest(tagged, model, star_path, load_ts)
 
 
 def ingest_dataset(
@@ -82,11 +73,12 @@ def ingest_dataset(
     star_path: str,
     load_ts: datetime,
     pick: str = "all",
+    multi_line: bool = True,
 ) -> Loaded:
     """A downloaded dataset folder, all its CSV files unless asked for the first, tagged with its link."""
-    texts = _scanned(select_text(read_dataset_dir(spark, path, pick)))
+    texts = select_text(in_file_order(read_dataset_dir(spark, path, pick, multi_line=multi_line)), ["row_id"])
     tagged = texts.withColumn("source", source_tag("dataset", F.lit(slug)))
-    return _ingest(tagged, model, star_path, load_ts, _ROW)
+    return _ingest(tagged, model, star_path, load_ts)
 
 
 def ingest_pages(
@@ -100,14 +92,12 @@ def ingest_pages(
     ``per_page`` says how many."""
     found = extract_page_reviews(pages, per_page)
     tagged = found.withColumn("source", source_tag("page", F.col("url")))
-    return _ingest(tagged, model, star_path, load_ts, ["page_id", "pos"])
+    return _ingest(tagged, model, star_path, load_ts)
 
 
 def append_reviews(
-    reviews: DataFrame, model: _Model, star_path: str, load_ts: datetime, keys: list[str]
+    reviews: DataFrame, model: _Model, star_path: str, load_ts: datetime
 ) -> Loaded:
-    """Typed-in reviews (``review_text`` and ``keys``); blank ones are refused."""
+    """Typed-in reviews (``review_text``); blank ones are refused."""
     valid = reviews.filter(has_text(F.col("review_text")))
-    return _ingest(
-        valid.withColumn("source", source_tag("manual")), model, star_path, load_ts, keys
-    )
+    return _ingest(valid.withColumn("source", source_tag("manual")), model, star_path, load_ts)

@@ -21,10 +21,11 @@ from reviewmart.operators.resolve import (
     timestamp,
 )
 from reviewmart.profiles import Profile
+from reviewmart.session import staged_until_done
 from reviewmart.sources.warehouse import (
     Star,
     commit,
-    read_loads,
+    log_end,
     read_star,
     write_part,
 )
@@ -112,9 +113,8 @@ def load_star(
     review ids and the same first-wins members under any partitioning.
     """
     spark = enriched.sparkSession
-    loads = read_loads(spark, path)
-    load_id = loads[-1].load_id + 1 if loads else 1
-    last_review_id = loads[-1].last_review_id if loads else 0
+    end = log_end(spark, path)
+    load_id = end.load_id + 1
 
     link = source_tag("merged", F.col("source")) if profile.is_batch else F.col("source")
     rows = with_attributes(loadable(enriched, profile), profile).withColumn("source_link", link)
@@ -123,18 +123,18 @@ def load_star(
         *("source_link", "age", "gender", "category", "brand", "country", "city"),
         *("customer_name", "product_name"),
     ]
-    numbered = number_rows(rows.select(*wanted))
-
-    before = read_star(spark, path)
-    candidates = member_candidates(numbered, profile, ["row_seq"])
-    candidates["dim_date"] = ("date_id", _DATE_KEYS, date_member(spark, load_ts))
-    after = {
-        table: add_members(path, load_id, table, key, natural, found, getattr(before, table))
-        for table, (key, natural, found) in candidates.items()
-    }
-    dims = Star(fact_reviews=before.fact_reviews, **after)
-    keyed = dense_keys(numbered, "review_id", last_review_id)
-    write_part(fact_rows(keyed, dims, load_ts, profile), path, "fact_reviews", load_id)
-    count = numbered.count()
-    commit(spark, path, load_id, "load", load_ts, count, last_review_id + count)
+    with staged_until_done(spark):
+        numbered = number_rows(rows.select(*wanted))
+        before = read_star(spark, path)
+        candidates = member_candidates(numbered, profile, ["row_seq"])
+        candidates["dim_date"] = ("date_id", _DATE_KEYS, date_member(spark, load_ts))
+        after = {
+            table: add_members(path, load_id, table, key, natural, found, getattr(before, table))
+            for table, (key, natural, found) in candidates.items()
+        }
+        dims = Star(fact_reviews=before.fact_reviews, **after)
+        keyed = dense_keys(numbered, "review_id", end.last_review_id)
+        write_part(fact_rows(keyed, dims, load_ts, profile), path, "fact_reviews", load_id)
+        count = numbered.count()
+    commit(spark, path, load_id, "load", load_ts, count, end.last_review_id + count)
     return Loaded(load_id, count, read_star(spark, path))

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
 
+# Paths staged so far in each open ``staged_until_done`` block.
+_open: list[list[str]] = []
+
 
 def build_session(app_name: str = "reviewmart", **conf: str) -> SparkSession:
     """A session with the settings the library is tuned for.
@@ -56,5 +61,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = staging_path(spark, name)
+    for open_paths in _open:
+        open_paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_until_done(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block, also of a failed one, what was staged inside it."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open.pop()
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(hadoop, paths):
+            path.getFileSystem(conf).delete(path, True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -9,44 +11,22 @@ from pyspark.sql.types import StringType, StructType
 # Name fragments that mark the text column.
 TEXT_COLUMN_HINTS = ("review", "text", "comment", "feedback", "message", "content")
 
-# Files up to this size are read whole by one task without a second thought.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-
-
-def _spans_lines(spark: SparkSession, path: str) -> bool:
-    """Whether quoted cells may hold line breaks, which forbids splitting files.
-
-    A line with an odd number of quotes opens or closes such a cell. Small files are
-    taken to have them: reading those whole costs nothing.
-    """
-    largest = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv*")
-        .load(path)
-        .agg(F.max("length"))
-        .first()[0]
-    )
-    if largest is None or largest <= WHOLE_FILE_BYTES:
-        return True
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
-
 
 def read_reviews_csv(
     spark: SparkSession,
     path: str,
     schema: StructType | str | None = None,
-    multi_line: bool | None = None,
+    multi_line: bool = True,
+    infer: bool = True,
 ) -> DataFrame:
     """Read CSV with a header row; quoted cells may hold line breaks and doubled quotes.
 
-    Pass a schema for big inputs: inferring one costs another pass. ``multi_line=None``
-    looks first, so that large files without line breaks inside cells are still split.
+    A file that may hold line breaks inside cells is read by one task, whatever its size. Say
+    ``multi_line=False`` of files known to have none, and large ones are split. Without a
+    schema the types are inferred, in another pass; ``infer=False`` reads strings.
     """
-    if multi_line is None:
-        multi_line = _spans_lines(spark, path)
     reader = spark.read.options(header=True, multiLine=multi_line, escape='"')
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
     return reader.csv(path)
 
 
@@ -69,6 +49,7 @@ def read_dataset_dir(
     path: str,
     pick: str = "all",
     schema: StructType | str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read a dataset folder: all its ``*.csv``, or only the first by name."""
     if pick not in ("first", "all"):
@@ -82,7 +63,7 @@ def read_dataset_dir(
     )
     if first is None:
         raise FileNotFoundError(f"no CSV file in {path}")
-    return read_reviews_csv(spark, first if pick == "first" else f"{path}/*.csv", schema)
+    return read_reviews_csv(spark, first if pick == "first" else f"{path}/*.csv", schema, multi_line)
 
 
 def detect_text_column(df: DataFrame) -> str | None:
@@ -96,9 +77,9 @@ def detect_text_column(df: DataFrame) -> str | None:
     return None
 
 
-def select_text(df: DataFrame) -> DataFrame:
-    """Reduce an upload to its text column, as ``review_text``."""
-    name = detect_text_column(df)
+def select_text(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Reduce an upload to its text column, as ``review_text``, and to the ``keys`` given to it."""
+    name = detect_text_column(df.drop(*keys))
     if name is None:
         raise ValueError("failed to detect a text column")
-    return df.select(F.col("`" + name.replace("`", "``") + "`").cast("string").alias("review_text"))
+    return df.select(*keys, F.col("`" + name.replace("`", "``") + "`").cast("string").alias("review_text"))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COLUMNS = {
@@ -75,41 +75,61 @@ class Star:
     fact_reviews: DataFrame
 
 
-def read_loads(spark: SparkSession, path: str) -> list:
-    """Committed loads, deletes and clears, oldest first; one small row each."""
+@dataclass(frozen=True)
+class LogEnd:
+    """Where the load log stands; all zero in an empty warehouse."""
+
+    load_id: int
+    last_review_id: int
+    cleared: int
+    deleted: int
+
+
+def _stored(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """A table folder, or no rows where nothing has been written yet."""
     try:
-        loads = spark.read.schema(_ddl("loads")).parquet(f"{path}/loads")
+        return spark.read.schema(schema).parquet(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return []
-    return loads.orderBy("load_id").collect()
-
-
-def _parts(spark: SparkSession, path: str, table: str, ids: list[int]) -> DataFrame:
-    if not ids:
-        empty = [F.lit(None).cast(kind).alias(name) for name, kind in COLUMNS[table].items()]
-        return spark.range(0).select(*empty)
-    return (
-        spark.read.schema(_ddl(table) + ", load_id long")
-        .parquet(f"{path}/{table}")
-        .filter(F.col("load_id").isin(ids))
-        .drop("load_id")
+        return spark.createDataFrame([], schema)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """Committed loads, deletes and clears, one small row each."""
+    return _stored(spark, f"{path}/loads", _ddl("loads"))
+
+
+def log_end(spark: SparkSession, path: str) -> LogEnd:
+    """Last change, last clear and last delete, as one aggregate over the log."""
+
+    def last(kind: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("load_id"))), F.lit(0))
+
+    end = read_log(spark, path).agg(
+        F.coalesce(F.max("load_id"), F.lit(0)),
+        F.coalesce(F.max_by("last_review_id", "load_id"), F.lit(0)),
+        last("clear"),
+        last("delete"),
     )
+    return LogEnd(*end.first())
+
+
+def _parts(log: DataFrame, path: str, table: str, kind: str, after: int = 0) -> DataFrame:
+    """A table's parts that the log lists as ``kind``, later than the change ``after``."""
+    wanted = log.filter((F.col("kind") == kind) & (F.col("load_id") > after)).select("load_id")
+    stored = _stored(log.sparkSession, f"{path}/{table}", _ddl(table) + ", load_id long")
+    return stored.join(wanted, "load_id", "left_semi").drop("load_id")
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
     """The warehouse as of its last committed change; empty tables if there is none."""
-    loads = read_loads(spark, path)
-    cleared = max((r.load_id for r in loads if r.kind == "clear"), default=0)
-    loaded = [r.load_id for r in loads if r.kind == "load"]
-    deleted = [r.load_id for r in loads if r.kind == "delete" and r.load_id > cleared]
-    fact = _parts(spark, path, "fact_reviews", [i for i in loaded if i > cleared])
-    if deleted:
-        gone = _parts(spark, path, "deleted_reviews", deleted)
+    log, end = read_log(spark, path), log_end(spark, path)
+    fact = _parts(log, path, "fact_reviews", "load", end.cleared)
+    if end.deleted > end.cleared:
+        gone = _parts(log, path, "deleted_reviews", "delete", end.cleared)
         fact = fact.join(gone, "review_id", "left_anti")
-    dims = {t: _parts(spark, path, t, loaded) for t in DIMENSIONS}
-    return Star(fact_reviews=fact, **dims)
+    return Star(fact_reviews=fact, **{t: _parts(log, path, t, "load") for t in DIMENSIONS})
 
 
 def write_part(df: DataFrame, path: str, table: str, load_id: int) -> None:

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -34,7 +35,7 @@ def texts(spark, *values):
 def append(spark, path, at, *values):
     model = I.test_model(spark)
     df = in_order(texts(spark, *values), ["row_id"])
-    return ingest.append_reviews(df, model, path, at, ["row_id"])
+    return ingest.append_reviews(df, model, path, at)
 
 
 @pytest.fixture
@@ -72,7 +73,7 @@ def test_load_does_not_depend_on_partitioning(spark, sf, batch):
     raw = drop_null_text(I.reviews(spark, sf)).repartition(13, "review_text")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        enriched = enrich(in_order(raw, I.KEYS), I.test_model(spark), BATCH, I.KEYS)
+        enriched = enrich(in_order(raw, I.KEYS), I.test_model(spark), BATCH)
         other = load_star(enriched, staging_path(spark, "star"), I.LOAD_TS, BATCH).star
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -95,7 +96,7 @@ def test_first_load_fixes_the_customer(spark, path):
         "source_ord int, row_id long, review_text string, input_age int, input_category string, "
         "source string",
     )
-    star = load_star(enrich(source, I.test_model(spark), BATCH, I.KEYS), path, T2, BATCH).star
+    star = load_star(enrich(source, I.test_model(spark), BATCH), path, T2, BATCH).star
     assert rows(star.dim_customer) == before
     # The batch looks products up by name and category, so a new one appears.
     assert star.dim_product.count() == 2
@@ -119,7 +120,7 @@ def test_manual_entries_must_hold_text(spark, path):
 
 def test_uploads_store_missing_text_as_none(spark, path):
     df = texts(spark, "bad", None, " ").withColumn("source", F.lit("Local CSV (a.csv)"))
-    enriched = enrich(in_order(df, ["row_id"]), I.test_model(spark), APP, ["row_id"])
+    enriched = enrich(in_order(df, ["row_id"]), I.test_model(spark), APP)
     star = load_star(enriched, path, T1, APP).star
     assert rows(star.fact_reviews, "review_id", "review_text", "sentiment_label") == [
         (1, "bad", "Negative"), (2, "None", "Neutral"), (3, " ", "Neutral"),
@@ -178,7 +179,7 @@ def test_uploaded_csv_and_dataset(spark, path, tmp_path):
     (tmp_path / "a.csv").write_text('Sentiment,comment\nx,"love, ""great"""\n')
     model = I.test_model(spark)
     ingest.ingest_csv(spark, str(tmp_path / "b.csv"), "b.csv", model, path, T1)
-    star = ingest.ingest_dataset(spark, str(tmp_path), "me/set", model, path, T2).star
+    star = ingest.ingest_dataset(spark, str(tmp_path), "me/set", model, path, T2, "first").star
     assert rows(star.fact_reviews, "review_id", "review_text", "sentiment_label", "source_link") == [
         (1, "good", "Positive", "Local CSV (b.csv)"),
         (2, "None", "Neutral", "Local CSV (b.csv)"),
@@ -241,3 +242,54 @@ def test_load_summary_of_an_empty_source(spark):
 def test_commit_is_the_only_publication(spark, path):
     commit(spark, path, 1, "clear", T1, 0, 41)
     assert rows(append(spark, path, T1, "x1").star.fact_reviews, "review_id") == [(42,)]
+
+
+def load_split(spark, folders, split):
+    """A batch load of large flat files, read in splits of at most ``split`` bytes."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        return ingest.run_batch(
+            spark, *folders, I.test_model(spark), staging_path(spark, "star"), T1, multi_line=False
+        ).star
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_batch_run_does_not_depend_on_file_splits(spark, sf):
+    folders = staging_path(spark, "csv"), staging_path(spark, "csv")
+    for df, folder in zip((I.product_reviews(spark, sf), I.clothing_reviews(spark, sf)), folders):
+        flat = df.select([
+            F.regexp_replace(n, "[\r\n]", " ").alias(n) if k == "string" else n for n, k in df.dtypes
+        ])
+        csv_files.write_reviews_csv(flat.repartition(3).drop("row_id"), folder)
+    whole, split = (load_split(spark, folders, n) for n in ("128m", "20k"))
+    for table in (*DIMENSIONS, "fact_reviews"):
+        assert rows(getattr(whole, table)) == rows(getattr(split, table))
+
+
+def test_a_load_leaves_no_staging(spark, path):
+    before = set(staged_tables(spark))
+    append(spark, path, T1, "good", "bad")
+    assert set(staged_tables(spark)) == before
+
+
+def staged_tables(spark):
+    folder = os.path.dirname(staging_path(spark, "x"))
+    return [n for n in os.listdir(folder) if not n.startswith(("star", "csv"))]
+
+
+def test_many_loads_are_not_listed_in_the_plan(spark, path):
+    append(spark, path, T1, "good")
+    for load_id in range(2, 40):
+        commit(spark, path, load_id, "load", T1, 0, 1)
+    fact = read_star(spark, path).fact_reviews
+    assert fact.count() == 1
+    assert " IN (" not in fact._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_failed_load_stays_hidden_behind_a_delete_of_its_id(spark, path):
+    star = append(spark, path, T1, "good", "bad").star
+    write_part(star.fact_reviews, path, "fact_reviews", 2)
+    assert admin.delete_review(spark, path, [1], T2) == 1
+    assert rows(read_star(spark, path).fact_reviews, "review_id") == [(2,)]

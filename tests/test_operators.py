@@ -177,33 +177,33 @@ def test_scores_against_brute_force_on_both_paths(spark):
         score_by_hand(t if t and t.strip() else "No Review", weights, 0.05) for t in TEXTS
     ]
     for limit in (100, 0):
-        found = S.linear_scores(df, model, ["id"], max_local_terms=limit).orderBy("id").collect()
+        found = S.linear_scores(df, model, max_local_terms=limit).orderBy("id").collect()
         assert [r.score for r in found] == pytest.approx(wanted)
 
 
 def test_row_local_scoring_does_not_shuffle(spark):
     rows = stage(spark.createDataFrame(list(enumerate(TEXTS)), "id int, review_text string"), "r")
-    assert "Exchange" not in plan_of(enrich(rows, I.test_model(spark), BATCH, ["id"]))
+    assert "Exchange" not in plan_of(enrich(rows, I.test_model(spark), BATCH))
 
 
 def test_empty_model_scores_its_bias(spark):
     empty = spark.createDataFrame([], "term string, weight double, idf double")
     df = spark.createDataFrame([(1, "good")], "id int, review_text string")
-    assert S.linear_scores(df, S.LinearModel(empty, -0.5), ["id"]).first().score == -0.5
+    assert S.linear_scores(df, S.LinearModel(empty, -0.5)).first().score == -0.5
 
 
 def test_profiles_treat_missing_text_differently(spark):
     df = spark.createDataFrame([(1, None), (2, "  "), (3, "so good")], "id int, review_text string")
     df = df.withColumn("source", F.lit("x"))
     model = I.test_model(spark)
-    app = loadable(enrich(df, model, APP, ["id"]), APP).orderBy("id").collect()
+    app = loadable(enrich(df, model, APP), APP).orderBy("id").collect()
     assert [(r.review_text, r.sentiment_label, r.issue_reason) for r in app] == [
         ("None", "Neutral", "No Review Provided"),
         ("  ", "Neutral", "Positive User Feedback"),
         ("so good", "Positive", "Positive User Feedback"),
     ]
     assert app[0].ai_recommendation == APP.default_advice
-    batch = enrich(df, model, BATCH, ["id"])
+    batch = enrich(df, model, BATCH)
     assert [r.sentiment_label for r in batch.orderBy("id").collect()] == ["Positive"] * 3
     assert [r.id for r in loadable(batch, BATCH).collect()] == [3]
 
@@ -215,18 +215,34 @@ def test_weights_round_trip(spark):
     assert back.bias == I.BIAS and tuples(back.weights) == sorted(I.WEIGHTS)
 
 
-@pytest.fixture(scope="module")
-def fitted(spark, sf):
+def labelled(spark, sf):
     texts = I.table(spark, sf, "documents").select("doc_id", F.col("text").alias("_text"))
     labels = I.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
-    rows = texts.join(labels, "doc_id")
-    return rows, S.fit_sentiment(rows, "doc_id")
+    return texts.join(labels, "doc_id")
 
 
-def test_fit_separates_its_labels(fitted):
-    rows, model = fitted
-    scored = model.transform(rows).select("label", "_margin")
-    assert BinaryClassificationEvaluator(rawPredictionCol="_margin").evaluate(scored) > 0.8
+@pytest.fixture(scope="module")
+def fitted(spark, sf):
+    rows = labelled(spark, sf)
+    return rows, S.fit_sentiment(rows.filter("doc_id % 5 <> 0"), "doc_id")
+
+
+def test_fit_separates_labels_it_has_not_seen(spark):
+    rows = labelled(spark, "/root/testdata/sf0.01")
+    model = S.fit_sentiment(rows.filter("doc_id % 5 <> 0"), "doc_id")
+    scored = model.transform(rows.filter("doc_id % 5 = 0")).select("label", "_margin")
+    assert BinaryClassificationEvaluator(rawPredictionCol="_margin").evaluate(scored) > 0.7
+
+
+def test_repeated_and_null_keys_change_no_score(spark):
+    df = spark.createDataFrame(
+        [(1, "good good"), (1, "awful"), (None, "awful"), (1, "good good")],
+        "id int, review_text string",
+    )
+    local = tuples(S.linear_scores(df, I.test_model(spark)).fillna(0, ["id"]))
+    joined = tuples(S.linear_scores(df, I.test_model(spark), max_local_terms=0).fillna(0, ["id"]))
+    assert [r[:2] for r in joined] == [r[:2] for r in local]
+    assert [r[2] for r in joined] == pytest.approx([r[2] for r in local])
 
 
 def test_exported_weights_score_like_the_pipeline(spark, fitted):
@@ -235,12 +251,12 @@ def test_exported_weights_score_like_the_pipeline(spark, fitted):
     model.save(path)
     linear = S.export_weights(spark, S.load_pipeline(path))
     named = rows.withColumnRenamed("_text", "review_text").select("doc_id", "review_text")
-    pipeline = S.predict_sentiment(named, model, BATCH, ["doc_id"])
-    assert tuples(S.predict_sentiment(named, linear, BATCH, ["doc_id"])) == tuples(pipeline)
+    pipeline = S.predict_sentiment(named, model, BATCH)
+    assert tuples(S.predict_sentiment(named, linear, BATCH)) == tuples(pipeline)
     margins = {
         r.doc_id: r._margin[1] for r in model.transform(rows).select("doc_id", "_margin").collect()
     }
-    scores = {r.doc_id: r.score for r in S.linear_scores(named, linear, ["doc_id"]).collect()}
+    scores = {r.doc_id: r.score for r in S.linear_scores(named, linear).collect()}
     assert scores == pytest.approx(margins)
 
 

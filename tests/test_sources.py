@@ -24,14 +24,21 @@ def test_csv_cells_may_hold_line_breaks_and_quotes(spark, tmp_path):
     assert [r.review for r in rows] == ['two\nlines, and a "quote"', "plain", None]
 
 
-def test_large_files_are_split_only_without_line_breaks(spark, tmp_path, monkeypatch):
-    broken = write(tmp_path / "x", "a.csv", QUOTED)
-    flat = write(tmp_path / "y", "b.csv", 'id,review\n1,"a ""b"", c"\n2,d\n')
-    assert C._spans_lines(spark, broken) and C._spans_lines(spark, flat)
-    monkeypatch.setattr(C, "WHOLE_FILE_BYTES", 0)
-    assert C._spans_lines(spark, broken) and not C._spans_lines(spark, flat)
-    rows = C.read_reviews_csv(spark, flat, "id int, review string").orderBy("id").collect()
-    assert [r.review for r in rows] == ['a "b", c', "d"]
+def test_stray_quotes_and_line_breaks_read_alike_at_any_size(spark, tmp_path):
+    path = write(tmp_path, "a.csv", 'id,t,u,v\n1,a"b,"c\nd",e"f\n')
+    schema = "id int, t string, u string, v string"
+    wanted = [(1, 'a"b', "c\nd", 'e"f')]
+    assert [tuple(r) for r in C.read_reviews_csv(spark, path, schema).collect()] == wanted
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8")
+    try:
+        assert [tuple(r) for r in C.read_reviews_csv(spark, path, schema).collect()] == wanted
+        flat = write(tmp_path / "y", "b.csv", 'id,review\n1,"a ""b"", c"\n2,d\n')
+        split = C.read_reviews_csv(spark, flat, "id int, review string", multi_line=False)
+        assert split.rdd.getNumPartitions() > 1
+        assert [tuple(r) for r in split.orderBy("id").collect()] == [(1, 'a "b", c'), (2, "d")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_csv_round_trip_keeps_every_text(spark):
@@ -48,8 +55,8 @@ def test_dataset_folder(spark, tmp_path):
     write(tmp_path, "a.csv", "text\nfirst\n")
     write(tmp_path, "0.txt", "text\nother\n")
     folder = str(tmp_path)
-    assert [r[0] for r in C.read_dataset_dir(spark, folder).collect()] == ["first"]
-    both = C.read_dataset_dir(spark, folder, "all").collect()
+    assert [r[0] for r in C.read_dataset_dir(spark, folder, "first").collect()] == ["first"]
+    both = C.read_dataset_dir(spark, folder).collect()
     assert sorted(r[0] for r in both) == ["first", "second"]
     os.makedirs(tmp_path / "empty")
     with pytest.raises(FileNotFoundError):
