@@ -11,6 +11,7 @@ from reviewmart.sources.warehouse import (
     DIMENSIONS,
     commit,
     log_end,
+    next_change,
     read_star,
     write_part,
 )
@@ -25,7 +26,7 @@ def delete_review(
         return 0
     if not isinstance(ids, DataFrame):
         ids = spark.createDataFrame([(i,) for i in ids], "review_id long")
-    load_id = end.load_id + 1
+    load_id = next_change(spark, path, end)
     live = read_star(spark, path).fact_reviews.select("review_id")
     found = live.join(ids.select(F.col("review_id").cast("long")), "review_id", "left_semi")
     write_part(found, path, "deleted_reviews", load_id)
@@ -40,7 +41,7 @@ def delete_all_reviews(spark: SparkSession, path: str, at: datetime) -> None:
     """Empty the fact. Dimensions stay, and review ids keep counting up."""
     end = log_end(spark, path)
     if end.load_id:
-        commit(spark, path, end.load_id + 1, "clear", at, 0, end.last_review_id)
+        commit(spark, path, next_change(spark, path, end), "clear", at, 0, end.last_review_id)
 
 
 def compact(spark: SparkSession, path: str, new_path: str, at: datetime) -> None:

@@ -26,6 +26,7 @@ from reviewmart.sources.warehouse import (
     Star,
     commit,
     log_end,
+    next_change,
     read_star,
     write_part,
 )
@@ -114,7 +115,7 @@ def load_star(
     """
     spark = enriched.sparkSession
     end = log_end(spark, path)
-    load_id = end.load_id + 1
+    load_id = next_change(spark, path, end)
 
     link = source_tag("merged", F.col("source")) if profile.is_batch else F.col("source")
     rows = with_attributes(loadable(enriched, profile), profile).withColumn("source_link", link)

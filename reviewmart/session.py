@@ -67,6 +67,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of written tables, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder.getFileSystem(conf).delete(folder, True)
+
+
 @contextmanager
 def staged_until_done(spark: SparkSession) -> Iterator[None]:
     """Delete at the end of the block, also of a failed one, what was staged inside it."""
@@ -76,7 +83,5 @@ def staged_until_done(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _open.pop()
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in map(hadoop, paths):
-            path.getFileSystem(conf).delete(path, True)
+        for path in paths:
+            remove(spark, path)

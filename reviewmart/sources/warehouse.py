@@ -1,8 +1,8 @@
 """The star schema on parquet.
 
 Every table is a folder of ``load_id=N`` parts. A part counts only once its load is listed
-in ``loads``, written last: readers see whole loads or nothing, and a failed load is simply
-written over by the next one. Dimensions only ever grow. One writer at a time.
+in ``loads``, written last: readers see whole loads or nothing, and the next change first
+clears what a failed one left. Dimensions only ever grow. One writer at a time.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmart.session import remove
+
 COLUMNS = {
     "dim_date": {
         "date_id": "long",
@@ -115,21 +117,33 @@ def log_end(spark: SparkSession, path: str) -> LogEnd:
     return LogEnd(*end.first())
 
 
-def _parts(log: DataFrame, path: str, table: str, kind: str, after: int = 0) -> DataFrame:
-    """A table's parts that the log lists as ``kind``, later than the change ``after``."""
-    wanted = log.filter((F.col("kind") == kind) & (F.col("load_id") > after)).select("load_id")
-    stored = _stored(log.sparkSession, f"{path}/{table}", _ddl(table) + ", load_id long")
-    return stored.join(wanted, "load_id", "left_semi").drop("load_id")
+def _parts(spark: SparkSession, path: str, table: str, after: int, upto: int) -> DataFrame:
+    """A table's parts of the changes ``after`` one and ``upto`` another: a partition filter.
+
+    Every change clears its id first, so no part within the log's range is a failed one's.
+    """
+    stored = _stored(spark, f"{path}/{table}", _ddl(table) + ", load_id long")
+    number = F.col("load_id")
+    return stored.filter((number > after) & (number <= upto)).drop("load_id")
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
     """The warehouse as of its last committed change; empty tables if there is none."""
-    log, end = read_log(spark, path), log_end(spark, path)
-    fact = _parts(log, path, "fact_reviews", "load", end.cleared)
+    end = log_end(spark, path)
+    fact = _parts(spark, path, "fact_reviews", end.cleared, end.load_id)
     if end.deleted > end.cleared:
-        gone = _parts(log, path, "deleted_reviews", "delete", end.cleared)
+        gone = _parts(spark, path, "deleted_reviews", end.cleared, end.load_id)
         fact = fact.join(gone, "review_id", "left_anti")
-    return Star(fact_reviews=fact, **{t: _parts(log, path, t, "load") for t in DIMENSIONS})
+    dims = {t: _parts(spark, path, t, 0, end.load_id) for t in DIMENSIONS}
+    return Star(fact_reviews=fact, **dims)
+
+
+def next_change(spark: SparkSession, path: str, end: LogEnd) -> int:
+    """The id of the next change, cleared of what a failed one left under it."""
+    load_id = end.load_id + 1
+    for table in (*DIMENSIONS, "fact_reviews", "deleted_reviews"):
+        remove(spark, f"{path}/{table}/load_id={load_id}")
+    return load_id
 
 
 def write_part(df: DataFrame, path: str, table: str, load_id: int) -> None:
