@@ -19,8 +19,8 @@ LEAST_COSINE = 0.93
 #: Tables of one random projection to 8 dimensions each, and neighbouring cells probed in each.
 TABLES, PROBES = 12, 6
 #: Lattice units that a distance of one spans after projection. At cosine 0.93 (distance 0.374)
-#: two vectors then lie about 1 apart, where cells have an inner radius of 0.707: a table finds
-#: 0.78 of such pairs, all tables together all but some 10^-8.
+#: two vectors then lie about 1 apart, where cells have an inner radius of 0.707: in a table 0.77
+#: of such pairs have a cell in common, own or probed, in all tables together all but some 10^-8.
 SCALE = 1.0 / (0.374 * 8**0.5)
 #: Rows of a block. A larger bucket or component is compared block against block.
 BLOCK = 1024
@@ -84,14 +84,9 @@ def _cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             labels = mix(batch.column(1).cast(pa.int64()).to_numpy(zero_copy_only=False).view(np.uint64))
             for own, probed in cells(unit_rows(matrix(batch.column(2)))):
                 keys = np.concatenate([own[:, None], probed], axis=1) ^ labels[:, None]
-                width = keys.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys.ravel().view(np.int64)),
-                        pa.array(np.repeat(ids, width)),
-                        pa.array(np.tile(np.arange(width) == 0, len(ids))),
-                    ],
-                    names=["key", "node", "own"],
+                    [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, keys.shape[1]))],
+                    names=["key", "node"],
                 )
 
 
@@ -144,8 +139,8 @@ def near_duplicate_vectors(rows: DataFrame) -> DataFrame:
     """Links of ``rows`` (vec_id, embedding, label; others are ignored) at cosine ``LEAST_COSINE``.
 
     Returns (vec_id, n_links, component_id, kept) per row. Equal vectors of one label are one
-    class, hashed once whatever their number. Classes that share a cell, or lie in a cell next
-    to another's, are compared exactly, in blocks; only links that hold a bucket together are
+    class, hashed once whatever their number. Classes that have a cell in common, their own or
+    a probed one, are compared exactly, in blocks; only links that hold a bucket together are
     handed on. Components follow from these, and since all links of a vector lie in its
     component, the links are counted there, again in blocks and exactly.
 
@@ -163,12 +158,12 @@ def near_duplicate_vectors(rows: DataFrame) -> DataFrame:
     )
     vectors = classes.select("node", "embedding", "times")
     found = stage(
-        classes.select("node", "label", "embedding").mapInArrow(_cell_batches, "key long, node long, own boolean"),
+        classes.select("node", "label", "embedding").mapInArrow(_cell_batches, "key long, node long"),
         "cells",
     )
-    shared = found.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.max("own").alias("own"))
+    shared = found.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"))
     buckets = stage(
-        found.join(shared.where("own AND x <> y").select("key"), "key", "left_semi").select("key", "node").distinct(),
+        found.join(shared.where("x <> y").select("key"), "key", "left_semi").select("key", "node").distinct(),
         "buckets",
     )
     links = _in_runs(block_pairs(buckets, "key", BLOCK), vectors, "key", _spanning_links, "a long, b long")

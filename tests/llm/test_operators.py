@@ -344,6 +344,28 @@ def test_lattice_equals_brute_force(vectors):
     assert lattice.near_duplicate_vectors(vectors.where("false")).count() == 0
 
 
+def test_lattice_links_pairs_that_meet_in_probed_cells_only(spark):
+    rng = np.random.default_rng(8)
+    a, b = (rng.normal(size=(40_000, 64)) for _ in range(2))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    cosine = rng.uniform(0.9301, 0.9305, (len(a), 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * b
+    by_own, by_any, shares = np.zeros(len(a), bool), np.zeros(len(a), bool), []
+    for (x, near_x), (y, near_y) in zip(lattice.cells(a), lattice.cells(b)):
+        own = (x == y) | (near_x == y[:, None]).any(axis=1) | (near_y == x[:, None]).any(axis=1)
+        met = own | (near_x[:, :, None] == near_y[:, None, :]).any(axis=(1, 2))
+        by_own, by_any = by_own | own, by_any | met
+        shares.append(met.mean())
+    hard = np.flatnonzero(~by_own)
+    assert by_any.all() and abs(np.mean(shares) - 0.77) < 0.01 and len(hard)
+    find_package(spark)
+    rows = [(2 * k + j, v[i].tolist(), 1) for k, i in enumerate(hard.tolist()) for j, v in enumerate((a, b))]
+    found = lattice.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()} == {i: (1, i // 2 * 2) for i, _, _ in rows}
+
+
 def test_e8_points_are_the_nearest():
     rng = np.random.default_rng(6)
     x = rng.normal(size=(200, 8)) * 3
