@@ -52,6 +52,11 @@ class Usual:
     def norm(self) -> float:
         return self.tokens + 0.5 * (self.words + 1)
 
+    @property
+    def split(self) -> np.ndarray:
+        """Places of the words whose positions go to several shards; the end has no positions."""
+        return np.flatnonzero((self.salts > 1) & (self.hashes != _END))
+
     def code(self, words: np.ndarray) -> np.ndarray:
         """1 + the place of a word among the usual ones, 0 for any other."""
         if not len(self.hashes):
@@ -65,10 +70,11 @@ class Usual:
         return np.where(codes > 0, held[codes - 1], np.nan)
 
     def shard(self, words: np.ndarray, codes: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """A word's shard. A word too frequent for one is split by the word before it; so each
-        part is a model of its own for some contexts, and every context is whole."""
+        """A word's shard. A word too frequent for one is split by the word before it (its upper
+        32 bits, as in a trie), so every context is whole; what follows the word in any context
+        is counted over all parts, by ``_count_pairs``."""
         salts = np.append(self.salts, 1)[codes - 1]
-        salt = np.where(salts > 1, mix(before) % salts.astype(np.uint64), np.uint64(0))
+        salt = np.where(salts > 1, mix(before >> np.uint64(32)) % salts.astype(np.uint64), np.uint64(0))
         return (mix(words + salt * _SALT) % np.uint64(self.shards)).astype(np.int32)
 
 
@@ -119,6 +125,101 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(*merged())
 
 
+def _neighbours(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words before and after each word of some rows."""
+    filled = np.diff(first) > 0
+    before, after = np.empty_like(words), np.empty_like(words)
+    before[1:], after[:-1] = words[:-1], words[1:]
+    before[first[:-1][filled]] = _BEGIN
+    after[first[1:][filled] - 1] = _END
+    return before, after
+
+
+#: Code of a split word; next word and word before it, 32 bits each; whether training holds them.
+_CONTEXTS = [np.uint16, np.uint64, np.uint8]
+#: Code of a split word, next word, number of different contexts.
+_PAIRS = [np.uint16, np.uint32, np.int64]
+
+
+def _distinct(code: np.ndarray, key: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct (code, key), and whether any row of each is to be learned from."""
+    if not len(code):
+        return code, key, learn
+    order = np.lexsort((key, code))
+    code, key, learn = code[order], key[order], learn[order]
+    first = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (key[1:] != key[:-1])))
+    return code[first], key[first], np.maximum.reduceat(learn, first)
+
+
+def _split_contexts(usual: Usual, buckets: int):
+    """Send each different (split word, next, word before) to the bucket of its pair of words."""
+    split = usual.split
+
+    def send(parts: list) -> Iterator[pa.RecordBatch]:
+        code, key, learn = _distinct(*(np.concatenate([p[k] for p in parts]) for k in range(3)))
+        pair = mix((key >> np.uint64(32)) + code.astype(np.uint64) * _SALT)
+        bucket = (pair % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            if len(at):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[at[:1]]), pa.array([_pack([code[at], key[at], learn[at]])], pa.binary())],
+                    names=["bucket", "payload"],
+                )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for low, high, data, offsets in text_chunks(batch):
+                words, first = word_hashes(data, offsets)
+                place = np.minimum(np.searchsorted(usual.hashes[split], words), len(split) - 1)
+                at = np.flatnonzero(usual.hashes[split][place] == words)
+                before, after = _neighbours(words, first)
+                held = batch.column(2)[low:high].to_numpy(zero_copy_only=False).astype(bool)
+                learn = ~np.repeat(held, np.diff(first))[at]
+                key = (after[at] >> np.uint64(32) << np.uint64(32)) | (before[at] >> np.uint64(32))
+                parts.append(((split[place[at]] + 1).astype(np.uint16), key, learn.astype(np.uint8)))
+                size += len(at)
+                if size >= FLUSH_POSITIONS // 2:
+                    yield from send(parts)
+                    parts, size = [], 0
+        if parts:
+            yield from send(parts)
+
+    return run
+
+
+def _count_pairs(usual: Usual):
+    """In how many different contexts each next word of a bucket follows its split word in training:
+    a row for every shard that holds a position of the pair, and totals of each split word."""
+
+    def work(run: pa.Table) -> pa.RecordBatch:
+        pieces = [_unpack(p, _CONTEXTS) for p in run["payload"].to_pylist()]
+        code, key, learn = _distinct(*(np.concatenate([p[k] for p in pieces]) for k in range(3)))
+        after = (key >> np.uint64(32)).astype(np.uint32)
+        first = np.append(True, (code[1:] != code[:-1]) | (after[1:] != after[:-1]))
+        start = np.flatnonzero(first)
+        kinds = np.add.reduceat(learn.astype(np.int64), start)
+        pair = np.cumsum(first) - 1
+        shard = usual.shard(usual.hashes[code.astype(np.int64) - 1], code.astype(np.int64), key << np.uint64(32))
+        seen = kinds[pair] > 0
+        wanted = np.unique((shard[seen].astype(np.int64) << 32) | pair[seen])
+        target, pair = (wanted >> 32).astype(np.int32), wanted & 0xFFFFFFFF
+        rows = []
+        for at in np.split(np.arange(len(wanted)), np.flatnonzero(np.diff(target)) + 1):
+            if len(at):
+                own = start[pair[at]]
+                rows.append((int(target[at[0]]), None, None, None, _pack([code[own], after[own], kinds[pair[at]]])))
+        for c in np.unique(code).tolist():
+            own = kinds[code[start] == c]
+            rows.append((None, c, int(own.sum()), int((own > 0).sum()), None))
+        types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+        columns = [pa.array(list(column), kind) for column, kind in zip(zip(*rows), types)]
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "code", "mass", "degree", "payload"])
+
+    return work
+
+
 def _route(usual: Usual):
     """Send each word position (word before, word, word after) to the shard of its word."""
 
@@ -137,10 +238,7 @@ def _route(usual: Usual):
                 row = np.repeat(np.arange(high - low), counts) + sum(len(d[0]) for d in docs)
                 held = batch.column(2)[low:high].to_numpy(zero_copy_only=False).astype(bool)
                 docs.append((batch.column(0)[low:high], held, counts, words[np.minimum(first[:-1], max(len(words) - 1, 0))] if len(words) else np.zeros(high - low, np.uint64)))
-                before, after = np.empty_like(words), np.empty_like(words)
-                before[1:], after[:-1] = words[:-1], words[1:]
-                before[first[:-1][counts > 0]] = _BEGIN
-                after[first[1:][counts > 0] - 1] = _END
+                before, after = _neighbours(words, first)
                 parts.append((row, np.repeat(held, counts), before, words, after))
                 size += len(words)
                 if size >= FLUSH_POSITIONS:
@@ -228,6 +326,19 @@ def _quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.searchsorted(levels, values, "right") - 1).astype(np.uint8), levels
 
 
+@dataclass
+class Shared:
+    """Successors of split words, counted over all parts: word, next word, log10 unigram
+    probability of it, number of different contexts; and the word's sums over all successors."""
+
+    word: np.ndarray
+    after: np.ndarray
+    unigram: np.ndarray
+    kinds: np.ndarray
+    mass: np.ndarray
+    degree: np.ndarray
+
+
 class Trie:
     """A model of what follows the words of one shard.
 
@@ -239,13 +350,20 @@ class Trie:
     backoff weights are one byte each. The arrays lie in an unnamed file that is mapped.
     """
 
-    def __init__(self, word: np.ndarray, before: np.ndarray, after: np.ndarray, unigram: np.ndarray):
+    def __init__(self, word: np.ndarray, before: np.ndarray, after: np.ndarray, unigram: np.ndarray, shared: Shared | None = None):
         """Counts of positions: hashes of the word (64 bits), of the neighbours (32 bits), and
-        log10 unigram probability of the next word (nan where it is not known here)."""
+        log10 unigram probability of the next word (nan where it is not known here). ``shared``
+        replaces what the positions of split words would say about their successors."""
+        size = len(word)
+        if shared is not None:
+            word, after, unigram = (
+                np.concatenate(x) for x in ((word, shared.word), (after, shared.after), (unigram, shared.unigram))
+            )
         names, rank = np.unique(word, return_inverse=True)
-        self.counts = np.bincount(rank, minlength=len(names))
         parent = rank.astype(np.uint64) << np.uint64(32)
         successors, first, succ = np.unique(parent | after.astype(np.uint64), return_index=True, return_inverse=True)
+        also, rank, parent, succ = succ[size:], rank[:size], parent[:size], succ[:size]
+        self.counts = np.bincount(rank, minlength=len(names))
         contexts, ctx = np.unique(parent | before.astype(np.uint64), return_inverse=True)
         heads = np.arange(len(names) + 1, dtype=np.uint64) << np.uint64(32)
         to_successors, to_contexts = np.searchsorted(successors, heads), np.searchsorted(contexts, heads)
@@ -258,7 +376,11 @@ class Trie:
         owner = (successors >> np.uint64(32)).astype(np.int64)
         kinds = np.bincount(succ[one], minlength=len(successors))
         mass = np.bincount(owner, weights=kinds, minlength=len(names))
-        weight = DISCOUNT * degree / np.maximum(mass, 1)
+        spread = degree.copy()
+        if shared is not None:
+            kinds[also] = shared.kinds
+            mass[owner[also]], spread[owner[also]] = shared.mass, shared.degree
+        weight = DISCOUNT * spread / np.maximum(mass, 1)
         second = (kinds - DISCOUNT) / mass[owner] + weight[owner] * lower
         total = np.bincount(ctx, minlength=len(contexts))
         weight3 = DISCOUNT * np.bincount(ctx[one], minlength=len(contexts)) / np.maximum(total, 1)
@@ -333,9 +455,21 @@ class Trie:
         return out, unigram
 
 
+#: Stands for the flush in rows of pairs; they come before all flushes of their shard.
+_PAIR_FLUSH = -1
 _PARTIAL = [np.int64, np.float64, np.float64, np.int64, np.int64, np.uint64]
 
 
+def _shared(usual: Usual, pairs: list, own_code: np.ndarray, after: np.ndarray, unigram: np.ndarray) -> Shared:
+    """What a shard is told of its split words; the positions tell the unigram of next words."""
+    code, following, kinds = (np.concatenate([p[k] for p in pairs]) for k in range(3))
+    code = code.astype(np.int64)
+    at = np.flatnonzero(np.append(usual.salts, 1)[own_code - 1] > 1)
+    keys, first = np.unique((own_code[at] << 32) | after[at].astype(np.int64), return_index=True)
+    place = at[first[np.searchsorted(keys, (code << 32) | following.astype(np.int64))]]
+    return Shared(usual.hashes[code - 1], following, unigram[place], kinds, usual.mass[code], usual.degree[code])
+
+
 def _score_shard(usual: Usual):
     """Build a shard's trie from its training positions and score all its positions by it."""
 
@@ -345,7 +479,10 @@ def _score_shard(usual: Usual):
                 [run["flush"].combine_chunks(), pa.array([True] * run.num_rows), run["payload"].combine_chunks()],
                 names=["flush", "about", "payload"],
             )
-        pieces = [_unpack(p, _SEGMENT) for p in run["payload"].to_pylist()]
+        flushes_in, payloads_in = run["flush"].to_pylist(), run["payload"].to_pylist()
+        pairs = [_unpack(p, _PAIRS) for f, p in zip(flushes_in, payloads_in) if f == _PAIR_FLUSH]
+        flushes_in, payloads_in = flushes_in[len(pairs) :], payloads_in[len(pairs) :]
+        pieces = [_unpack(p, _SEGMENT) for p in payloads_in]
         usual_high = np.append((usual.hashes >> np.uint64(32)).astype(np.uint32), np.uint32(0))
         begin_high = np.uint32(int(_BEGIN) >> 32)
         rows, outs, words, befores, afters, codes, lows = [], [], [], [], [], [], []
@@ -360,16 +497,17 @@ def _score_shard(usual: Usual):
         out, word, before, after, code = (np.concatenate(x) for x in (outs, words, befores, afters, codes))
         unigram = usual.log_unigram(code)
         learn = ~out
-        trie = Trie(word[learn], before[learn], after[learn], unigram[learn])
+        own_code = usual.code(word)
+        shared = _shared(usual, pairs, own_code, after, unigram) if pairs else None
+        trie = Trie(word[learn], before[learn], after[learn], unigram[learn], shared)
         rank = trie.sequences["words"].find(word)
         value, open_ = trie.score(rank, before, after)
         value += np.where(open_ & (code > 0), unigram, 0.0)
         wanting = open_ & (code == 0)
-        own_code = usual.code(word)
         count = np.where(own_code > 0, np.append(usual.counts, 0)[own_code - 1], np.append(trie.counts, 0)[rank])
         gain = np.log10(count + 0.5)
         flushes, payloads, at = [], [], 0
-        for flush, row, low in zip(run["flush"].to_pylist(), rows, lows):
+        for flush, row, low in zip(flushes_in, rows, lows):
             part = slice(at, at + len(row))
             at += len(row)
             names, place = np.unique(row, return_inverse=True)
@@ -444,7 +582,8 @@ def score(docs: DataFrame) -> DataFrame:
     without white space.
 
     Training words are counted first. Then every word position goes to the shard of its word;
-    there the training positions become a trie and all positions are scored by it. A word whose
+    there the training positions become a trie and all positions are scored by it. For words
+    split over shards, the contexts of each next word are counted over all parts before. A word whose
     successor was never seen after it backs off to the successor's unigram probability, which is
     joined from the table of all words. What the shards find is summed per document.
     """
@@ -461,6 +600,8 @@ def score(docs: DataFrame) -> DataFrame:
     usual = Usual(hashes[order], usual_rows["n"].to_numpy().astype(np.int64)[order], int(totals["n"]), int(totals["v"]), shards)
 
     routed = docs.mapInArrow(_route(usual), "shard int, flush long, payload binary")
+    if len(usual.split):
+        routed = routed.unionByName(_pairs_of_split_words(docs, usual))
     scored = (
         routed.repartition(_partitions(spark, shards), "shard")
         .sortWithinPartitions("shard", "flush")
@@ -494,6 +635,26 @@ def score(docs: DataFrame) -> DataFrame:
     )
 
 
+def _pairs_of_split_words(docs: DataFrame, usual: Usual) -> DataFrame:
+    """Rows (shard, flush, payload) of counted pairs; sums of each split word are put in ``usual``."""
+    tokens = int(usual.counts[usual.split].sum())
+    buckets = max(1, -(-tokens * 5 // 4 // SHARD_POSITIONS))
+    counted = stage(
+        docs.mapInArrow(_split_contexts(usual, buckets), "bucket int, payload binary")
+        .repartition(_partitions(docs.sparkSession, buckets), "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(
+            over_runs(["bucket"], _count_pairs(usual)), "shard int, code int, mass long, degree long, payload binary"
+        ),
+        "pairs",
+    )
+    usual.mass, usual.degree = np.zeros((2, len(usual.hashes) + 1), np.int64)
+    sums = counted.where("payload IS NULL").groupBy("code").agg(F.sum("mass"), F.sum("degree"))
+    for code, mass, degree in sums.collect():
+        usual.mass[code], usual.degree[code] = mass, degree
+    return counted.where("payload IS NOT NULL").select("shard", F.lit(_PAIR_FLUSH).cast("long").alias("flush"), "payload")
+
+
 def _partitions(spark: SparkSession, shards: int) -> int:
     """A few shards per task, and no fewer tasks than the session deals its shuffles to."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // 4))

@@ -104,6 +104,36 @@ def test_split_words_keep_scores_whole(documents, monkeypatch):
     assert len(rows) == documents.count() and all(r["score"] < 0 for r in rows)
 
 
+def test_split_words_score_as_whole_ones(documents, monkeypatch):
+    """But for the bytes of probability, whose levels are those of a shard."""
+    monkeypatch.setattr(ngrams, "SHARD_POSITIONS", 2000)
+    found = []
+    for share in (10**9, 40):
+        monkeypatch.setattr(ngrams.Usual, "__post_init__", lambda u: setattr(u, "salts", np.maximum(1, u.counts // share)))
+        found.append({r["doc_id"]: r for r in ngram_rows(documents)})
+    off = [(found[1][i]["score"] - r["score"]) / r["n_tokens"] for i, r in found[0].items() if r["held_out"]]
+    assert np.abs(off).mean() < 0.004 and abs(np.mean(off)) < 0.002
+
+
+def test_parts_of_a_split_word_know_all_its_successors(monkeypatch):
+    monkeypatch.setattr(ngrams, "_quantised", lambda values: (np.arange(len(values)), values))
+    rng = np.random.default_rng(9)
+    word, after = np.full(300, 5, np.uint64), (rng.integers(1, 5, 300) * rng.integers(1, 9, 300)).astype(np.uint32)
+    before, unigram = rng.integers(1, 30, 300).astype(np.uint32), np.full(300, -2.0)
+    pairs = np.unique(np.stack([after, before]), axis=1)
+    follows, kinds = np.unique(pairs[0], return_counts=True)
+    n = len(follows)
+    shared = ngrams.Shared(np.full(n, 5, np.uint64), follows, np.full(n, -2.0), kinds, np.full(n, kinds.sum()), np.full(n, n))
+    whole = ngrams.Trie(word, before, after, unigram)
+    asked = np.arange(40).astype(np.uint32)
+    for odd in (0, 1):
+        own = before % 2 == odd
+        part = ngrams.Trie(word[own], before[own], after[own], unigram[own], shared)
+        for b in (2 + odd, 8 + odd, 98 + odd):
+            scores = [t.score(np.zeros(40, np.int64), np.full(40, b, np.uint32), asked) for t in (whole, part)]
+            assert (scores[0][0] == scores[1][0]).all() and (scores[0][1] == scores[1][1]).all()
+
+
 def test_ngrams_on_edges(edges):
     rows = ngram_rows(edges)
     assert len(rows) == edges.count()
