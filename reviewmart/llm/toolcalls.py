@@ -24,34 +24,112 @@ _TYPES: dict[str, Any] = {
 }
 
 
+#: Keywords that say nothing about what is valid.
+_NOTES = {"title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "$comment", "$schema", "$id"}
+_RULES = {
+    "type", "enum", "const", "required", "properties", "additionalProperties", "minProperties", "maxProperties",
+    "items", "minItems", "maxItems", "uniqueItems", "minLength", "maxLength",
+    "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "anyOf", "allOf", "oneOf", "not",
+}
+
+
+def check_schema(schema: Any) -> None:
+    """Raise ValueError where a schema has a keyword that ``violations`` does not judge."""
+    if isinstance(schema, bool):
+        return
+    if not isinstance(schema, dict):
+        raise ValueError(f"no schema: {schema!r}")
+    unknown = sorted(set(schema) - _RULES - _NOTES)
+    if unknown:
+        raise ValueError(f"keywords not supported: {', '.join(unknown)}")
+    types = schema.get("type", [])
+    for name in [types] if isinstance(types, str) else types:
+        if name not in _TYPES:
+            raise ValueError(f"no type: {name}")
+    parts = [*schema.get("properties", {}).values()]
+    parts += [schema[k] for k in ("items", "additionalProperties", "not") if k in schema]
+    for part in parts + [p for k in ("anyOf", "allOf", "oneOf") for p in schema.get(k, [])]:
+        check_schema(part)
+
+
+def _plain(value: Any) -> Any:
+    """A value that equals another's exactly where JSON Schema takes both for equal."""
+    if isinstance(value, dict):
+        return ("object", frozenset((k, _plain(v)) for k, v in value.items()))
+    if isinstance(value, list):
+        return ("array", tuple(map(_plain, value)))
+    return (isinstance(value, bool), value)
+
+
+def _broken(value: Any, rule: Any, path: str) -> Iterator[str]:
+    """``path:rule`` of every rule that a value breaks; a value of a wrong type is judged no further."""
+    if isinstance(rule, bool):
+        if not rule:
+            yield f"{path}:false"
+        return
+    if "type" in rule:
+        types = [rule["type"]] if isinstance(rule["type"], str) else rule["type"]
+        if not any(_TYPES[t](value) for t in types):
+            yield f"{path}:type"
+            return
+    if "enum" in rule and _plain(value) not in map(_plain, rule["enum"]):
+        yield f"{path}:enum"
+    if "const" in rule and _plain(value) != _plain(rule["const"]):
+        yield f"{path}:const"
+    if isinstance(value, str):
+        sizes = ("minLength", "maxLength")
+    elif isinstance(value, list):
+        sizes = ("minItems", "maxItems")
+    else:
+        sizes = ("minProperties", "maxProperties")
+    if isinstance(value, (str, list, dict)):
+        if len(value) < rule.get(sizes[0], 0):
+            yield f"{path}:{sizes[0]}"
+        if sizes[1] in rule and len(value) > rule[sizes[1]]:
+            yield f"{path}:{sizes[1]}"
+    elif _TYPES["number"](value):
+        if "minimum" in rule and value < rule["minimum"]:
+            yield f"{path}:minimum"
+        if "maximum" in rule and value > rule["maximum"]:
+            yield f"{path}:maximum"
+        if "exclusiveMinimum" in rule and value <= rule["exclusiveMinimum"]:
+            yield f"{path}:exclusiveMinimum"
+        if "exclusiveMaximum" in rule and value >= rule["exclusiveMaximum"]:
+            yield f"{path}:exclusiveMaximum"
+    if isinstance(value, dict):
+        inner = f"{path}." if path else ""
+        known, others = rule.get("properties", {}), rule.get("additionalProperties", True)
+        yield from (f"{inner}{name}:required" for name in rule.get("required", []) if name not in value)
+        for name, part in value.items():
+            if name in known:
+                yield from _broken(part, known[name], inner + name)
+            elif others is False:
+                yield f"{inner}{name}:additionalProperties"
+            else:
+                yield from _broken(part, others, inner + name)
+    if isinstance(value, list):
+        if rule.get("uniqueItems") and len(set(map(_plain, value))) < len(value):
+            yield f"{path}:uniqueItems"
+        for k, part in enumerate(value):
+            yield from _broken(part, rule.get("items", True), f"{path}[{k}]")
+    for part in rule.get("allOf", []):
+        yield from _broken(value, part, path)
+    for name, right in (("anyOf", lambda n: n > 0), ("oneOf", lambda n: n == 1)):
+        if name in rule and not right(sum(not any(_broken(value, part, path)) for part in rule[name])):
+            yield f"{path}:{name}"
+    if "not" in rule and not any(_broken(value, rule["not"], path)):
+        yield f"{path}:not"
+
+
 def violations(arguments: Any, schema: dict) -> list[str]:
-    """What JSON Schema finds wrong with the arguments, as sorted ``field:rule``."""
+    """What JSON Schema finds wrong with the arguments, as sorted ``field:rule``.
+
+    Fields inside others are ``outer.inner`` and ``list[0]``; rules of the arguments as a whole
+    have no field. Keywords outside ``_RULES`` are refused by ``check_schema``.
+    """
     if not isinstance(arguments, dict):
         return ["arguments:type"]
-    known = schema.get("properties", {})
-    found = [f"{name}:required" for name in schema.get("required", []) if name not in arguments]
-    for name, value in arguments.items():
-        rule = known.get(name)
-        if rule is None:
-            if schema.get("additionalProperties") is False:
-                found.append(f"{name}:additionalProperties")
-            continue
-        if "type" in rule and not _TYPES[rule["type"]](value):
-            found.append(f"{name}:type")
-            continue
-        if "enum" in rule and value not in rule["enum"]:
-            found.append(f"{name}:enum")
-        if isinstance(value, str):
-            if len(value) < rule.get("minLength", 0):
-                found.append(f"{name}:minLength")
-            if "maxLength" in rule and len(value) > rule["maxLength"]:
-                found.append(f"{name}:maxLength")
-        elif isinstance(value, (int, float)) and not isinstance(value, bool):
-            if "minimum" in rule and value < rule["minimum"]:
-                found.append(f"{name}:minimum")
-            if "maximum" in rule and value > rule["maximum"]:
-                found.append(f"{name}:maximum")
-    return sorted(found)
+    return sorted(set(_broken(arguments, schema, "")))
 
 
 def canonical(value: Any) -> str:
@@ -135,6 +213,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     call_id, depth, step, status, message, errors, one row per input row. Sorting a conversation
     by (depth, step, turn) puts a call after the result it waits for, and a result after its call.
 
+    An id, also of a parent, names a call of its own conversation; rows without a conv_id are one
+    conversation. Schemas with keywords that are not judged raise ValueError.
+
     status: a call is ``linked`` or ``unanswered``; ``duplicate`` where an earlier row has its id
     (least turn, then arguments; equal rows are all first); ``cyclic`` where its parents never
     end. A result is ``linked`` or ``orphan`` (then its depth is null). Without an id a row is
@@ -142,26 +223,31 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     are no JSON; null contents are written as null.
     """
     find_package(calls.sparkSession)
-    calls = calls.select("conv_id", "turn", "call_id", "parent_id", "name", "arguments")
-    results = results.select("conv_id", "turn", "call_id", "content")
+    for schema in schemas.values():
+        check_schema(schema)
+    # As a struct, so that null conversations are equal in joins too.
+    own = F.struct("conv_id", "call_id")
+    calls = calls.select("conv_id", "turn", "call_id", "parent_id", "name", "arguments").withColumn("id", own)
+    results = results.select("conv_id", "turn", "call_id", "content").withColumn("id", own)
     first = stage(
         calls.where("call_id IS NOT NULL")
-        .groupBy("call_id")
+        .groupBy("id")
         .agg(F.min(F.struct("turn", "arguments", "parent_id")).alias("first"))
-        .select("call_id", "first.*"),
+        .select("id", "first.*"),
         "calls",
     )
-    answered = results.where("call_id IS NOT NULL").select("call_id").distinct()
+    answered = results.where("call_id IS NOT NULL").select("id").distinct()
+    parent = F.struct("id.conv_id", F.col("parent_id").alias("call_id")).alias("parent_id")
     known = stage(
         first.withColumnRenamed("arguments", "first_arguments")
         .withColumnRenamed("turn", "first_turn")
         .drop("parent_id")
-        .join(depths(first.select("call_id", "parent_id")), "call_id")
-        .join(answered.withColumn("answered", F.lit(True)), "call_id", "left"),
+        .join(depths(first.select(F.col("id").alias("call_id"), parent)).withColumnRenamed("call_id", "id"), "id")
+        .join(answered.withColumn("answered", F.lit(True)), "id", "left"),
         "known",
     )
     again = ~(F.col("turn").eqNullSafe(F.col("first_turn")) & F.col("arguments").eqNullSafe(F.col("first_arguments")))
-    asked = calls.join(known, "call_id", "left").select(
+    asked = calls.join(known, "id", "left").select(
         "conv_id",
         "turn",
         F.lit("call").alias("kind"),
@@ -177,7 +263,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
         "name",
         F.col("arguments").alias("payload"),
     )
-    replied = results.join(known.select("call_id", "depth", F.lit(True).alias("there")), "call_id", "left").select(
+    replied = results.join(known.select("id", "depth", F.lit(True).alias("there")), "id", "left").select(
         "conv_id",
         "turn",
         F.lit("result").alias("kind"),

@@ -488,6 +488,39 @@ def test_tool_calls_on_edges(spark):
     assert toolcalls.link(calls.where("false"), results.where("false"), toolcalls.TOOLS).count() == 0
 
 
+def test_ids_name_calls_of_their_own_conversation(spark):
+    find_package(spark)
+    rows = [(c, t, f"call_{t}", f"call_{t - 1}" if t else None, "any", "{}") for c in (1, 2, None) for t in (0, 1)]
+    calls = spark.createDataFrame(rows, "conv_id long, turn long, call_id string, parent_id string, name string, arguments string")
+    given = [(1, 2, "call_0", "x"), (2, 2, "call_1", "y"), (None, 2, "call_1", "z"), (3, 2, "call_1", "w")]
+    results = spark.createDataFrame(given, "conv_id long, turn long, call_id string, content string")
+    found = {(r["conv_id"], r["turn"]): (r["status"], r["depth"]) for r in toolcalls.link(calls, results, {"any": {}}).collect()}
+    assert found == {
+        (1, 0): ("linked", 0), (1, 1): ("unanswered", 1), (1, 2): ("linked", 0),
+        (2, 0): ("unanswered", 0), (2, 1): ("linked", 1), (2, 2): ("linked", 1),
+        (None, 0): ("unanswered", 0), (None, 1): ("linked", 1), (None, 2): ("linked", 1), (3, 2): ("orphan", None),
+    }
+    with pytest.raises(ValueError, match="pattern"):
+        toolcalls.link(calls, results, {"any": {"properties": {"a": {"items": {"pattern": "x"}}}}})
+
+
+def test_schemas_hold_inside_and_beyond_types():
+    schema = {
+        "properties": {
+            "a": {"type": ["string", "null"], "maxLength": 2},
+            "b": {"type": "object", "required": ["c"], "properties": {"c": {"type": "integer", "exclusiveMinimum": 0}}, "additionalProperties": False},
+            "d": {"type": "array", "maxItems": 2, "uniqueItems": True, "items": {"anyOf": [{"const": 1}, {"enum": ["x"]}]}},
+        },
+        "additionalProperties": {"type": "boolean"},
+    }
+    toolcalls.check_schema(schema)
+    assert toolcalls.violations({"a": None, "b": {"c": 1}, "d": [1, "x"], "e": True}, schema) == []
+    assert toolcalls.violations({"a": 1, "b": {"c": 0, "f": 1}, "d": [True, "x", "x"], "e": 0}, schema) == [
+        "a:type", "b.c:exclusiveMinimum", "b.f:additionalProperties", "d:maxItems", "d:uniqueItems", "d[0]:anyOf", "e:type",
+    ]
+    assert toolcalls.violations({"a": "xyz", "b": {}}, schema) == ["a:maxLength", "b.c:required"]
+
+
 def test_long_chains_are_ordered(spark):
     chain = [(f"c{i}", f"c{i - 1}" if i else None) for i in range(50)]
     rows = toolcalls.depths(spark.createDataFrame(chain, "call_id string, parent_id string")).collect()
