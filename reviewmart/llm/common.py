@@ -89,12 +89,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows of about ``CHUNK_BYTES``: first row, row after the last, bytes, offsets."""
+def text_chunks(
+    batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of rows of about ``size`` bytes: first row, row after the last, bytes, offsets."""
     data, offsets = utf8(batch.column(batch.schema.get_field_index(column)))
     low, rows = 0, len(offsets) - 1
     while low < rows:
-        high = int(np.searchsorted(offsets, offsets[low] + CHUNK_BYTES, "right")) - 1
+        high = int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1
         high = min(max(high, low + 1), rows)
         yield low, high, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
