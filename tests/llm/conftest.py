@@ -1,11 +1,9 @@
 import pytest
+from edge_texts import TEXTS
 from pyspark.sql import functions as F
 
 from reviewmart.llm.common import find_package
 
-LONG = "über the hills and far away 1234 'tis " * 4000
-TEXTS = [None, "", "  \n\t ", "a", "a b c", LONG, LONG, "Straße ñandú's 中文 \u0000 é😀", "the same text of six words", "the same text of six words", "1 2 3 !", "x" * 3000]
-
 
 @pytest.fixture(scope="session")
 def edges(spark):

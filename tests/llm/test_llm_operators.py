@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from edge_texts import TEXTS
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
