@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that are hashed at once; longer texts are taken alone.
 CHUNK_BYTES = 4 << 20
+#: Bytes whose prefix sums are held at once while their words are hashed; a longer word is held whole.
+HASHED_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -146,7 +148,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     low = 0
     while low < len(starts):
         base = starts[low]
-        high = max(int(np.searchsorted(ends, base + CHUNK_BYTES, "right")), low + 1)
+        high = max(int(np.searchsorted(ends, base + HASHED_BYTES, "right")), low + 1)
         block = data[base : ends[high - 1]]
         powers, inverses = _power_tables(len(block) + 1)
         sums = np.empty(len(block) + 1, np.uint64)

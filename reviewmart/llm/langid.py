@@ -21,6 +21,8 @@ FIT_ROWS, CALIBRATION_ROWS = 300, 100
 #: Follow-the-regularised-leader: step size, its smoothing, elastic-net penalties, passes.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.02, 0.01, 3
 UNKNOWN = "und"
+#: Bytes of text whose n-grams are hashed at once; they take some 50 times as much memory.
+CHUNK_BYTES = 512 << 10
 
 _GRAM = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint64)
 _GAP = 32
@@ -55,16 +57,24 @@ def _rows(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, n
         begins = np.cumsum([0, *map(len, parts)])
         points = np.concatenate(parts)
     signs = _letters()[points]
+    del points
     shift = np.uint64(64 - (FEATURES.bit_length() - 1))
     mixed = signs.astype(np.uint64)
     grams, real = [], []
     total = np.zeros(len(signs), np.uint64)
+    code = np.empty(len(signs), np.uint64)
     solid = signs != _GAP
     for n in range(ORDER):
         size = max(len(signs) - n, 0)
-        total = (total[:size] + mixed[n:] * _GRAM[n]) * np.uint64(0x9E3779B97F4A7C15)
-        code = total ^ (total >> np.uint64(29))
-        grams.append(((code * np.uint64(0xBF58476D1CE4E5B9)) >> shift).astype(np.int32))
+        total, code = total[:size], code[:size]
+        np.multiply(mixed[n:], _GRAM[n], out=code)
+        total += code
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        np.right_shift(total, np.uint64(29), out=code)
+        code ^= total
+        code *= np.uint64(0xBF58476D1CE4E5B9)
+        code >>= shift
+        grams.append(code.astype(np.int32))
         # A gram counts if it begins or ends with a letter.
         real.append(solid[:size] | solid[n:])
     for a, b in zip(begins[:-1].tolist(), begins[1:].tolist()):
@@ -80,7 +90,7 @@ def _rows(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, n
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, rows = np.zeros(FEATURES, np.int64), 0
     for batch in batches:
-        for _, _, data, offsets in text_chunks(batch):
+        for _, _, data, offsets in text_chunks(batch, size=CHUNK_BYTES):
             for features, _ in _rows(data, offsets):
                 seen[features] += 1
                 rows += 1
@@ -93,7 +103,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 def _sparse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, high, data, offsets in text_chunks(batch):
+        for low, high, data, offsets in text_chunks(batch, size=CHUNK_BYTES):
             found = list(_rows(data, offsets))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -184,7 +194,8 @@ def fit(docs: DataFrame) -> LanguageModel:
 
     Document frequencies are of all these rows. The weights are fitted on the ``FIT_ROWS`` rows
     of least hash of each language, the temperature on the ``CALIBRATION_ROWS`` next ones; these
-    alone come to the driver, as hashed features.
+    alone come to the driver, as hashed features. An id may stand in several languages; of rows
+    with one id and language, the least text teaches.
     """
     find_package(docs.sparkSession)
     known = docs.where("lang IS NOT NULL")
@@ -201,10 +212,13 @@ def fit(docs: DataFrame) -> LanguageModel:
     counts[real["feature"].to_numpy()] = real["n"].to_numpy()
     idf = np.log((1 + total) / (1 + counts)) + 1
 
-    chosen = least_hashed(known.select("doc_id", "lang"), "lang", FIT_ROWS + CALIBRATION_ROWS)
+    ids = known.where("doc_id IS NOT NULL").select("doc_id", "lang").distinct()
+    chosen = least_hashed(ids, "lang", FIT_ROWS + CALIBRATION_ROWS)
     rows = (
-        known.select("doc_id", "text")
-        .join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id")
+        known.select("doc_id", "lang", "text")
+        .join(F.broadcast(chosen), ["doc_id", "lang"])
+        .groupBy("lang", "rank")
+        .agg(F.min("text").alias("text"))
         .select("text", "lang", "rank")
         .mapInArrow(_sparse_rows, "lang string, rank int, features binary, counts binary")
         .collect()
@@ -238,17 +252,16 @@ def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                shared.value.predict(f, c) for _, _, data, offsets in text_chunks(batch) for f, c in _rows(data, offsets)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                names=[*batch.schema.names, "lang_pred", "score"],
-            )
+            for low, high, data, offsets in text_chunks(batch, size=CHUNK_BYTES):
+                found = [shared.value.predict(f, c) for f, c in _rows(data, offsets)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *batch.slice(low, high - low).columns,
+                        pa.array([f[0] for f in found], pa.string()),
+                        pa.array([f[1] for f in found], pa.float64()),
+                    ],
+                    names=[*batch.schema.names, "lang_pred", "score"],
+                )
 
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *added]))
