@@ -28,7 +28,7 @@ from reviewmart.profiles import APP, BATCH
 from reviewmart.session import staging_path
 from reviewmart.sources import csv_files
 from reviewmart.sources.pages import extract_page_reviews
-from reviewmart.sources.warehouse import COLUMNS, DIMENSIONS, Star, read_star
+from reviewmart.sources.warehouse import COLUMNS, DIMENSIONS, Star, read_newest, read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,13 +91,40 @@ def source_cap(spark, sf_dir):
     )
 
 
-@register("SELECT doc_id, text AS content FROM documents")
+@register(
+    "SELECT doc_id, text AS content, CASE WHEN doc_id % 3 <> 0 THEN lang END AS lang FROM documents"
+)
 def scan_dataset_dir(spark, sf_dir):
-    """All documents written as a folder of CSV files and scanned back whole."""
+    """All documents as a folder of CSV files with differing columns, scanned back whole."""
     path = staging_path(spark, "dataset")
-    documents = I.table(spark, sf_dir, "documents")
-    csv_files.write_reviews_csv(documents.select("doc_id", F.col("text").alias("content")), path)
-    return csv_files.read_dataset_dir(spark, path, "all", "doc_id long, content string")
+    documents = I.table(spark, sf_dir, "documents").withColumn("content", F.col("text"))
+    for k, columns in enumerate((["doc_id", "content"], ["content", "doc_id", "lang"], ["lang", "content", "doc_id"])):
+        csv_files.write_reviews_csv(documents.where(F.col("doc_id") % 3 == k).select(*columns), f"{path}/{k}")
+    return csv_files.read_dataset_dir(
+        spark, f"{path}/*", "all", "doc_id long, content string, lang string"
+    )
+
+
+@register(
+    _with(
+        O.app_star(
+            f"SELECT 1 AS load_nr, doc_id AS k1, 0::BIGINT AS k2, text AS review_text, "
+            f"'Local CSV (docs.csv)' AS source, {O.LOAD} AS load_ts FROM documents"
+        ),
+        "SELECT review_text, sentiment_label, issue_reason, source_link, count(*) AS rows "
+        "FROM fact_reviews GROUP BY ALL",
+    )
+)
+def csv_upload(spark, sf_dir):
+    """Every document as one uploaded CSV: column found, enriched and loaded."""
+    path = staging_path(spark, "csv")
+    documents = I.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("Comment text"))
+    csv_files.write_reviews_csv(documents, path)
+    star = ingest.ingest_csv(
+        spark, path, "docs.csv", I.test_model(spark), staging_path(spark, "star"), I.LOAD_TS
+    ).star
+    columns = ["review_text", "sentiment_label", "issue_reason", "source_link"]
+    return star.fact_reviews.groupBy(*columns).agg(F.count("*").alias("rows"))
 
 
 @register(
@@ -130,6 +157,26 @@ def page_reviews_top50(spark, sf_dir):
     return extract_page_reviews(I.table(spark, sf_dir, "pages"), 50)
 
 
+@register(
+    r"""SELECT page_id, url, CAST(row_number() OVER (PARTITION BY page_id ORDER BY nr) - 1 AS INTEGER) AS pos, review_text
+    FROM (SELECT p.page_id, url, turn AS nr,
+        regexp_replace("text", '^[\s\x0b\x{A0}]+|[\s\x0b\x{A0}]+$', '', 'g') AS review_text
+      FROM pages p JOIN conversations c ON c.conv_id = p.page_id)
+    WHERE review_text <> ''"""
+)
+def page_spans(spark, sf_dir):
+    """Pages that show conversations as review spans, between their own paragraphs."""
+    text = F.col("text")
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(sign), F.lit(name))
+    span = F.concat(F.lit('<span class="x" data-hook="review-body"><span>'), text, F.lit("</span></span>"))
+    spans = I.table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("page_id")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", span.alias("span")))), lambda s: s["span"]), "<p>no review of this page, however long it is</p>").alias("spans")
+    )
+    pages = I.table(spark, sf_dir, "pages").join(spans, "page_id")
+    return extract_page_reviews(pages.withColumn("html", F.concat("html", "spans")))
+
+
 @register(
     _with(O.app_star(O.MANUAL_ROWS), f"SELECT {O.FACT_COLUMNS} FROM fact_reviews")
 )
@@ -661,20 +708,45 @@ def star_load_app(spark, sf_dir):
     return _named(I.load_app(spark, sf_dir))
 
 
-@register(_with(O.BATCH_STAR, _NAMED_SQL))
-def batch_pipeline(spark, sf_dir):
-    """The whole batch run from two CSV files in file order, every stored column and id."""
+def _run_batch(spark, sf_dir):
+    """The whole batch run from two CSV files in file order."""
     product, clothing = staging_path(spark, "csv"), staging_path(spark, "csv")
     for rows, path in (
         (I.product_reviews(spark, sf_dir), product),
         (I.clothing_reviews(spark, sf_dir), clothing),
     ):
-        csv_files.write_reviews_csv(in_order(rows, ["row_id"]).drop("row_id"), path)
-    return _named(
-        ingest.run_batch(
-            spark, product, clothing, I.test_model(spark), staging_path(spark, "star"), I.LOAD_TS
-        ).star
+        csv_files.write_reviews_csv(in_order(rows, ["row_id"]).withColumnRenamed("row_id", "number"), path)
+    return ingest.run_batch(
+        spark, product, clothing, I.test_model(spark), staging_path(spark, "star"), I.LOAD_TS
+    )
+
+
+@register(_with(O.BATCH_STAR, _NAMED_SQL))
+def batch_pipeline(spark, sf_dir):
+    """Every stored column and id of a batch run from CSV files."""
+    return _named(_run_batch(spark, sf_dir).star)
+
+
+@register(
+    _with(
+        O.INPUTS,
+        f"""SELECT source, count(*) AS rows_read,
+        count(*) FILTER (review_text IS NULL) AS rows_missing,
+        count(*) FILTER (regexp_matches(review_text, {O.BLANK})) AS rows_blank,
+        count(*) FILTER (NOT regexp_matches(review_text, {O.BLANK})) AS rows_loaded
+        FROM (SELECT source, review_text FROM u
+          UNION ALL SELECT 'Manual Entry', text FROM conversations WHERE role = 'user')
+        GROUP BY source""",
     )
+)
+def load_totals(spark, sf_dir):
+    """Rows read, refused and loaded of each source, counted while a batch and an app load ran."""
+    batch = _run_batch(spark, sf_dir)
+    rows = in_order(I.manual_reviews(spark, sf_dir), ["conv_id", "turn"])
+    manual = ingest.append_reviews(rows, I.test_model(spark), staging_path(spark, "star"), I.LOAD_TS)
+    found = [(t.source, t.read, t.missing, t.blank, t.loaded) for t in (*batch.totals, *manual.totals)]
+    schema = "source string, rows_read long, rows_missing long, rows_blank long, rows_loaded long"
+    return spark.createDataFrame(found, schema)
 
 
 _UPLOADED = "review_text, sentiment_label, issue_reason, ai_recommendation, source_link"
@@ -919,7 +991,13 @@ def records_view(spark, sf_dir):
 
 @register(_with(f"{O.BATCH_STAR}, {O.RECORDS}", 'SELECT * FROM records ORDER BY "ID" DESC LIMIT 100'))
 def records_top100(spark, sf_dir):
-    return D.newest_records(I.stored_star(spark, sf_dir))
+    return D.newest_records(read_newest(spark, I.stored_path(spark, sf_dir), 100))
+
+
+@register(_with(f"{O.APP_STAR}, {O.RECORDS}", 'SELECT * FROM records ORDER BY "ID" DESC LIMIT 100'))
+def records_top100_app(spark, sf_dir):
+    """The newest records of a warehouse of three loads; only the last ones are read."""
+    return D.newest_records(read_newest(spark, I.stored_path(spark, sf_dir, "app"), 100))
 
 
 @register(

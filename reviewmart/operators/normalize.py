@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewmart.functions.text import has_text, to_int
 from reviewmart.operators.keys import in_order
 from reviewmart.profiles import CLOTHING_SOURCE, DEFAULT_CATEGORY, ECOMMERCE_SOURCE
+from reviewmart.sources.csv_records import PLACE
 
 
 def _unified(
@@ -48,14 +49,19 @@ def in_file_order(df: DataFrame) -> DataFrame:
     """Sort scanned rows by file name and place in the file, and number them so as ``row_id``.
 
     How a scan packs files and splits into tasks depends on sizes and settings; their names
-    and offsets do not. Inside a split the scan's own order holds.
+    and offsets do not. Inside a split the scan's own order holds. Rows come with their
+    ``PLACE``, or straight from a file scan, which knows it.
     """
-    place = {
-        "_file": F.col("_metadata.file_path"),
-        "_start": F.col("_metadata.file_block_start"),
-        "_position": F.monotonically_increasing_id(),
-    }
-    rows = in_order(df.withColumns(place), list(place)).drop(*place)
+    if not set(PLACE) <= set(df.columns):
+        file, start, position = PLACE
+        df = df.withColumns(
+            {
+                file: F.col("_metadata.file_path"),
+                start: F.col("_metadata.file_block_start"),
+                position: F.monotonically_increasing_id(),
+            }
+        )
+    rows = in_order(df, list(PLACE)).drop(*PLACE)
     return rows.withColumn("row_id", F.monotonically_increasing_id())
 
 

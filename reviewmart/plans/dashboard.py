@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmart.functions.bands import age_group
@@ -28,35 +28,49 @@ def star_stats(star: Star) -> DataFrame:
     )
 
 
-def _counts(df: DataFrame, *by: str) -> DataFrame:
-    return df.groupBy(*by).agg(F.count("*").alias("Count"))
+def _sums(counted: DataFrame, *by: str) -> DataFrame:
+    return counted.groupBy(*by).agg(F.sum("Count").alias("Count"))
+
+
+def _counted(star: Star, *columns: Column) -> DataFrame:
+    """Reviews per value of fact columns; dimensions meet these few rows, not the reviews.
+
+    Every review has its dimension rows (``fk_orphans`` reports where not), so a dimension that
+    gives no column is not joined at all.
+    """
+    return star.fact_reviews.groupBy(*columns).agg(F.count("*").alias("Count"))
 
 
 def sentiment_counts(star: Star) -> DataFrame:
     """Reviews per sentiment, most frequent first."""
-    known = star_stats(star).filter(F.col("Sentiment").isNotNull())
-    return _counts(known, "Sentiment").orderBy(F.desc("Count"), "Sentiment")
+    known = _counted(star, F.col("sentiment_label").alias("Sentiment")).filter(F.col("Sentiment").isNotNull())
+    return known.orderBy(F.desc("Count"), "Sentiment")
 
 
 def gender_sentiment(star: Star) -> DataFrame:
     """Reviews per gender and sentiment."""
-    return _counts(star_stats(star), "Gender", "Sentiment")
+    counted = _counted(star, F.col("customer_id"), F.col("sentiment_label").alias("Sentiment"))
+    customers = star.dim_customer.select("customer_id", F.col("gender").alias("Gender"))
+    return _sums(lookup_join(counted, customers, ["customer_id"]), "Gender", "Sentiment")
 
 
 def category_sentiment(star: Star) -> DataFrame:
     """Reviews per product category and sentiment."""
-    return _counts(star_stats(star), "Category", "Sentiment")
+    counted = _counted(star, F.col("product_id"), F.col("sentiment_label").alias("Sentiment"))
+    products = star.dim_product.select("product_id", F.col("category").alias("Category"))
+    return _sums(lookup_join(counted, products, ["product_id"]), "Category", "Sentiment")
 
 
 def reason_sentiment(star: Star) -> DataFrame:
     """Reviews per reason and sentiment."""
-    return _counts(star_stats(star), "Reason", "Sentiment")
+    return _counted(star, F.col("issue_reason").alias("Reason"), F.col("sentiment_label").alias("Sentiment"))
 
 
 def age_group_counts(star: Star) -> DataFrame:
     """Reviews per age band of the stored customer."""
-    banded = star_stats(star).select(age_group(F.col("Age")).alias("Age Group"))
-    return _counts(banded, "Age Group")
+    counted = _counted(star, F.col("customer_id"))
+    customers = star.dim_customer.select("customer_id", age_group(F.col("age")).alias("Age Group"))
+    return _sums(lookup_join(counted, customers, ["customer_id"]), "Age Group")
 
 
 def _located(fact: DataFrame, star: Star) -> DataFrame:
@@ -95,5 +109,4 @@ def newest_records(star: Star, n: int = 100) -> DataFrame:
 
 def source_type_counts(star: Star) -> DataFrame:
     """Reviews per kind of source."""
-    typed = star.fact_reviews.select(source_type(F.col("source_link")).alias("Source Type"))
-    return _counts(typed, "Source Type")
+    return _counted(star, source_type(F.col("source_link")).alias("Source Type"))

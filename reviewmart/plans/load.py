@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from reviewmart.functions.links import source_tag
 from reviewmart.operators.enrich import loadable, with_attributes
 from reviewmart.operators.keys import dense_keys, key_stored, number_rows
-from reviewmart.operators.members import first_wins, new_members
+from reviewmart.operators.members import first_wins_of_each, new_members
 from reviewmart.operators.resolve import (
     date_parts,
     resolve_customer,
@@ -20,6 +20,7 @@ from reviewmart.operators.resolve import (
     resolve_product,
     timestamp,
 )
+from reviewmart.plans.totals import SourceTotals, Watch
 from reviewmart.profiles import Profile
 from reviewmart.session import staged_until_done
 from reviewmart.sources.warehouse import (
@@ -36,25 +37,28 @@ _DATE_KEYS = ["review_year", "review_month", "review_day"]
 
 @dataclass(frozen=True)
 class Loaded:
-    """Outcome of a load."""
+    """Outcome of a load; ``totals`` says what each watched source gave."""
 
     load_id: int
     rows: int
     star: Star
+    totals: tuple[SourceTotals, ...] = ()
 
 
 def member_candidates(rows: DataFrame, profile: Profile, order: list[str]) -> dict:
-    """Per dimension: key column, natural key, and the earliest row of each member."""
+    """Per dimension: key column, natural key, and the earliest row of each member.
+
+    All three dimensions come from one pass over the rows.
+    """
     product = [c for c in ("category", "brand") if c not in profile.product_keys]
     members = {
         "dim_product": ("product_id", list(profile.product_keys), product),
         "dim_customer": ("customer_id", ["customer_name"], ["age", "gender"]),
         "dim_location": ("location_id", ["country", "city"], []),
     }
-    return {
-        table: (key, natural, first_wins(rows, natural, attrs, order))
-        for table, (key, natural, attrs) in members.items()
-    }
+    wanted = {table: (natural, attrs) for table, (_, natural, attrs) in members.items()}
+    found = first_wins_of_each(rows, wanted, order)
+    return {table: (key, natural, found[table]) for table, (key, natural, _) in members.items()}
 
 
 def date_member(spark: SparkSession, load_ts: datetime) -> DataFrame:
@@ -106,6 +110,7 @@ def load_star(
     path: str,
     load_ts: datetime,
     profile: Profile,
+    watch: Watch | None = None,
 ) -> Loaded:
     """Load enriched reviews: new dimension members, then facts, then the commit.
 
@@ -138,4 +143,5 @@ def load_star(
         write_part(fact_rows(keyed, dims, load_ts, profile), path, "fact_reviews", load_id)
         count = numbered.count()
     commit(spark, path, load_id, "load", load_ts, count, end.last_review_id + count)
-    return Loaded(load_id, count, read_star(spark, path))
+    totals = watch.totals() if watch is not None else ()
+    return Loaded(load_id, count, read_star(spark, path), totals)

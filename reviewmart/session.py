@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
-
 # Paths staged so far in each open ``staged_until_done`` block.
 _open: list[list[str]] = []
 
@@ -34,21 +32,29 @@ def build_session(app_name: str = "reviewmart", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster whose machines hold no copy there, ship it with ``--py-files`` instead.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def staging_root(spark: SparkSession) -> str:
-    """Folder for written intermediate tables.
+    """Folder for written intermediate tables: the shared one named by ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where every
-    task shares this machine, may fall back to a temporary folder.
+    Only a local master, where every task shares this machine, may leave it unset; it then is
+    the checkpoint folder below the warehouse.
     """
-    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="reviewmart-")
-    return _local_root
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoint"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from reviewmart.sources.csv_records import PLACE, read_csv_records, read_header
 
 # Name fragments that mark the text column.
 TEXT_COLUMN_HINTS = ("review", "text", "comment", "feedback", "message", "content")
@@ -14,16 +18,16 @@ TEXT_COLUMN_HINTS = ("review", "text", "comment", "feedback", "message", "conten
 
 def read_reviews_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType | str | None = None,
     multi_line: bool = True,
     infer: bool = True,
 ) -> DataFrame:
     """Read CSV with a header row; quoted cells may hold line breaks and doubled quotes.
 
-    A file that may hold line breaks inside cells is read by one task, whatever its size. Say
-    ``multi_line=False`` of files known to have none, and large ones are split. Without a
-    schema the types are inferred, in another pass; ``infer=False`` reads strings.
+    A file that may hold line breaks inside cells is read by one task, whatever its size;
+    :func:`read_csv_records` reads such files by many. Without a schema the types are inferred,
+    in another pass; ``infer=False`` reads strings.
     """
     reader = spark.read.options(header=True, multiLine=multi_line, escape='"')
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
@@ -44,6 +48,59 @@ def write_reviews_csv(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
+def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
+    """The files of a folder by name, or the file itself. Their contents are not read."""
+    reader = spark.read.format("binaryFile")
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    return sorted(row.path for row in reader.load(path).select("path").collect())
+
+
+def by_header(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their own header row; of each file, only this row is read."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as readers:
+        for file, header in zip(files, readers.map(lambda f: read_header(spark, f), files)):
+            if header:
+                groups.setdefault(tuple(header), []).append(file)
+    return groups
+
+
+def read_placed(
+    spark: SparkSession, files: Sequence[str], header: Sequence[str], multi_line: bool = True
+) -> DataFrame:
+    """Files of one header: its columns as strings, and where each row lies (``PLACE``)."""
+    if multi_line:
+        return read_csv_records(spark, files, header)
+    schema = StructType([StructField(name, StringType()) for name in header])
+    file, start, position = PLACE
+    return read_reviews_csv(spark, list(files), schema, multi_line=False).select(
+        F.col("_metadata.file_path").alias(file),
+        F.col("_metadata.file_block_start").alias(start),
+        F.monotonically_increasing_id().alias(position),
+        *(F.col(_quoted(name)) for name in header),
+    )
+
+
+def read_files(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All files of a path, each by its own header: strings by column name, and ``PLACE``."""
+    groups = by_header(spark, list_files(spark, path))
+    if not groups:
+        raise FileNotFoundError(f"no CSV rows in {path}")
+    frames = [read_placed(spark, files, header, multi_line) for header, files in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def dataset_files(spark: SparkSession, path: str, pick: str = "all") -> list[str]:
+    """A dataset folder's ``*.csv``: all, or only the first by name."""
+    if pick not in ("first", "all"):
+        raise ValueError("pick must be 'first' or 'all'")
+    files = list_files(spark, path, "*.csv")
+    if not files:
+        raise FileNotFoundError(f"no CSV file in {path}")
+    return files[:1] if pick == "first" else files
+
+
 def read_dataset_dir(
     spark: SparkSession,
     path: str,
@@ -51,26 +108,55 @@ def read_dataset_dir(
     schema: StructType | str | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Read a dataset folder: all its ``*.csv``, or only the first by name."""
-    if pick not in ("first", "all"):
-        raise ValueError("pick must be 'first' or 'all'")
-    first = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(path)
-        .agg(F.min("path"))
-        .first()[0]
-    )
-    if first is None:
-        raise FileNotFoundError(f"no CSV file in {path}")
-    return read_reviews_csv(spark, first if pick == "first" else f"{path}/*.csv", schema, multi_line)
+    """Read a dataset folder: all its ``*.csv``, or only the first by name.
+
+    Each file is read by its own header row, whatever the order of its columns; what a file lacks
+    is null. Columns are strings, or of the types that a ``schema`` gives to their names.
+    """
+    files = dataset_files(spark, path, pick)
+    frames = [read_placed(spark, held, header, multi_line) for header, held in by_header(spark, files).items()]
+    if not frames:
+        raise FileNotFoundError(f"no CSV rows in {path}")
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).drop(*PLACE)
+    if schema is None:
+        return rows
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return rows.select(*(F.col(_quoted(f.name)).try_cast(f.dataType).alias(f.name) for f in wanted.fields))
+
+
+def read_texts(spark: SparkSession, files: Sequence[str], multi_line: bool = True) -> DataFrame:
+    """The text column of each file as ``review_text``, and ``PLACE``.
+
+    The column is found per header. Only where no name tells it, types are inferred first, in a
+    pass over the files of that header.
+    """
+    found = []
+    for header, held in by_header(spark, files).items():
+        name = _hinted(header)
+        if name is None:
+            name = detect_text_column(read_reviews_csv(spark, held, multi_line=multi_line))
+        if name is None:
+            raise ValueError(f"failed to detect a text column in {held[0]}")
+        rows = read_placed(spark, held, header, multi_line)
+        found.append(rows.select(*PLACE, F.col(_quoted(name)).alias("review_text")))
+    if not found:
+        raise FileNotFoundError("no CSV rows")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _hinted(names: Sequence[str]) -> str | None:
+    return next((n for n in names if any(hint in n.lower() for hint in TEXT_COLUMN_HINTS)), None)
 
 
 def detect_text_column(df: DataFrame) -> str | None:
     """First column named like review text, else the first string column, else None."""
-    for name in df.columns:
-        if any(hint in name.lower() for hint in TEXT_COLUMN_HINTS):
-            return name
+    name = _hinted(df.columns)
+    if name is not None:
+        return name
     for field in df.schema.fields:
         if isinstance(field.dataType, StringType):
             return field.name
@@ -82,4 +168,4 @@ def select_text(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     name = detect_text_column(df.drop(*keys))
     if name is None:
         raise ValueError("failed to detect a text column")
-    return df.select(*keys, F.col("`" + name.replace("`", "``") + "`").cast("string").alias("review_text"))
+    return df.select(*keys, F.col(_quoted(name)).cast("string").alias("review_text"))

@@ -7,11 +7,11 @@ clears what a failed one left. Dimensions only ever grow. One writer at a time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmart.session import remove
@@ -127,15 +127,46 @@ def _parts(spark: SparkSession, path: str, table: str, after: int, upto: int) ->
     return stored.filter((number > after) & (number <= upto)).drop("load_id")
 
 
-def read_star(spark: SparkSession, path: str) -> Star:
-    """The warehouse as of its last committed change; empty tables if there is none."""
-    end = log_end(spark, path)
-    fact = _parts(spark, path, "fact_reviews", end.cleared, end.load_id)
+def _live(spark: SparkSession, path: str, after: int, end: LogEnd) -> DataFrame:
+    """Reviews of the loads after one, without the deleted."""
+    fact = _parts(spark, path, "fact_reviews", after, end.load_id)
     if end.deleted > end.cleared:
         gone = _parts(spark, path, "deleted_reviews", end.cleared, end.load_id)
         fact = fact.join(gone, "review_id", "left_anti")
+    return fact
+
+
+def read_star(spark: SparkSession, path: str) -> Star:
+    """The warehouse as of its last committed change; empty tables if there is none."""
+    end = log_end(spark, path)
     dims = {t: _parts(spark, path, t, 0, end.load_id) for t in DIMENSIONS}
-    return Star(fact_reviews=fact, **dims)
+    return Star(fact_reviews=_live(spark, path, end.cleared, end), **dims)
+
+
+def read_newest(spark: SparkSession, path: str, n: int) -> Star:
+    """The warehouse with the parts of the fact that hold its newest ``n`` reviews, or a few more.
+
+    Ids grow from load to load, and the log knows the rows of each. Of the last loads, as many
+    are read as hold ``n`` rows even if every deleted review was one of theirs.
+    """
+    end = log_end(spark, path)
+    log = read_log(spark, path).filter(F.col("load_id") > end.cleared)
+    deleted = F.coalesce(F.sum(F.when(F.col("kind") == "delete", F.col("rows"))).over(Window.partitionBy()), F.lit(0))
+    newer = Window.orderBy(F.desc("load_id")).rowsBetween(Window.unboundedPreceding, -1)
+    loaded = F.sum(F.when(F.col("kind") == "load", F.col("rows"))).over(newer)
+    # One row for each load or delete: a small table in one task.
+    first = (
+        log.select("load_id", (F.coalesce(loaded, F.lit(0)) < n + deleted).alias("needed"))
+        .agg(F.min(F.when(F.col("needed"), F.col("load_id"))))
+        .first()[0]
+    )
+    star = read_star(spark, path)
+    if first is None:
+        return star
+    fact = star.fact_reviews
+    if first > end.cleared + 1:
+        fact = _live(spark, path, first - 1, end)
+    return replace(star, fact_reviews=fact)
 
 
 def next_change(spark: SparkSession, path: str, end: LogEnd) -> int:

@@ -11,7 +11,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         **{
@@ -21,6 +21,7 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -8,14 +8,16 @@ from checks import inputs as I
 from reviewmart.operators import quality as Q
 from reviewmart.operators.enrich import enrich, loadable, with_attributes
 from reviewmart.operators.keys import dense_keys, in_order, number_rows
+from reviewmart.operators.members import first_wins, first_wins_of_each, grouped_members
 from reviewmart.operators.normalize import drop_null_text
 from reviewmart.plans import admin, ingest
 from reviewmart.plans import dashboard as D
 from reviewmart.plans.load import fact_rows, load_star
+from reviewmart.plans.totals import SourceTotals
 from reviewmart.profiles import APP, BATCH
 from reviewmart.session import staging_path
 from reviewmart.sources import csv_files
-from reviewmart.sources.warehouse import DIMENSIONS, Star, commit, read_star, write_part
+from reviewmart.sources.warehouse import DIMENSIONS, Star, commit, read_newest, read_star, write_part
 
 T1, T2 = datetime(2024, 3, 15, 10, 30), datetime(2024, 3, 16, 23, 59, 59)
 
@@ -293,3 +295,62 @@ def test_a_failed_load_stays_hidden_behind_a_delete_of_its_id(spark, path):
     write_part(star.fact_reviews, path, "fact_reviews", 2)
     assert admin.delete_review(spark, path, [1], T2) == 1
     assert rows(read_star(spark, path).fact_reviews, "review_id") == [(2,)]
+
+
+def test_a_load_tells_what_it_read_and_refused(spark, path, tmp_path):
+    loaded = append(spark, path, T1, "bad", " \n", None, "nice")
+    assert loaded.totals == (SourceTotals("Manual Entry", 4, 1, 1, 2),)
+    (tmp_path / "b.csv").write_text("id,Feedback\n1,good\n2,\n3, \n")
+    model = I.test_model(spark)
+    upload = ingest.ingest_csv(spark, str(tmp_path / "b.csv"), "b.csv", model, path, T1)
+    assert upload.totals == (SourceTotals("b.csv", 3, 1, 1, 3),) and upload.rows == 3
+
+
+def test_dashboard_counts_before_it_joins(spark, batch):
+    for query in (D.gender_sentiment, D.category_sentiment, D.age_group_counts):
+        plan = query(batch[1])._jdf.queryExecution().optimizedPlan().toString()
+        # The deepest node that is no scan or projection of the fact is an aggregate.
+        fact = plan[: plan.index("Relation [review_id")].rstrip().splitlines()
+        assert plan.count("Join") == 1 and plan.count("Aggregate") == 2
+        assert plan.index("Aggregate") < plan.index("Join") < plan.rindex("Aggregate"), fact
+    for query in (D.sentiment_counts, D.reason_sentiment, D.source_type_counts):
+        assert "Join" not in query(batch[1])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_members_take_one_pass(spark, sf):
+    rows = with_attributes(loadable(drop_null_text(I.reviews(spark, sf)), BATCH), BATCH)
+    numbered = number_rows(rows)
+    sets = {
+        "product": (["product_name", "category"], ["brand"]),
+        "customer": (["customer_name"], ["age", "gender"]),
+        "location": (["country", "city"], []),
+    }
+    plan = grouped_members(numbered, sets, ["row_seq"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Expand" in plan and "SortAggregate" not in plan
+    found = first_wins_of_each(numbered, sets, ["row_seq"])
+    for name, (keys, attrs) in sets.items():
+        one = first_wins(numbered, keys, attrs, ["row_seq"])
+        assert found[name].columns == one.columns and rows_of(found[name]) == rows_of(one)
+
+
+def rows_of(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_newest_records_read_the_last_loads_only(spark, path):
+    for k in range(4):
+        append(spark, path, T1, *(f"text {k} {i}" for i in range(3)))
+    newest = D.newest_records(read_newest(spark, path, 4), 4)
+    assert [r.ID for r in newest.collect()] == [12, 11, 10, 9]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "load_id#" in plan and "> 2)" in plan
+    admin.delete_review(spark, path, [12, 11, 10, 9], T2)
+    assert [r.ID for r in D.newest_records(read_newest(spark, path, 4), 4).collect()] == [8, 7, 6, 5]
+    admin.delete_all_reviews(spark, path, T2)
+    assert D.newest_records(read_newest(spark, path, 4), 4).collect() == []
+    append(spark, path, T2, "one more")
+    assert [r.ID for r in D.newest_records(read_newest(spark, path, 4), 4).collect()] == [13]
+
+
+def test_newest_of_an_empty_warehouse(spark, path):
+    assert read_newest(spark, path, 5).fact_reviews.count() == 0

@@ -1,11 +1,13 @@
 import html
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from reviewmart.session import staging_path
 from reviewmart.sources import csv_files as C
+from reviewmart.sources import csv_records as R
 from reviewmart.sources.pages import extract_page_reviews, unescape
 
 
@@ -134,3 +136,80 @@ def test_unescape_agrees_with_python(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i")
     found = [r[0] for r in df.select(unescape(F.col("t"))).collect()]
     assert found == [html.unescape(t) for t in texts]
+
+
+def placed(spark, path, columns, size):
+    """Rows of a file in order, read in splits of ``size`` bytes, and the number of tasks."""
+    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = R.read_csv_records(spark, [path], columns)
+        tasks = spark.read.text(path).rdd.getNumPartitions()
+        return [tuple(r)[3:] for r in rows.orderBy(*R.PLACE).collect()], tasks
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_do_not_depend_on_splits(spark, tmp_path, end):
+    rng = random.Random(3)
+    inside = ["a", "b", "\n", '""', ",", "\r\n", " ", "é", "\n\n"]
+    plain = ["", "x", 'a"b', '5" pipe', ' "no cell"', '""', "back\\slash", "  pad "]
+
+    def cell():
+        quoted = '"' + "".join(rng.choice(inside) for _ in range(rng.randint(0, 12))) + '"'
+        return quoted if rng.random() < 0.5 else rng.choice(plain)
+
+    lines = ['id,"re\nview",note', *(f"{i},{cell()},{cell()}" for i in range(50)), "", '51,"' + "long\n" * 60 + '",z']
+    path = str(tmp_path / "a.csv")
+    with open(path, "w", newline="", encoding="utf-8") as file:
+        file.write(end.join(lines))
+    columns = R.read_header(spark, path)
+    assert columns == ["id", "re\nview", "note"]
+
+    def bare(rows):
+        # Of CR LF, one task keeps the CR after an unquoted cell, and a line of nothing else.
+        return [(*r[:-1], (r[-1] or "").removesuffix("\r") or None) for r in rows if r[0] != "\r"]
+
+    # What one task makes of the whole file.
+    whole = C.read_reviews_csv(spark, path, "id string, review string, note string")
+    wanted = bare(tuple(r) for r in whole.collect())
+    assert len(wanted) == 51
+    for size in ("200", "61"):
+        found, tasks = placed(spark, path, columns, size)
+        assert bare(found) == wanted and tasks > 5
+
+
+def test_headers_get_names(spark, tmp_path):
+    path = write(tmp_path, "a.csv", "\ufeff,Text,text\n1,2,3\n")
+    assert R.read_header(spark, path) == ["_c0", "Text1", "text2"]
+    assert R.read_header(spark, write(tmp_path, "b.csv", "")) == []
+    assert placed(spark, path, ["_c0", "Text1", "text2"], "1m")[0] == [("1", "2", "3")]
+
+
+def test_a_folder_of_differing_files(spark, tmp_path):
+    write(tmp_path, "1.csv", "id,review\n1,good\n")
+    write(tmp_path, "2.csv", "review,id\nbad,2\n")
+    write(tmp_path, "3.csv", "x,review,y\n9,fine,8\n")
+    write(tmp_path, "4.csv", "")
+    folder = str(tmp_path)
+    files = C.dataset_files(spark, folder)
+    for multi_line in (True, False):
+        texts = C.read_texts(spark, files, multi_line).orderBy(*R.PLACE)
+        assert [r.review_text for r in texts.collect()] == ["good", "bad", "fine"]
+        rows = C.read_dataset_dir(spark, folder, schema="id int, review string, y int", multi_line=multi_line)
+        assert sorted(tuple(r) for r in rows.collect() if r.id) == [(1, "good", None), (2, "bad", None)]
+        assert [tuple(r) for r in rows.collect() if r.id is None] == [(None, "fine", 8)]
+
+
+def test_text_columns_without_a_telling_name(spark, tmp_path):
+    write(tmp_path, "1.csv", "id,words\n1,some\n")
+    write(tmp_path, "2.csv", "body,id\nmore,2\n")
+    files = C.dataset_files(spark, str(tmp_path))
+    assert sorted(r.review_text for r in C.read_texts(spark, files).collect()) == ["more", "some"]
+    write(tmp_path, "3.csv", "id,n\n1,2\n")
+    with pytest.raises(ValueError):
+        C.read_texts(spark, C.dataset_files(spark, str(tmp_path)))
