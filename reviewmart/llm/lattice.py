@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from reviewmart.llm.common import constants, find_package, mix, table
 from reviewmart.llm.components import components
 from reviewmart.llm.vectors import block_pairs, is_valid, matrix, over_runs, same_length, unit_rows
+from reviewmart.operators.lookup import lookup_join
 from reviewmart.session import stage
 
 LEAST_COSINE = 0.93
@@ -102,6 +103,8 @@ def _linked(run: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     units = unit_rows(matrix(run["embedding"]))
     linked = units @ units.T >= LEAST_COSINE
     np.fill_diagonal(linked, False)
+    labels = run["label"].to_numpy()
+    linked &= labels[:, None] == labels[None, :]
     first = run["first"].to_numpy()
     if run["lo"][0].as_py() != run["hi"][0].as_py():
         linked &= first[:, None] != first[None, :]
@@ -146,6 +149,8 @@ def near_duplicate_vectors(rows: DataFrame) -> DataFrame:
 
     Null labels, and vectors that are null, empty, zero or not finite, link with nothing;
     vectors of different lengths do not link. A null vec_id links with nothing and is kept.
+    Rows that share a vec_id but not label and vector are vectors of their own: each has the links
+    of its own vector, and the id counts in the component of each.
     """
     find_package(rows.sparkSession)
     rows = rows.select("vec_id", "embedding", "label")
@@ -153,10 +158,12 @@ def near_duplicate_vectors(rows: DataFrame) -> DataFrame:
     classes = stage(
         rows.where(part)
         .groupBy("label", "embedding")
-        .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("times")),
+        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("times"))
+        # A vec_id may stand in several classes, so these have numbers of their own.
+        .withColumn("node", F.monotonically_increasing_id()),
         "vectors",
     )
-    vectors = classes.select("node", "embedding", "times")
+    vectors = classes.select("node", "label", "embedding", "times")
     found = stage(
         classes.select("node", "label", "embedding").mapInArrow(_cell_batches, "key long, node long"),
         "cells",
@@ -169,15 +176,26 @@ def near_duplicate_vectors(rows: DataFrame) -> DataFrame:
     links = _in_runs(block_pairs(buckets, "key", BLOCK), vectors, "key", _spanning_links, "a long, b long")
     named = stage(components(links), "components")
     counts = _in_runs(block_pairs(named, "component", BLOCK), vectors, "component", _link_counts, "node long, n long")
-    by_class = stage(
+    counted = stage(
         classes.join(named, "node", "left")
         .join(counts.groupBy("node").agg(F.sum("n").alias("n")), "node", "left")
         .select(
             "label",
             "embedding",
-            F.coalesce("component", "node").alias("component_id"),
+            "least",
+            "component",
             (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"),
         ),
+        "counted",
+    )
+    least = stage(
+        counted.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id")), "least"
+    )
+    columns = ("label", "embedding", "component_id", "n_links")
+    by_class = stage(
+        lookup_join(counted.where("component IS NOT NULL"), least, ["component"])
+        .select(*columns)
+        .unionByName(counted.where("component IS NULL").withColumn("component_id", F.col("least")).select(*columns)),
         "classes",
     )
     alone = rows.where(~part).select(

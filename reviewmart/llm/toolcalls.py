@@ -15,7 +15,7 @@ from reviewmart.session import stage
 
 _TYPES: dict[str, Any] = {
     "string": lambda v: isinstance(v, str),
-    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool),
+    "integer": lambda v: (isinstance(v, int) and not isinstance(v, bool)) or (isinstance(v, float) and v.is_integer()),
     "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool),
     "boolean": lambda v: isinstance(v, bool),
     "object": lambda v: isinstance(v, dict),
@@ -137,16 +137,36 @@ def canonical(value: Any) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def _finite(digits: str) -> float:
+    number = float(digits)
+    if number in (float("inf"), float("-inf")):
+        raise ValueError(f"no finite number: {digits}")
+    return number
+
+
+def _refuse(name: str) -> None:
+    raise ValueError(f"no JSON: {name}")
+
+
 def _parse(text: str | None) -> tuple[Any, bool]:
+    """The value of a JSON text, or the text and False.
+
+    What canonical JSON cannot hold is refused too: numbers that are not finite, halves of
+    surrogate pairs, and values nested deeper than Python can follow.
+    """
     try:
-        return json.loads(text or ""), True
-    except ValueError:
+        value = json.loads(text or "", parse_float=_finite, parse_constant=_refuse)
+        canonical(value).encode()
+    except (ValueError, RecursionError):
         return text, False
+    return value, True
 
 
 def _write(schemas: dict[str, dict]):
     def line(kind, call_id, name, payload) -> tuple[str, str | None]:
-        if kind != "call":
+        if kind == "message":
+            return canonical({"type": kind, "role": name, "content": payload}), None
+        if kind == "result":
             return canonical({"type": kind, "id": call_id, "content": payload}), None
         arguments, parsed = _parse(payload)
         if not parsed:
@@ -205,11 +225,14 @@ def depths(calls: DataFrame) -> DataFrame:
     return state.select("call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+def link(
+    calls: DataFrame, results: DataFrame, schemas: dict[str, dict], messages: DataFrame | None = None
+) -> DataFrame:
     """Calls and results of conversations as ordered, validated lines of canonical JSON.
 
     ``calls``: conv_id, turn, call_id, parent_id, name, arguments (JSON text); ``results``:
-    conv_id, turn, call_id, content; other columns are ignored. Returns conv_id, turn, kind,
+    conv_id, turn, call_id, content; ``messages``, the turns that are neither: conv_id, turn, role,
+    content. Other columns are ignored. Returns conv_id, turn, kind,
     call_id, depth, step, status, message, errors, one row per input row. Sorting a conversation
     by (depth, step, turn) puts a call after the result it waits for, and a result after its call.
 
@@ -219,7 +242,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     status: a call is ``linked`` or ``unanswered``; ``duplicate`` where an earlier row has its id
     (least turn, then arguments; equal rows are all first); ``cyclic`` where its parents never
     end. A result is ``linked`` or ``orphan`` (then its depth is null). Without an id a row is
-    ``unidentified``. errors: a call's violations of its schema, joined by ``;``. Null arguments
+    ``unidentified``. A message is ``plain`` and has no depth. errors: a call's violations of its schema, joined by ``;``. Null arguments
     are no JSON; null contents are written as null.
     """
     find_package(calls.sparkSession)
@@ -278,7 +301,21 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
         "conv_id long, turn long, kind string, call_id string, depth long, step int, status string, "
         "message string, errors string"
     )
-    return asked.unionByName(replied).mapInArrow(_write(schemas), schema)
+    lines = asked.unionByName(replied)
+    if messages is not None:
+        said = messages.select(
+            "conv_id",
+            "turn",
+            F.lit("message").alias("kind"),
+            F.lit(None).cast("string").alias("call_id"),
+            F.lit(None).cast("long").alias("depth"),
+            F.lit(0).alias("step"),
+            F.lit("plain").alias("status"),
+            F.col("role").alias("name"),
+            F.col("content").alias("payload"),
+        )
+        lines = lines.unionByName(said)
+    return lines.mapInArrow(_write(schemas), schema)
 
 
 #: Three tools for the query, so that every rule is met and broken somewhere.
@@ -304,7 +341,7 @@ TOOLS = {
 
 
 def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All assistant turns as calls, all user turns as results of the turn before.
+    """All assistant turns as calls, all user turns as results of the turn before, others as messages.
 
     A call waits for the assistant's last one, two turns before. The tool follows from the turn,
     the limit from the length of the text; a limit of 0 is left out, and every seventh is text.
@@ -331,7 +368,8 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("turn") % 3 == 2) | (F.col("turn") % 7 == 6), quoted).otherwise(limit).alias("arguments"),
     )
     results = turns.where("role = 'user'").select("conv_id", "turn", named(1).alias("call_id"), F.col("text").alias("content"))
-    return link(calls, results, TOOLS)
+    other = ~(F.col("role").eqNullSafe("assistant") | F.col("role").eqNullSafe("user"))
+    return link(calls, results, TOOLS, turns.where(other).withColumn("content", F.col("text")))
 
 
 _SQL = """
@@ -374,6 +412,11 @@ SELECT u.conv_id, u.turn, 'result', md5(u.conv_id::VARCHAR || ':' || (u.turn - 1
        NULL
 FROM conversations u LEFT JOIN calls c ON c.conv_id = u.conv_id AND c.turn = u.turn - 1
 WHERE u.role = 'user'
+UNION ALL
+SELECT conv_id, turn, 'message', NULL, NULL, 0::INT, 'plain',
+       '{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":' || coalesce(to_json(role)::VARCHAR, 'null') || ',"type":"message"}',
+       NULL
+FROM conversations WHERE role IS DISTINCT FROM 'assistant' AND role IS DISTINCT FROM 'user'
 """
 
 QUERIES = {"op10_tool_calls": op10_tool_calls}
