@@ -48,14 +48,14 @@ u AS (SELECT * FROM src1 UNION ALL SELECT * FROM src2)
 def scored(rows: str, keys: str, name: str = "scored") -> str:
     """``name``: rows with their linear score."""
     return f"""
-{name}_seen AS (
+{name}_seen AS MATERIALIZED (
   SELECT *, CASE WHEN review_text IS NULL OR regexp_matches(review_text, {BLANK})
                  THEN 'No Review' ELSE review_text END AS seen FROM {rows}),
 {name}_tf AS (
   SELECT {keys}, term, count(*) AS tf
   FROM (SELECT {keys}, unnest(regexp_extract_all(lower(seen), '[0-9a-z_]{{2,}}')) AS term
         FROM {name}_seen) GROUP BY ALL),
-{name}_sum AS (
+{name}_sum AS MATERIALIZED (
   SELECT {keys}, sum(tf * idf * weight) AS dot, sum((tf * idf) * (tf * idf)) AS square
   FROM {name}_tf JOIN w USING (term) GROUP BY {keys}),
 {name} AS (
@@ -98,7 +98,7 @@ def label_sql(profile: Profile) -> str:
 def enriched(rows: str, keys: str, profile: Profile, name: str = "enriched") -> str:
     """``name``: rows with sentiment, reason and advice."""
     return f"""{scored(rows, keys, f"{name}_scored")},
-{name}_labelled AS (SELECT *, {label_sql(profile)} AS sentiment_label FROM {name}_scored),
+{name}_labelled AS MATERIALIZED (SELECT *, {label_sql(profile)} AS sentiment_label FROM {name}_scored),
 {name}_reasoned AS (
   SELECT *, {reason_sql("review_text", "sentiment_label", profile)} AS issue_reason
   FROM {name}_labelled),
@@ -140,7 +140,7 @@ def attributes(rows: str, profile: Profile, name: str = "attributed") -> str:
     ({_COUNTRIES})[CAST(h % 5 AS INTEGER) + 1] AS country,
     ({_CITIES})[CAST(h % 5 AS INTEGER) + 1][CAST(h % 3 AS INTEGER) + 1] AS city
   FROM {name}_hash),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT * EXCLUDE (h),
     'Customer_' || substr(gender, 1, 1) || '_' || CAST(h % 1000 AS VARCHAR) AS customer_name,
     'Product_' || brand || '_' || CAST(h % 50 AS VARCHAR) AS product_name
