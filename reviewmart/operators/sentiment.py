@@ -251,9 +251,13 @@ def fit_sentiment(labelled: DataFrame, key: str, min_df: float = 2.0) -> Pipelin
     )
     rows = labelled.select(key, "_text", "label").repartition(key).persist()
     try:
-        return pipeline.fit(rows)
+        model = pipeline.fit(rows)
     finally:
         rows.unpersist()
+    # The summary holds the session, which tasks cannot take once it has observed a load.
+    none = labelled.sparkSession._jvm.scala.Option.empty()
+    model.stages[-1]._java_obj.setSummary(none)
+    return model
 
 
 def export_weights(spark: SparkSession, model: PipelineModel) -> LinearModel:

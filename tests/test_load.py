@@ -10,6 +10,7 @@ from reviewmart.operators.enrich import enrich, loadable, with_attributes
 from reviewmart.operators.keys import dense_keys, in_order, number_rows
 from reviewmart.operators.members import first_wins, first_wins_of_each, grouped_members
 from reviewmart.operators.normalize import drop_null_text
+from reviewmart.operators.sentiment import fit_sentiment
 from reviewmart.plans import admin, ingest
 from reviewmart.plans import dashboard as D
 from reviewmart.plans.load import fact_rows, load_star
@@ -354,3 +355,15 @@ def test_newest_records_read_the_last_loads_only(spark, path):
 
 def test_newest_of_an_empty_warehouse(spark, path):
     assert read_newest(spark, path, 5).fact_reviews.count() == 0
+
+
+def test_a_fitted_model_scores_after_and_inside_an_observed_load(spark, path):
+    append(spark, path, T1, "good")
+    labelled = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(["awful bad", "good love"] * 4)], "k int, _text string, label int")
+    model = fit_sentiment(labelled, "k", min_df=1.0)
+    df = in_order(texts(spark, "awful", " ", "love"), ["row_id"])
+    loaded = ingest.append_reviews(df, model, path, T1)
+    assert loaded.totals == (SourceTotals("Manual Entry", 3, 0, 1, 2),)
+    assert rows(loaded.star.fact_reviews, "review_text", "sentiment_label") == [
+        ("awful", "Negative"), ("good", "Positive"), ("love", "Positive"),
+    ]
