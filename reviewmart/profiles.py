@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+# Labels and default texts.
 POSITIVE, NEGATIVE, NEUTRAL = "Positive", "Negative", "Neutral"
 NO_TEXT_REASON = "No Review Provided"
 DEFAULT_CATEGORY = "General Electronics"
@@ -102,6 +103,7 @@ BATCH = Profile(
         ),
     ),
     default_advice="Monitor customer feedback trends for continuous improvement.",
+    # Brands in the order of the hash.
     brands=("LogiTech", "Sony", "Anker", "Apple", "Samsung", "Wrangler", "General Brands"),
     product_keys=("product_name", "category"),
 )
@@ -169,6 +171,7 @@ APP = Profile(
         ),
     ),
     default_advice="Monitor customer feedback trends.",
+    # Brands in the order of the hash.
     brands=("LogiTech", "Sony", "Anker", "Apple", "Samsung", "Wrangler"),
     product_keys=("product_name",),
 )
