@@ -82,6 +82,21 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Proprietary and confidential. Unauthorized copying is strictly prohibited.",
     ),
 }
+#: Names of each family, as words in a row. They teach the classifier too.
+TITLES: dict[str, tuple[str, ...]] = {
+    "apache-2.0": ("apache license version 2.0", "apache license 2.0", "apache 2.0 license", "apache-2.0"),
+    "mit": ("mit license", "license identifier mit", "spdx-license-identifier mit"),
+    "gpl": ("gnu general public license", "gnu gpl", "gpl-3.0-only", "gpl-2.0-or-later"),
+    "lgpl": ("gnu lesser general public license", "gnu lgpl", "lgpl-2.1-or-later"),
+    "agpl": ("gnu affero general public license", "gnu agpl", "agpl-3.0-only"),
+    "bsd": ("bsd license", "bsd 3-clause license", "bsd 2-clause license", "bsd-3-clause"),
+    "mpl-2.0": ("mozilla public license", "mpl-2.0"),
+    "cc-by": ("cc by 4.0", "creative commons attribution 4.0", "cc-by-4.0"),
+    "cc-by-nc": ("cc by-nc 4.0", "creative commons attribution-noncommercial 4.0", "cc-by-nc-4.0"),
+    "cc-by-sa": ("cc by-sa 4.0", "creative commons attribution-sharealike 4.0", "cc-by-sa-4.0"),
+    "cc0": ("cc0 1.0", "cc0-1.0"),
+    "proprietary": ("all rights reserved",),
+}
 #: Sentences with the same words that state no licence.
 NEAR_MISSES = (
     "The driver needs a valid license to drive a car.",
@@ -99,9 +114,12 @@ NEAR_MISSES = (
 )
 #: Corpus lines of least hash that teach the unknown class, unless they resemble a template.
 CORPUS_LINES = 600
-#: A prediction is confirmed where a template of its family shares this part of its words.
+#: The likeliest family is confirmed where a template of it shares this part of its words.
 LEAST_OVERLAP = 0.6
-LEAST_PROBABILITY = 0.5
+#: Lines found, and their bytes, up to which they are broadcast to all lines; beyond, lines are shuffled.
+BROADCAST_FOUND, BROADCAST_BYTES = 100_000, 1 << 24
+#: A line break that cuts a sentence: no full stop, colon or semicolon before, and no empty line after.
+WRAP = r"([^\s.!?:;])[ \t\r]*\n[ \t]*(?=\S)"
 
 
 def words_of(line: Column) -> Column:
@@ -127,6 +145,18 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return lines.withColumn("line", F.trim("line")).where("line <> ''")
 
 
+def wrapped_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, line) of the sentences that go over several lines, joined by blanks.
+
+    A joined break is marked first, so that a line that was never cut is told apart; the mark
+    itself reads as a blank where a text holds it.
+    """
+    joined = F.regexp_replace(F.translate("text", "\u2028", " "), WRAP, "$1\u2028 ")
+    lines = docs.select("doc_id", F.explode(F.split(joined, "\n")).alias("line"))
+    lines = lines.where(F.contains("line", F.lit("\u2028")))
+    return lines.select("doc_id", F.trim(F.regexp_replace("line", "\u2028", "")).alias("line"))
+
+
 @dataclass
 class LicenceModel:
     families: list[str]
@@ -140,6 +170,7 @@ def _training_rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """(family, words, held, stated): templates and near misses, two in three fitted on, and corpus lines."""
     stated = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
     stated += [(UNKNOWN, text) for text in NEAR_MISSES]
+    stated += [(family, text) for family, texts in TITLES.items() for text in texts]
     rows = [(family, text, i % 3 == 2) for i, (family, text) in enumerate(stated)]
     given = spark.createDataFrame(rows, "family string, line string, held boolean").withColumn("words", words_of(F.col("line")))
     given = given.withColumn("stated", F.lit(True))
@@ -247,11 +278,13 @@ def _cues(model: LicenceModel, seen: dict[str, int]) -> list[str]:
 
 
 def classify(lines: DataFrame, model: LicenceModel) -> DataFrame:
-    """``lines`` (line) as (line, family, probability, confirmed), each distinct line once.
+    """``lines`` (line) as (line, family, probability, confirmed), each distinct line once a family.
 
-    Lines without a cue are unknown by the model's own weights, and left out; so are those
-    found unknown, or of less than ``LEAST_PROBABILITY``. The weights are a table of the n-grams
-    of the training statements and sample, so its size does not depend on the corpus.
+    Lines without a cue are unknown by the model's own weights, and left out; so are those whose
+    likeliest class is unknown. Of the families likelier than unknown, those named in the line are
+    confirmed; the likeliest also by a template, and it is returned unconfirmed otherwise. The
+    weights are a table of the n-grams of the training statements, so its size does not depend
+    on the corpus.
     """
     spark = lines.sparkSession
     if model.cues:
@@ -269,16 +302,22 @@ def classify(lines: DataFrame, model: LicenceModel) -> DataFrame:
         .agg(*(F.sum(n).alias(n) for n in names))
     )
     logits = [(F.col(n) + b) / model.temperature for n, b in zip(names, model.bias)]
-    top = F.greatest(*logits)
-    scored = sums.select(
-        "line",
-        F.element_at(
-            F.array(*map(F.lit, model.families)), F.array_position(F.array(*logits), top).cast("int")
-        ).alias("family"),
-        (1 / sum(F.exp(x - top) for x in logits)).alias("probability"),
-    ).where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST_PROBABILITY))
+    each = F.array(*(F.struct(F.lit(f).alias("family"), x.alias("logit")) for f, x in zip(model.families, logits)))
+    scored = (
+        sums.select("line", each.alias("each"), F.array_max(F.array(*logits)).alias("top"))
+        .withColumn("all", F.aggregate("each", F.lit(0.0), lambda s, x: s + F.exp(x.logit - F.col("top"))))
+        .withColumn("unknown", F.filter("each", lambda x: x.family == UNKNOWN)[0].logit)
+        .select("line", "top", "all", F.explode(F.filter("each", lambda x: x.logit > F.col("unknown"))).alias("one"))
+        .select(
+            "line",
+            "one.family",
+            (F.exp(F.col("one.logit") - F.col("top")) / F.col("all")).alias("probability"),
+            (F.col("one.logit") == F.col("top")).alias("likeliest"),
+        )
+    )
     compared = spark.createDataFrame(
-        [(family, list(texts)) for family, texts in TEMPLATES.items()], "family string, texts array<string>"
+        [(f, list(TEMPLATES[f]), [f" {t} " for t in TITLES[f]]) for f in TEMPLATES],
+        "family string, texts array<string>, titles array<string>",
     )
     overlap = F.array_max(
         F.transform(
@@ -286,10 +325,14 @@ def classify(lines: DataFrame, model: LicenceModel) -> DataFrame:
             lambda t: F.size(F.array_intersect(words_of(t), F.col("words"))) / F.size(F.array_distinct(words_of(t))),
         )
     )
+    spaced = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
+    named = F.exists("titles", lambda t: F.contains(spaced, t))
     return (
         scored.join(distinct, "line")
         .join(F.broadcast(compared), "family")
-        .select("line", "family", "probability", (overlap >= LEAST_OVERLAP).alias("confirmed"))
+        .withColumn("confirmed", named | (F.col("likeliest") & (overlap >= LEAST_OVERLAP)))
+        .where("confirmed OR likeliest")
+        .select("line", "family", "probability", "confirmed")
     )
 
 
@@ -297,26 +340,46 @@ def scan(docs: DataFrame) -> DataFrame:
     """Licence families stated in ``docs`` (doc_id, text; others are ignored).
 
     Returns one row per distinct doc_id: doc_id, n_lines (lines that are not blank), n_licence
-    (confirmed statements), n_unconfirmed (predicted, but unlike every template), families
-    (sorted, joined by commas; empty without any). Rows of one doc_id count as one document, and
-    so do all null ones. Null and empty texts have no lines. Every line is classified, whole;
-    equal lines of all documents once.
+    (confirmed statements; a line that states two families counts for both), n_unconfirmed
+    (predicted, but unlike every template and without the name), families (sorted, joined by
+    commas; empty without any). Rows of one doc_id count as one document, and so do all null
+    ones. Null and empty texts have no lines. Every line is classified, whole, and so is every
+    sentence that goes over several lines; what such a sentence states counts where no single
+    line of the document states it. Equal lines of all documents are classified once.
     """
     spark = docs.sparkSession
-    lines = lines_of(docs)
+    lines, wrapped = lines_of(docs), wrapped_of(docs)
     model = fit(spark, lines)
-    found = stage(classify(lines, model), "found")
-    hits = (
-        lines.join(found, "line")
-        .groupBy("doc_id")
+    found = stage(classify(lines.select("line").unionAll(wrapped.select("line")), model), "found")
+
+    def counted(rows: DataFrame, joined: bool) -> DataFrame:
+        hits = rows.join(F.broadcast(found), "line") if small else rows.join(found, "line")
+        return hits.groupBy("doc_id", "family", "confirmed").agg(F.count("*").alias("n")).withColumn("joined", F.lit(joined))
+
+    small = found.count() <= BROADCAST_FOUND and (found.agg(F.sum(F.octet_length("line"))).first()[0] or 0) <= BROADCAST_BYTES
+    of_lines = F.sum(F.when(~F.col("joined"), F.col("n")))
+    families = (
+        counted(lines, False)
+        .unionAll(counted(wrapped, True))
+        .groupBy("doc_id", "family")
         .agg(
-            F.sum(F.col("confirmed").cast("long")).alias("n_licence"),
-            F.sum((~F.col("confirmed")).cast("long")).alias("n_unconfirmed"),
-            F.array_join(
-                F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ","
-            ).alias("families"),
+            F.coalesce(
+                F.sum(F.when(F.col("confirmed") & ~F.col("joined"), F.col("n"))),
+                F.sum(F.when(F.col("confirmed"), F.col("n"))),
+                F.lit(0),
+            ).alias("stated"),
+            F.coalesce(F.sum(F.when(~F.col("confirmed") & ~F.col("joined"), F.col("n"))), F.lit(0)).alias("of_lines"),
+            F.coalesce(F.sum(F.when(~F.col("confirmed") & F.col("joined"), F.col("n"))), F.lit(0)).alias("of_joined"),
+            of_lines.isNotNull().alias("in_lines"),
         )
     )
+    # A sentence that no line hints at counts as unconfirmed by itself.
+    unsure = F.when(F.col("in_lines") | (F.col("stated") > 0), F.col("of_lines")).otherwise(F.col("of_joined"))
+    hits = families.groupBy("doc_id").agg(
+        F.sum("stated").alias("n_licence"),
+        F.sum(unsure).alias("n_unconfirmed"),
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("stated") > 0, F.col("family")))), ",").alias("families"),
+    )
     blank = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
     sizes = docs.groupBy("doc_id").agg(F.sum(F.coalesce(F.size(blank), F.lit(0))).cast("long").alias("n_lines"))
     return sizes.join(hits, sizes["doc_id"].eqNullSafe(hits["doc_id"]), "left").select(
