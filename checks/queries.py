@@ -530,6 +530,30 @@ def ml_fit_metrics(spark, sf_dir):
     )
 
 
+@register(
+    """
+    SELECT count(*) FILTER (d.doc_id % 5 <> 0)::BIGINT AS train_rows,
+           count(*) FILTER (d.doc_id % 5 = 0)::BIGINT AS test_rows,
+           count(*) FILTER (d.doc_id % 5 = 0 AND l.quality = 1)::BIGINT AS test_positive,
+           TRUE AS separates
+    FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+    """
+)
+def ml_fit_held_out(spark, sf_dir):
+    """A fit on four fifths of the labels ranks the last fifth: its ROC area exceeds 0.7."""
+    rows = _labelled(spark, sf_dir)
+    held_out = F.col("doc_id") % 5 == 0
+    model = S.fit_sentiment(rows.filter(~held_out), "doc_id")
+    scored = model.transform(rows.filter(held_out)).select("label", "_margin")
+    auc = BinaryClassificationEvaluator(rawPredictionCol="_margin").evaluate(scored)
+    return rows.agg(
+        F.count_if(~held_out).alias("train_rows"),
+        F.count_if(held_out).alias("test_rows"),
+        F.count_if(held_out & (F.col("label") == 1)).alias("test_positive"),
+        F.lit(auc > 0.7).alias("separates"),
+    )
+
+
 # --- members, keys and lookups ---------------------------------------------------------
 
 

@@ -46,3 +46,31 @@ def tokens(text: Column) -> Column:
 def to_int(value: Column) -> Column:
     """Integer part of a number or numeric text, null when it is neither."""
     return F.coalesce(value.try_cast("int"), value.try_cast("double").try_cast("int"))
+
+
+def term_counts(tokens: Column) -> Column:
+    """Distinct tokens with their counts: ``array<struct<term, tf>>``, by term; none for null.
+
+    The tokens are sorted and a term's count is the distance between two starts, so a text
+    costs its sort. Sorted tokens and starts are bound by ``transform`` over one-element arrays:
+    otherwise they would be computed anew for each token.
+    """
+
+    def runs(ordered: Column) -> Column:
+        n = F.size(ordered)
+        starts = F.filter(
+            F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1),
+            lambda i: (n > 0) & ((i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))),
+        )
+        return F.transform(
+            F.array(starts),
+            lambda at: F.transform(
+                at,
+                lambda start, k: F.struct(
+                    F.get(ordered, start).alias("term"),
+                    (F.coalesce(F.get(at, k + 1), n) - start).cast("long").alias("tf"),
+                ),
+            ),
+        )[0]
+
+    return F.transform(F.array(F.sort_array(tokens)), runs)[0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
@@ -16,7 +16,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewmart.functions.text import TOKEN_PATTERN, has_text, tokens
+from reviewmart.functions.text import TOKEN_PATTERN, has_text, term_counts, tokens
 from reviewmart.operators import lookup
 from reviewmart.operators.lookup import is_small, lookup_join
 from reviewmart.profiles import (
@@ -141,13 +141,11 @@ def _joined_scores(df: DataFrame, model: LinearModel, text: Column) -> DataFrame
     """Score by joining terms to a weight table of any size.
 
     Rows are stored with a number of their own, so that repeated or null keys mix nothing up;
-    only this number travels with the terms.
+    only this number and the counts of the row's terms, found in the row, travel to the weights.
     """
     rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "scored")
-    terms = (
-        rows.select("_row", F.explode(tokens(text)).alias("term"))
-        .groupBy("_row", "term")
-        .agg(F.count("*").alias("_tf"))
+    terms = rows.select("_row", F.explode(term_counts(tokens(text))).alias("_one")).select(
+        "_row", "_one.term", F.col("_one.tf").alias("_tf")
     )
     sums = (
         _lookup_terms(terms, model.weights)
@@ -157,8 +155,11 @@ def _joined_scores(df: DataFrame, model: LinearModel, text: Column) -> DataFrame
             F.sum((F.col("_tf") * F.col("idf")) ** 2).alias("_square"),
         )
     )
+    # Two numbers a row: where they fit, they go to the rows, which then stay where they lie.
+    sums = stage(sums, "sums")
+    few = is_small(sums, lookup.MAX_BROADCAST_ROWS)
     return (
-        rows.join(sums, "_row", "left")
+        rows.join(F.broadcast(sums) if few else sums, "_row", "left")
         .withColumn("score", _score(model.bias))
         .drop("_row", "_dot", "_square")
     )
@@ -222,38 +223,41 @@ def predict_sentiment(
 def fit_sentiment(labelled: DataFrame, key: str, min_df: float = 2.0) -> PipelineModel:
     """Fit TF-IDF and logistic regression on ``_text`` and ``label`` (1 = positive).
 
-    The fit reads its rows some hundred times, so they are spread evenly by their unique
-    ``key`` and kept, on disk where memory ends. The vocabulary is every term of at least
-    ``min_df`` rows; it and its coefficients reach the driver, so the labelled rows are to be
-    a sample whose terms fit there.
+    Texts are cut into tokens once, spread evenly by their unique ``key`` and kept, on disk
+    where memory ends; the classifier, which reads its rows some hundred times, gets vectors that are
+    kept likewise. The vocabulary is every term of at least ``min_df`` rows; it and its
+    coefficients reach the driver, so the labelled rows are to be a sample whose terms fit there.
     """
     tokenizer = SQLTransformer(
         statement="SELECT *, regexp_extract_all(lower(coalesce(_text, '')), "
         f"'{TOKEN_PATTERN}', 0) AS _tokens FROM __THIS__"
     )
-    pipeline = Pipeline(
-        stages=[
-            tokenizer,
-            CountVectorizer(
-                inputCol="_tokens", outputCol="_counts", vocabSize=ALL_TERMS, minDF=min_df
-            ),
-            IDF(inputCol="_counts", outputCol="_weighted"),
-            Normalizer(inputCol="_weighted", outputCol="_features", p=2.0),
-            LogisticRegression(
-                featuresCol="_features",
-                labelCol="label",
-                rawPredictionCol="_margin",
-                probabilityCol="_probability",
-                regParam=0.01,
-                tol=1e-4,
-            ),
-        ]
+    counter = CountVectorizer(
+        inputCol="_tokens", outputCol="_counts", vocabSize=ALL_TERMS, minDF=min_df
     )
-    rows = labelled.select(key, "_text", "label").repartition(key).persist()
+    weigher = IDF(inputCol="_counts", outputCol="_weighted")
+    normalizer = Normalizer(inputCol="_weighted", outputCol="_features", p=2.0)
+    classifier = LogisticRegression(
+        featuresCol="_features",
+        labelCol="label",
+        rawPredictionCol="_margin",
+        probabilityCol="_probability",
+        regParam=0.01,
+        tol=1e-4,
+    )
+    cut = tokenizer.transform(labelled.select(key, "_text", "label"))
+    rows = cut.select(key, "_tokens", "label").repartition(key).persist()
+    vectors = None
     try:
-        model = pipeline.fit(rows)
+        counted = counter.fit(rows)
+        vectors = counted.transform(rows).select("_counts", "label").persist()
+        weighed = weigher.fit(vectors)
+        linear = classifier.fit(normalizer.transform(weighed.transform(vectors)))
     finally:
         rows.unpersist()
+        if vectors is not None:
+            vectors.unpersist()
+    model = PipelineModel([tokenizer, counted, weighed, normalizer, linear])
     # The summary holds the session, which tasks cannot take once it has observed a load.
     none = labelled.sparkSession._jvm.scala.Option.empty()
     model.stages[-1]._java_obj.setSummary(none)

@@ -8,6 +8,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from checks import inputs as I
+from reviewmart.functions.text import term_counts, tokens
 from reviewmart.operators import keys as K
 from reviewmart.operators import lookup as L
 from reviewmart.operators import normalize as N
@@ -294,3 +295,43 @@ def test_enriched_counts_match_by_source(spark, sf):
         by[r.source] += r["count"]
     total = N.drop_null_text(I.reviews(spark, sf)).groupBy("source").count().collect()
     assert dict(by) == {r.source: r["count"] for r in total}
+
+
+def test_terms_are_counted_inside_the_row(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(9)}" for _ in range(rng.randrange(40))) for _ in range(60)]
+    texts += ["", None, "x", "Aa aA aa", "hot " * 50_000 + "cold"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for i, found in df.select("id", term_counts(tokens(F.col("text")))).collect():
+        wanted = Counter(re.findall("[0-9a-z_]{2,}", (texts[i] or "").lower()))
+        assert [tuple(t) for t in found] == sorted(wanted.items())
+
+
+def exchanged_columns(plan):
+    """Columns that go into each shuffle, by the formatted plan."""
+    blocks = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]", plan)
+    return [set(re.findall(r"(\w+)#", block)) for block in blocks]
+
+
+def test_no_text_is_shuffled_to_score(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_BROADCAST_ROWS", 3)
+    stored = []
+
+    def kept(df, name):
+        stored.append(df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        ))
+        return stage(df, name)
+
+    monkeypatch.setattr(S, "stage", kept)
+    monkeypatch.setattr(L, "stage", kept)
+    df = stage(spark.createDataFrame([(i, f"good w{i % 7} text") for i in range(40)], "id long, text string"), "t")
+    S.linear_scores(df, I.test_model(spark), text="text", max_local_terms=0)
+    columns = [c for plan in stored for c in exchanged_columns(plan)]
+    assert columns and not any("text" in c for c in columns)
+
+
+def test_few_sums_leave_scored_rows_where_they_lie(spark):
+    df = stage(spark.createDataFrame(list(enumerate(TEXTS)), "id int, review_text string"), "r")
+    plan = plan_of(S.linear_scores(df, I.test_model(spark), max_local_terms=0))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
