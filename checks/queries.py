@@ -28,7 +28,7 @@ from reviewmart.profiles import APP, BATCH
 from reviewmart.session import staging_path
 from reviewmart.sources import csv_files
 from reviewmart.sources.pages import extract_page_reviews
-from reviewmart.sources.warehouse import COLUMNS, DIMENSIONS, Star, read_newest, read_star
+from reviewmart.sources.warehouse import COLUMNS, DIMENSIONS, Star, commit, read_newest, read_star, write_part
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -820,9 +820,15 @@ for _name in DIMENSIONS:
 
 
 def _copied(spark, sf_dir) -> str:
-    """A compacted copy of the stored warehouse that a query may change."""
+    """A copy of the stored warehouse that a query may change, its fact in parts of some reviews."""
     path = staging_path(spark, "star")
-    admin.compact(spark, I.stored_path(spark, sf_dir), path, I.LOAD_TS)
+    star = read_star(spark, I.stored_path(spark, sf_dir))
+    for table in DIMENSIONS:
+        write_part(getattr(star, table), path, table, 1)
+    parts = star.fact_reviews.withColumn("load_id", F.expr("1 + (review_id - 1) div 25000"))
+    parts.write.partitionBy("load_id").parquet(f"{path}/fact_reviews")
+    last, rows = star.fact_reviews.agg(F.max("review_id"), F.count("*")).first()
+    commit(spark, path, 1 + (last - 1) // 25_000, "load", I.LOAD_TS, rows, last)
     return path
 
 

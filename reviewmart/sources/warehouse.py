@@ -2,7 +2,9 @@
 
 Every table is a folder of ``load_id=N`` parts. A part counts only once its load is listed
 in ``loads``, written last: readers see whole loads or nothing, and the next change first
-clears what a failed one left. Dimensions only ever grow. One writer at a time.
+clears what a failed one left. Dimensions only ever grow. Deletes rewrite the parts of the
+fact that hold deleted reviews, so reads join nothing. One writer at a time; a read that
+runs while a delete replaces its files is to be repeated.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmart.session import remove
@@ -50,7 +52,6 @@ COLUMNS = {
         "source_link": "string",
         "load_timestamp": "timestamp_ntz",
     },
-    "deleted_reviews": {"review_id": "long"},
     "loads": {
         "load_id": "long",
         "kind": "string",
@@ -84,7 +85,6 @@ class LogEnd:
     load_id: int
     last_review_id: int
     cleared: int
-    deleted: int
 
 
 def _stored(spark: SparkSession, folder: str, schema: str) -> DataFrame:
@@ -103,51 +103,40 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def log_end(spark: SparkSession, path: str) -> LogEnd:
-    """Last change, last clear and last delete, as one aggregate over the log."""
-
-    def last(kind: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("load_id"))), F.lit(0))
-
+    """Last change and last clear, as one aggregate over the log."""
+    cleared = F.when(F.col("kind") == "clear", F.col("load_id"))
     end = read_log(spark, path).agg(
         F.coalesce(F.max("load_id"), F.lit(0)),
         F.coalesce(F.max_by("last_review_id", "load_id"), F.lit(0)),
-        last("clear"),
-        last("delete"),
+        F.coalesce(F.max(cleared), F.lit(0)),
     )
     return LogEnd(*end.first())
 
 
-def _parts(spark: SparkSession, path: str, table: str, after: int, upto: int) -> DataFrame:
-    """A table's parts of the changes ``after`` one and ``upto`` another: a partition filter.
+def read_parts(spark: SparkSession, path: str, table: str, after: int, upto: int) -> DataFrame:
+    """A table's parts of the changes ``after`` one and ``upto`` another, with their ``load_id``.
 
-    Every change clears its id first, so no part within the log's range is a failed one's.
+    The range is a partition filter. Every change clears its id first, so no part within the
+    log's range is a failed one's.
     """
     stored = _stored(spark, f"{path}/{table}", _ddl(table) + ", load_id long")
     number = F.col("load_id")
-    return stored.filter((number > after) & (number <= upto)).drop("load_id")
-
-
-def _live(spark: SparkSession, path: str, after: int, end: LogEnd) -> DataFrame:
-    """Reviews of the loads after one, without the deleted."""
-    fact = _parts(spark, path, "fact_reviews", after, end.load_id)
-    if end.deleted > end.cleared:
-        gone = _parts(spark, path, "deleted_reviews", end.cleared, end.load_id)
-        fact = fact.join(gone, "review_id", "left_anti")
-    return fact
+    return stored.filter((number > after) & (number <= upto))
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
     """The warehouse as of its last committed change; empty tables if there is none."""
     end = log_end(spark, path)
-    dims = {t: _parts(spark, path, t, 0, end.load_id) for t in DIMENSIONS}
-    return Star(fact_reviews=_live(spark, path, end.cleared, end), **dims)
+    after = dict.fromkeys(DIMENSIONS, 0) | {"fact_reviews": end.cleared}
+    return Star(**{t: read_parts(spark, path, t, n, end.load_id).drop("load_id") for t, n in after.items()})
 
 
 def read_newest(spark: SparkSession, path: str, n: int) -> Star:
     """The warehouse with the parts of the fact that hold its newest ``n`` reviews, or a few more.
 
     Ids grow from load to load, and the log knows the rows of each. Of the last loads, as many
-    are read as hold ``n`` rows even if every deleted review was one of theirs.
+    are read as hold ``n`` rows even if every deleted review was one of theirs. The log's
+    number of deleted reviews may be too high (a delete that failed), never too low.
     """
     end = log_end(spark, path)
     log = read_log(spark, path).filter(F.col("load_id") > end.cleared)
@@ -165,14 +154,14 @@ def read_newest(spark: SparkSession, path: str, n: int) -> Star:
         return star
     fact = star.fact_reviews
     if first > end.cleared + 1:
-        fact = _live(spark, path, first - 1, end)
+        fact = read_parts(spark, path, "fact_reviews", first - 1, end.load_id).drop("load_id")
     return replace(star, fact_reviews=fact)
 
 
 def next_change(spark: SparkSession, path: str, end: LogEnd) -> int:
     """The id of the next change, cleared of what a failed one left under it."""
     load_id = end.load_id + 1
-    for table in (*DIMENSIONS, "fact_reviews", "deleted_reviews"):
+    for table in (*DIMENSIONS, "fact_reviews"):
         remove(spark, f"{path}/{table}/load_id={load_id}")
     return load_id
 
@@ -184,6 +173,20 @@ def write_part(df: DataFrame, path: str, table: str, load_id: int) -> None:
     )
 
 
+def replace_parts(spark: SparkSession, path: str, kept: DataFrame, parts: DataFrame) -> None:
+    """Replace the ``parts`` of the fact (``load_id``) by the ``kept`` rows of them.
+
+    Parts that keep rows are overwritten in one job, each when the job ends. Those that keep
+    none are removed: at most one id for each load comes to the driver.
+    """
+    folder = f"{path}/fact_reviews"
+    kept.select(*COLUMNS["fact_reviews"], "load_id").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("load_id").parquet(folder)
+    for part in parts.filter(F.col("rest") == 0).select("load_id").toLocalIterator():
+        remove(spark, f"{folder}/load_id={part.load_id}")
+
+
 def commit(
     spark: SparkSession,
     path: str,

@@ -16,9 +16,18 @@ from reviewmart.plans import dashboard as D
 from reviewmart.plans.load import fact_rows, load_star
 from reviewmart.plans.totals import SourceTotals
 from reviewmart.profiles import APP, BATCH
-from reviewmart.session import staging_path
+from reviewmart.session import stage, staging_path
 from reviewmart.sources import csv_files
-from reviewmart.sources.warehouse import DIMENSIONS, Star, commit, read_newest, read_star, write_part
+from reviewmart.sources.warehouse import (
+    COLUMNS,
+    DIMENSIONS,
+    Star,
+    commit,
+    read_newest,
+    read_parts,
+    read_star,
+    write_part,
+)
 
 T1, T2 = datetime(2024, 3, 15, 10, 30), datetime(2024, 3, 16, 23, 59, 59)
 
@@ -140,12 +149,58 @@ def test_delete(spark, path):
     assert star.dim_customer.count() == 3
     added = append(spark, path, T2, "d4").star
     assert rows(added.fact_reviews, "review_id") == [(1,), (3,), (4,)]
-    target = staging_path(spark, "star")
-    admin.compact(spark, path, target, T2)
-    compacted = read_star(spark, target)
-    for table in (*DIMENSIONS, "fact_reviews"):
-        assert rows(getattr(compacted, table)) == rows(getattr(added, table))
-    assert rows(append(spark, target, T2, "e5").star.fact_reviews, "review_id")[-1] == (5,)
+    assert rows(append(spark, path, T2, "e5").star.fact_reviews, "review_id")[-1] == (5,)
+
+
+def part_files(path, load_id):
+    folder = f"{path}/fact_reviews/load_id={load_id}"
+    return sorted(os.listdir(folder)) if os.path.isdir(folder) else None
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_a_delete_rewrites_only_the_parts_it_hits(spark, path, monkeypatch, limit):
+    monkeypatch.setattr("reviewmart.operators.lookup.MAX_BROADCAST_ROWS", limit)
+    for texts_of_load in (("a1", "b2", "c3"), ("d4", "e5"), ("f6", "g7"), ("h8",)):
+        append(spark, path, T1, *texts_of_load)
+    before = {r.review_id: r for r in read_star(spark, path).fact_reviews.collect()}
+    files = {n: part_files(path, n) for n in (1, 2, 3, 4)}
+    ids = spark.createDataFrame([(2,), (4,), (5,), (5,), (99,), (None,)], "review_id int")
+    assert admin.delete_review(spark, path, ids, T2) == 3
+    fact = read_star(spark, path).fact_reviews
+    # The rows left are as they were, parts without a deleted review are the same files,
+    # a part left empty is gone, and reading joins nothing.
+    assert fact.columns == list(COLUMNS["fact_reviews"])
+    assert {r.review_id: r for r in fact.collect()} == {i: before[i] for i in (1, 3, 6, 7, 8)}
+    assert part_files(path, 3) == files[3] and part_files(path, 4) == files[4]
+    assert part_files(path, 2) is None and part_files(path, 1) not in (None, files[1])
+    assert "Join" not in fact._jdf.queryExecution().optimizedPlan().toString()
+    assert not staged_tables(spark)
+
+
+def test_a_delete_scans_the_parts_it_hits(spark, path):
+    for text in ("a1", "b2", "c3"):
+        append(spark, path, T1, text)
+    stored = read_parts(spark, path, "fact_reviews", 0, 3)
+    found = stage(stored.filter("review_id = 2").select("review_id", "load_id"), "star-found")
+    kept = admin.without(stored, found)
+    assert "dynamicpruning" in kept._jdf.queryExecution().toString()
+    assert kept.count() == 0
+
+
+def test_a_repeated_delete_finishes_a_failed_one(spark, path, monkeypatch):
+    append(spark, path, T1, "a1", "b2", "c3")
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(admin, "replace_parts", fail)
+        with pytest.raises(RuntimeError):
+            admin.delete_review(spark, path, [3], T2)
+    assert read_star(spark, path).fact_reviews.count() == 3
+    assert [r.ID for r in D.newest_records(read_newest(spark, path, 1), 1).collect()] == [3]
+    assert admin.delete_review(spark, path, [3], T2) == 1
+    assert [r.ID for r in D.newest_records(read_newest(spark, path, 1), 1).collect()] == [2]
 
 
 def test_delete_all_keeps_members_and_goes_on_counting(spark, path):
