@@ -7,30 +7,44 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.operators.lookup import lookup_join
+from reviewmart.operators.lookup import lookup_joins
 from reviewmart.profiles import Profile
 
 
-def resolve_product(df: DataFrame, dim: DataFrame, profile: Profile) -> DataFrame:
-    """Add ``product_id``. By name alone, the app profile takes the lowest id."""
+_Lookup = tuple[DataFrame, list[str]]
+
+
+def product_lookup(dim: DataFrame, profile: Profile) -> _Lookup:
+    """Products by natural key. By name alone, the app profile takes the lowest id."""
     keys = list(profile.product_keys)
     if profile.is_batch:
-        table = dim.select(*keys, "product_id")
-    else:
-        table = dim.groupBy(*keys).agg(F.min("product_id").alias("product_id"))
-    return lookup_join(df, table, keys)
+        return dim.select(*keys, "product_id"), keys
+    return dim.groupBy(*keys).agg(F.min("product_id").alias("product_id")), keys
+
+
+def customer_lookup(dim: DataFrame) -> _Lookup:
+    """Customers by name."""
+    return dim.select("customer_name", "customer_id"), ["customer_name"]
+
+
+def location_lookup(dim: DataFrame) -> _Lookup:
+    """Locations by country and city."""
+    return dim.select("country", "city", "location_id"), ["country", "city"]
+
+
+def resolve_product(df: DataFrame, dim: DataFrame, profile: Profile) -> DataFrame:
+    """Add ``product_id``."""
+    return lookup_joins(df, [product_lookup(dim, profile)])
 
 
 def resolve_customer(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Add ``customer_id`` by customer name."""
-    return lookup_join(df, dim.select("customer_name", "customer_id"), ["customer_name"])
+    return lookup_joins(df, [customer_lookup(dim)])
 
 
 def resolve_location(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Add ``location_id`` by country and city."""
-    return lookup_join(
-        df, dim.select("country", "city", "location_id"), ["country", "city"]
-    )
+    return lookup_joins(df, [location_lookup(dim)])
 
 
 def date_parts(load_ts: Column) -> list[Column]:

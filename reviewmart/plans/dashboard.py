@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmart.functions.bands import age_group
 from reviewmart.functions.links import source_type, source_url
-from reviewmart.operators.lookup import lookup_join
+from reviewmart.operators.lookup import lookup_joins
 from reviewmart.sources.warehouse import Star
 
 
@@ -18,7 +18,7 @@ def star_stats(star: Star) -> DataFrame:
     )
     customers = star.dim_customer.select("customer_id", "gender", "age")
     products = star.dim_product.select("product_id", "category")
-    joined = lookup_join(lookup_join(fact, customers, ["customer_id"]), products, ["product_id"])
+    joined = lookup_joins(fact, [(customers, ["customer_id"]), (products, ["product_id"])])
     return joined.select(
         F.col("sentiment_label").alias("Sentiment"),
         F.col("gender").alias("Gender"),
@@ -51,14 +51,14 @@ def gender_sentiment(star: Star) -> DataFrame:
     """Reviews per gender and sentiment."""
     counted = _counted(star, F.col("customer_id"), F.col("sentiment_label").alias("Sentiment"))
     customers = star.dim_customer.select("customer_id", F.col("gender").alias("Gender"))
-    return _sums(lookup_join(counted, customers, ["customer_id"]), "Gender", "Sentiment")
+    return _sums(lookup_joins(counted, [(customers, ["customer_id"])]), "Gender", "Sentiment")
 
 
 def category_sentiment(star: Star) -> DataFrame:
     """Reviews per product category and sentiment."""
     counted = _counted(star, F.col("product_id"), F.col("sentiment_label").alias("Sentiment"))
     products = star.dim_product.select("product_id", F.col("category").alias("Category"))
-    return _sums(lookup_join(counted, products, ["product_id"]), "Category", "Sentiment")
+    return _sums(lookup_joins(counted, [(products, ["product_id"])]), "Category", "Sentiment")
 
 
 def reason_sentiment(star: Star) -> DataFrame:
@@ -70,13 +70,13 @@ def age_group_counts(star: Star) -> DataFrame:
     """Reviews per age band of the stored customer."""
     counted = _counted(star, F.col("customer_id"))
     customers = star.dim_customer.select("customer_id", age_group(F.col("age")).alias("Age Group"))
-    return _sums(lookup_join(counted, customers, ["customer_id"]), "Age Group")
+    return _sums(lookup_joins(counted, [(customers, ["customer_id"])]), "Age Group")
 
 
 def _located(fact: DataFrame, star: Star) -> DataFrame:
     customers = star.dim_customer.select("customer_id", "gender", "age")
     locations = star.dim_location.select("location_id", "country")
-    return lookup_join(lookup_join(fact, customers, ["customer_id"]), locations, ["location_id"])
+    return lookup_joins(fact, [(customers, ["customer_id"]), (locations, ["location_id"])])
 
 
 def records(star: Star) -> DataFrame:

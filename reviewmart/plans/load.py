@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from reviewmart.functions.links import source_tag
 from reviewmart.operators.enrich import loadable, with_attributes
 from reviewmart.operators.keys import dense_keys, key_stored, number_rows
+from reviewmart.operators.lookup import lookup_joins
 from reviewmart.operators.members import first_wins_of_each, new_members
 from reviewmart.operators.resolve import (
+    customer_lookup,
     date_parts,
-    resolve_customer,
+    location_lookup,
+    product_lookup,
     resolve_date,
-    resolve_location,
-    resolve_product,
     timestamp,
 )
 from reviewmart.plans.totals import SourceTotals, Watch
@@ -98,10 +99,12 @@ def fact_rows(
     rows: DataFrame, star: Star, load_ts: datetime, profile: Profile
 ) -> DataFrame:
     """Resolve the four foreign keys and stamp the load time."""
-    rows = resolve_date(rows, star.dim_date, load_ts)
-    rows = resolve_product(rows, star.dim_product, profile)
-    rows = resolve_customer(rows, star.dim_customer)
-    rows = resolve_location(rows, star.dim_location)
+    lookups = [
+        product_lookup(star.dim_product, profile),
+        customer_lookup(star.dim_customer),
+        location_lookup(star.dim_location),
+    ]
+    rows = resolve_date(lookup_joins(rows, lookups), star.dim_date, load_ts)
     return rows.withColumn("load_timestamp", timestamp(load_ts))
 
 

@@ -81,6 +81,47 @@ def test_large_lookup_splits_hot_keys_and_keeps_every_row(spark, monkeypatch):
     assert "BroadcastHashJoin" in plan_of(small) and "Exchange hash" not in plan_of(small)
 
 
+def test_large_lookups_read_the_facts_once_and_salt_hot_keys(spark, monkeypatch):
+    rng = random.Random(6)
+    # A third of all rows share one key of each table; some keys are missing or null.
+    names = ["hot"] * 2000 + [f"n{rng.randrange(900)}" for _ in range(4000)] + [None] * 50
+    rows = [(i % 5000, k, rng.choice([7, rng.randrange(700)])) for i, k in enumerate(names)]
+    rows += rows[:3]
+    facts = stage(spark.createDataFrame(rows, "fact_no long, name string, city long"), "facts")
+    known = [(n, i) for i, n in enumerate(["hot", *(f"n{j}" for j in range(800))])]
+    people = stage(spark.createDataFrame(known, "name string, person long"), "people")
+    cities = stage(spark.range(600).select(F.col("id").alias("city"), (F.col("id") * 2).alias("v")), "cities")
+    tiny = stage(spark.createDataFrame([("hot", 1.5), ("n1", 2.5)], "name string, extra double"), "tiny")
+    ids = dict(known)
+    wanted = sorted(
+        (i, n, c, ids[n], 2 * c) for i, n, c in rows if n in ids and c is not None and c < 600
+    )
+    monkeypatch.setattr(L, "HOT_KEYS", 40)
+    lookups = [(people, ["name"]), (cities, ["city"])]
+    found = L.lookup_joins(facts, lookups, max_bytes=300)
+    plan = plan_of(found)
+    assert len(re.findall(r"FileScan parquet.*fact_no", plan)) == 1
+    assert plan.count("SortMergeJoin") == 2 and "NestedLoop" not in plan and "Cartesian" not in plan
+    columns = ["fact_no", "name", "city", "person", "v"]
+    assert sorted(tuple(r[c] for c in columns) for r in found.collect()) == wanted
+    # Hot keys: more than a fortieth of the rows; each is dealt over as many salts.
+    salts = {r.name: r["_salts"] for r in L._salts(facts, ["name"]).collect()}
+    assert set(salts) == {"hot"} and 13 <= salts["hot"] <= 15
+    sizes = [r["count"] for r in L._salted_join(
+        facts, people, ["name"], L._salts(facts, ["name"])
+    ).filter("name = 'hot'").groupBy(F.pmod(F.xxhash64("fact_no", "name", "city"), F.lit(salts["hot"]))).count().collect()]
+    assert len(sizes) == salts["hot"] and max(sizes) < 2 * sum(sizes) / len(sizes)
+    # Small tables are broadcast, and one large among small ones shuffles the facts once.
+    small = plan_of(L.lookup_joins(facts, lookups))
+    assert small.count("BroadcastHashJoin") == 2 and "Exchange hash" not in small
+    mixed = L.lookup_joins(facts, [(people, ["name"]), (tiny, ["name"])], max_bytes=300)
+    assert plan_of(mixed).count("SortMergeJoin") == 1
+    assert mixed.count() == sum(n in ("hot", "n1") for _, n, _ in rows)
+    empty = L.lookup_joins(facts.limit(0), lookups, max_bytes=0)
+    assert empty.count() == 0 and L.lookup_joins(facts, [(people.limit(0), ["name"])]).count() == 0
+    assert L.table_bytes(people.limit(0)) == 0 < L.table_bytes(tiny) <= 300
+
+
 # --- members ---------------------------------------------------------------------------
 
 
