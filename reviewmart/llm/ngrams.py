@@ -21,7 +21,7 @@ from reviewmart.session import stage
 #: Word positions of a shard; the number of shards grows with the corpus.
 SHARD_POSITIONS = 1_000_000
 #: Positions a task gathers before it sends them to the shards.
-FLUSH_POSITIONS = 2_000_000
+FLUSH_POSITIONS = 1_000_000
 #: The most frequent words, whose counts every task knows (1 MB).
 USUAL = 65_535
 #: Distinct words a task holds before it sends on their counts.
