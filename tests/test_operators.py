@@ -376,3 +376,22 @@ def test_few_sums_leave_scored_rows_where_they_lie(spark):
     df = stage(spark.createDataFrame(list(enumerate(TEXTS)), "id int, review_text string"), "r")
     plan = plan_of(S.linear_scores(df, I.test_model(spark), max_local_terms=0))
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_a_fit_sums_up_few_partitions(spark, sf, monkeypatch):
+    rows = I.table(spark, sf, "documents").join(I.table(spark, sf, "labels"), "doc_id")
+    rows = rows.select("doc_id", F.col("text").alias("_text"), F.col("quality").alias("label"))
+    seen = []
+
+    def fit(self, df):
+        seen.append(df.rdd.getNumPartitions())
+        return fitted(self, df)
+
+    fitted = S.LogisticRegression.fit
+    monkeypatch.setattr(S.LogisticRegression, "fit", fit)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        S.fit_sentiment(rows, "doc_id")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert seen == [S.FIT_PARTITIONS]
