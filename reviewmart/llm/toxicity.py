@@ -17,12 +17,11 @@ from reviewmart.session import stage
 #: Labelled rows of each class that are learned from; every FIFTH of them calibrates.
 ROWS_PER_CLASS = 4000
 FIFTH = 5
+#: From each count of a class is taken what the counts of both classes lead to expect of it and so many
+#: standard errors more, of a word's and of a pair's, but DISCOUNT at least. What is taken goes to the shared
+#: distribution, so words that are as frequent in both classes tell nothing, however many there are.
 DISCOUNT = 0.75
-#: A word keeps class counts of its own where its rates in the two classes differ by so many
-#: standard errors and by such a factor, and it follows so many different words. All others
-#: back off, in both classes, to what is shared. Words of a passage that many documents repeat
-#: always follow the same word, so the copies of a document tell nothing.
-ERRORS, FACTOR, FOLLOWED = 2.75, 4.5, 5
+WORD_ERRORS, PAIR_ERRORS = 2.5, 3.0
 THRESHOLD = 0.3
 #: Bytes of text scored at once.
 SCORED_BYTES = 1 << 20
@@ -84,9 +83,8 @@ class _Table:
         self.filter = np.zeros(1 << _BITS, bool)
         self.filter[(self.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
-    def find(self, keys: np.ndarray, missing: np.ndarray) -> np.ndarray:
-        out = np.empty((len(keys),) + self.values.shape[1:], self.values.dtype)
-        out[:] = missing
+    def find(self, keys: np.ndarray, missing: float) -> np.ndarray:
+        out = np.full(len(keys), missing)
         maybe = np.flatnonzero(self.filter[(keys >> np.uint64(64 - _BITS)).astype(np.int64)])
         at = np.searchsorted(self.keys, keys[maybe])
         hit = at < len(self.keys)
@@ -97,13 +95,17 @@ class _Table:
 
 @dataclass
 class ToxicityModel:
-    """log p(ordinary) and log p(toxic) of the words and word pairs that tell the classes apart.
+    """Kneser-Ney models of both classes, as log p(toxic) minus log p(ordinary).
 
-    Any other token has the shared probability in both classes.
+    A pair of which a class keeps a count has a ratio of its own. Any other token has that of its
+    word and that of the weights with which the word before it backs off; a word of which no class
+    keeps a count, also one never seen, has that of the weights of the shared distribution.
     """
 
     words: _Table
     pairs: _Table
+    contexts: _Table
+    other: float = 0.0
     slope: float = 1.0
     shift: float = 0.0
 
@@ -112,28 +114,20 @@ class ToxicityModel:
         words, first = word_hashes(data, offsets)
         if not len(words):
             return np.zeros(len(offsets) - 1)
-        _, key = _pairs(words, first)
-        logs = self.words.find(words, np.zeros(2))
-        known = self.pairs.find(key, np.full(2, np.nan))
-        logs = np.where(np.isnan(known), logs, known)
-        gain = np.concatenate([[0.0], np.cumsum(logs[:, 1] - logs[:, 0])])
+        before, key = _pairs(words, first)
+        logs = self.words.find(words, self.other) + self.contexts.find(before, 0.0)
+        known = self.pairs.find(key, np.nan)
+        gain = np.concatenate([[0.0], np.cumsum(np.where(np.isnan(known), logs, known))])
         return (gain[first[1:]] - gain[first[:-1]]) / np.maximum(np.diff(first), 1)
 
     def scores(self, ratios: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * ratios + self.shift, -500, 500)))
 
 
-def _apart(c0: str, c1: str, n0, n1):
-    """By how much two rates differ, as a log ratio and in standard errors."""
-    ratio = F.log((F.col(c1) + 0.5) / (n1 + 1)) - F.log((F.col(c0) + 0.5) / (n0 + 1))
-    return ratio, ratio / F.sqrt(1 / (F.col(c1) + 0.5) + 1 / (F.col(c0) + 0.5))
-
-
-def _discounted(count: np.ndarray, types: np.ndarray, total: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """Kneser-Ney's absolute discounting: what is taken off goes to the distribution below."""
-    total = np.maximum(total, 1)
-    held = np.minimum(DISCOUNT * types / total, 1)
-    return np.maximum(count - DISCOUNT, 0) / total + np.maximum(held, 1e-6) * below
+def _kept(count, expected, errors: float):
+    """What absolute discounting leaves of a count; the discount grows with what is expected."""
+    discount = F.greatest(F.lit(DISCOUNT), expected + F.lit(errors) * F.sqrt(expected + 1))
+    return F.greatest(count - discount, F.lit(0.0))
 
 
 def _calibrate(ratios: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -181,59 +175,77 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         .agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")),
         "counted",
     )
-    sizes = {r["toxic"]: r["n"] for r in texts.where("NOT held").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    pairs = counted.where("is_pair")
-    follows = pairs.groupBy(F.col("word").alias("name")).agg(
-        *(F.sum((F.col(f"c{y}") > 0).cast("long")).alias(f"n{y}") for y in (0, 1))
-    )
-    words = stage(counted.where("NOT is_pair").select("name", "c0", "c1").join(follows, "name"), "words")
-    total = words.agg(
-        *(F.coalesce(F.sum(f"n{y}"), F.lit(0)).alias(f"n{y}") for y in (0, 1)),
-        *(F.coalesce(F.sum((F.col(f"n{y}") > 0).cast("long")), F.lit(0)).alias(f"t{y}") for y in (0, 1)),
-    ).first()
-    by_rows, row_errors = _apart("c0", "c1", F.lit(sizes.get(False, 0)), F.lit(sizes.get(True, 0)))
-    _, errors = _apart("n0", "n1", F.lit(total["n0"]), F.lit(total["n1"]))
-    telling = words.where(
-        (F.abs(by_rows) > F.log(F.lit(FACTOR)))
-        & (F.abs(row_errors) > ERRORS)
-        & (F.abs(errors) > ERRORS)
-        & (F.signum(by_rows) == F.signum(errors))
-        & (F.when(by_rows > 0, F.col("n1")).otherwise(F.col("n0")) >= FOLLOWED)
-    )
-    contexts = pairs.groupBy("before").agg(
-        *(F.sum(f"c{y}").alias(f"t{y}") for y in (0, 1)),
-        *(F.sum((F.col(f"c{y}") > 0).cast("long")).alias(f"k{y}") for y in (0, 1)),
-    )
-    telling_pairs = pairs.join(telling.select(F.col("name").alias("word")), "word").join(contexts, "before").toPandas()
-    telling = telling.toPandas()
-    model = ToxicityModel(*_tables(telling, telling_pairs, total))
+    model = _models(counted)
     held = texts.where("held").select("text", "toxic").mapInArrow(_ratio_batches(model), "toxic boolean, ratio double")
     held = held.toPandas().sort_values(["toxic", "ratio"])
     model.slope, model.shift = _calibrate(held["ratio"].to_numpy(float), held["toxic"].to_numpy(bool))
     return model
 
 
-def _tables(words, pairs, total) -> tuple[_Table, _Table]:
-    """Class models of the telling words and of the pairs that end in one.
+def _models(counted: DataFrame) -> ToxicityModel:
+    """Class models of all words and pairs, from their documents of each class (``c0, c1``).
 
-    A word's counts are those of the different words before it; what discounting frees goes to
-    the shared distribution. A pair's frees what goes to its word in the same class.
+    A word counts once for each document, but no more often than it has different words before
+    it: words of a passage that many documents repeat always follow the same word, so copies of a
+    document tell nothing. Shares are taken relative to those of the shared distribution.
     """
-    everything = max(total["n0"] + total["n1"], 1)
-    shared = (words["n0"] + words["n1"]).to_numpy(float) / everything
-    row = {name: i for i, name in enumerate(words["name"])}
-    ends = np.array([row[name] for name in pairs["word"]], np.int64)
-    sides, pair_sides = [], []
-    for y in (0, 1):
-        p = _discounted(words[f"n{y}"].to_numpy(float), float(total[f"t{y}"]), float(total[f"n{y}"]), shared)
-        sides.append(np.log(p))
-        size = pairs[f"t{y}"].to_numpy(float)
-        own = _discounted(pairs[f"c{y}"].to_numpy(float), pairs[f"k{y}"].to_numpy(float), size, p[ends])
-        pair_sides.append(np.log(np.where(size > 0, own, p[ends])))
-    return (
-        _Table(words["name"].to_numpy(np.int64).view(np.uint64), np.stack(sides, 1).reshape(-1, 2)),
-        _Table(pairs["name"].to_numpy(np.int64).view(np.uint64), np.stack(pair_sides, 1).reshape(-1, 2)),
+    pairs = counted.where("is_pair")
+    follows = pairs.groupBy(F.col("word").alias("name")).agg(
+        *(F.sum((F.col(f"c{y}") > 0).cast("long")).alias(f"n{y}") for y in (0, 1))
+    )
+    words = counted.where("NOT is_pair").join(follows, "name").select(
+        "name", *(F.least(f"c{y}", f"n{y}").cast("double").alias(f"m{y}") for y in (0, 1))
+    )
+    size = words.agg(*(F.coalesce(F.sum(f"m{y}"), F.lit(0.0)) for y in (0, 1))).first()
+    if not size[0] or not size[1]:
+        none = _Table(np.zeros(0, np.uint64), np.zeros(0))
+        return ToxicityModel(none, none, none)
+    share = (F.col("m0") + F.col("m1")) / F.lit(size[0] + size[1])
+    words = stage(
+        words.withColumn("share", share).withColumns(
+            {f"k{y}": _kept(F.col(f"m{y}"), F.col("share") * F.lit(size[y]), WORD_ERRORS) for y in (0, 1)}
+        ),
+        "words",
     )
+    kept = words.agg(F.sum("k0"), F.sum("k1")).first()
+    back = [max(1 - kept[y] / size[y], 1e-6) for y in (0, 1)]
+    gains = {f"g{y}": F.col(f"k{y}") / (F.col("share") * F.lit(size[y])) + F.lit(back[y]) for y in (0, 1)}
+    words = words.withColumns(gains).withColumn("ratio", F.log("g1") - F.log("g0"))
+
+    totals = pairs.groupBy("before").agg(*(F.sum(f"c{y}").alias(f"t{y}") for y in (0, 1)))
+    pool = (F.col("c0") + F.col("c1")) / (F.col("t0") + F.col("t1"))
+    pairs = (
+        pairs.join(words.select(F.col("name").alias("word"), "g0", "g1"), "word")
+        .join(totals, "before")
+        .withColumn("pool", pool)
+        .withColumns(
+            {f"k{y}": _kept(F.col(f"c{y}"), F.col(f"t{y}") * F.col("pool") * F.col(f"g{y}"), PAIR_ERRORS) for y in (0, 1)}
+        )
+        .where("k0 > 0 OR k1 > 0")
+    )
+    pairs = stage(pairs.select("before", "name", "pool", "g0", "g1", "t0", "t1", "k0", "k1"), "pairs")
+
+    def weight(y: int):
+        return F.greatest(1 - F.sum(f"k{y}") / F.greatest(F.max(f"t{y}"), F.lit(1)), F.lit(1e-6)).alias(f"b{y}")
+
+    contexts = pairs.groupBy("before").agg(weight(0), weight(1))
+    own = {
+        f"q{y}": F.col(f"k{y}") / (F.greatest(f"t{y}", F.lit(1)) * F.col("pool")) + F.col(f"b{y}") * F.col(f"g{y}")
+        for y in (0, 1)
+    }
+    pairs = pairs.join(contexts, "before").withColumns(own)
+    return ToxicityModel(
+        _collected(words.where("k0 > 0 OR k1 > 0").select("name", "ratio")),
+        _collected(pairs.select("name", F.log("q1") - F.log("q0"))),
+        _collected(contexts.select("before", F.log("b1") - F.log("b0"))),
+        float(np.log(back[1] / back[0])),
+    )
+
+
+def _collected(ratios: DataFrame) -> _Table:
+    """Keys and ratios as a table; the sample bounds their number."""
+    found = ratios.toPandas()
+    return _Table(found.iloc[:, 0].to_numpy(np.int64).view(np.uint64), found.iloc[:, 1].to_numpy(float))
 
 
 def _ratio_batches(model: ToxicityModel):

@@ -236,6 +236,16 @@ def test_toxicity_on_edges(spark, edges):
     assert toxicity.scored(edges.where("false"), model).count() == 0
 
 
+def test_toxicity_learns_words_seen_in_few_places(spark):
+    rows = [(i, f"w{i} a{i % 4} zork v{i}", 1) for i in range(40)]
+    rows += [(i, f"w{i} a{i % 4} b{i % 7} v{i}", 0) for i in range(40, 640)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, docs.select("doc_id", "toxic"))
+    asked = spark.createDataFrame([(1, "u zork v"), (2, "u b3 v")], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in toxicity.scored(asked, model).collect()}
+    assert score[1] > toxicity.THRESHOLD > score[2]
+
+
 def least_of(links, names):
     parent = {n: n for n in names}
 
