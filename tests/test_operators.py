@@ -395,3 +395,16 @@ def test_a_fit_sums_up_few_partitions(spark, sf, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert seen == [S.FIT_PARTITIONS]
+
+
+@pytest.mark.parametrize("rows", [500_000, 0])
+def test_tfidf_deals_texts_over_tasks_by_their_bytes(spark, sf, monkeypatch, rows):
+    texts = I.table(spark, sf, "documents").filter("doc_id < 40")
+    wanted = tuples(S.tfidf(texts, "doc_id").select("doc_id", "term", "tf"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(S, "TASK_BYTES", size // 29)
+    monkeypatch.setattr(L, "MAX_BROADCAST_ROWS", rows)
+    monkeypatch.setattr(L, "TASK_ROWS", 100)
+    dealt = S.tfidf(texts, "doc_id")
+    assert "hashpartitioning(doc_id#" in plan_of(dealt) and ", 30), REPARTITION_BY_NUM" in plan_of(dealt)
+    assert tuples(dealt.select("doc_id", "term", "tf")) == wanted
