@@ -1,10 +1,13 @@
+import glob
 import os
 from datetime import datetime
 
+import pyarrow.parquet as parquet
 import pytest
 from pyspark.sql import functions as F
 
 from checks import inputs as I
+from checks import queries
 from reviewmart.operators import quality as Q
 from reviewmart.operators.enrich import enrich, loadable, with_attributes
 from reviewmart.operators.keys import dense_keys, in_order, number_rows
@@ -422,3 +425,25 @@ def test_a_fitted_model_scores_after_and_inside_an_observed_load(spark, path):
     assert rows(loaded.star.fact_reviews, "review_text", "sentiment_label") == [
         ("awful", "Negative"), ("good", "Positive"), ("love", "Positive"),
     ]
+
+
+def test_parts_have_small_row_groups(spark, path, monkeypatch):
+    monkeypatch.setattr("reviewmart.sources.warehouse.ROW_GROUP_BYTES", 20_000)
+    rows = spark.range(20_000).select(F.col("id").alias("location_id"), F.md5(F.col("id").cast("string")).alias("country"), F.lit("x").alias("city"))
+    write_part(rows.coalesce(1), path, "dim_location", 1)
+    found = glob.glob(f"{path}/dim_location/load_id=1/*.parquet")
+    assert len(found) == 1 and parquet.ParquetFile(found[0]).num_row_groups > 3
+
+
+def test_a_copied_warehouse_is_read_in_small_splits(spark, sf, monkeypatch):
+    read = []
+
+    def read_star(session, path):
+        read.append(session.conf.get("spark.sql.files.maxPartitionBytes"))
+        return stored(session, path)
+
+    stored = queries.read_star
+    monkeypatch.setattr(queries, "read_star", read_star)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    queries._copied(spark, sf)
+    assert read == ["8m"] and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
