@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Values whose low bits are packed at once.
+BLOCK = 1 << 18
+
 
 class EliasFano:
     """A non-decreasing sequence of 64-bit values in about 2 + log2(universe / length) bits each.
@@ -30,12 +33,13 @@ class EliasFano:
 
     def _packed(self, values: np.ndarray) -> np.ndarray:
         out = np.zeros(-(-self.n * self.shift // 64) + 2, np.uint64)
-        low = values & np.uint64((1 << self.shift) - 1)
-        at = np.arange(self.n, dtype=np.uint64) * np.uint64(self.shift)
-        word, bit = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
-        np.bitwise_or.at(out, word, low << bit)
-        over = np.flatnonzero(bit + np.uint64(self.shift) > 64)
-        np.bitwise_or.at(out, word[over] + 1, low[over] >> (np.uint64(64) - bit[over]))
+        for begin in range(0, self.n, BLOCK):
+            low = values[begin : begin + BLOCK] & np.uint64((1 << self.shift) - 1)
+            at = np.arange(begin, begin + len(low), dtype=np.uint64) * np.uint64(self.shift)
+            word, bit = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
+            np.bitwise_or.at(out, word, low << bit)
+            over = np.flatnonzero(bit + np.uint64(self.shift) > 64)
+            np.bitwise_or.at(out, word[over] + 1, low[over] >> (np.uint64(64) - bit[over]))
         return out
 
     def arrays(self) -> dict[str, np.ndarray]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ from reviewmart.session import stage
 SHARD_POSITIONS = 1_000_000
 #: Positions a task gathers before it sends them to the shards.
 FLUSH_POSITIONS = 1_000_000
+#: Positions of a shard that are worked on at once; one word's training positions are taken together.
+BLOCK_POSITIONS = 1 << 18
 #: The most frequent words, whose counts every task knows (1 MB).
 USUAL = 65_535
 #: Distinct words a task holds before it sends on their counts.
@@ -83,7 +85,7 @@ def _pack(arrays: list[np.ndarray]) -> bytes:
     return zstandard.compress(head + b"".join(a.tobytes() for a in arrays), 1)
 
 
-def _unpack(payload: bytes, kinds: list) -> list[np.ndarray]:
+def _unpack(payload: bytes | pa.Buffer, kinds: list) -> list[np.ndarray]:
     raw = zstandard.decompress(payload)
     count = int(np.frombuffer(raw, np.int64, 1)[0])
     sizes = np.frombuffer(raw, np.int64, count, 8)
@@ -339,6 +341,82 @@ class Shared:
     degree: np.ndarray
 
 
+def _word_blocks(word: np.ndarray, before: np.ndarray, after: np.ndarray, unigram: np.ndarray, shared: Shared | None):
+    """Positions and shared successors by blocks of whole words, in the order of words; at least one
+    block. Words are independent in a trie, so only a block's intermediate arrays are held at once."""
+    order = np.argsort(word, kind="stable")
+    at, n = 0, len(word)
+    own = None if shared is None else np.argsort(shared.word, kind="stable")
+    told = 0
+    while True:
+        stop = n
+        if at + BLOCK_POSITIONS < n:
+            # The words that end within the block, or else the one that begins it.
+            stop = int(np.searchsorted(word, word[order[at + BLOCK_POSITIONS]], "left", order))
+            if stop <= at:
+                stop = int(np.searchsorted(word, word[order[at]], "right", order))
+        held = order[at:stop]
+        part = None
+        if shared is not None:
+            upto = len(own) if stop == n else int(np.searchsorted(shared.word, word[order[stop]], "left", own))
+            some = own[told:upto]
+            told = upto
+            if len(some):
+                part = Shared(*(getattr(shared, f.name)[some] for f in fields(Shared)))
+        yield word[held], before[held], after[held], unigram[held], part
+        at = stop
+        if at >= n:
+            return
+
+
+def _counted(word: np.ndarray, before: np.ndarray, after: np.ndarray, unigram: np.ndarray, shared: Shared | None) -> dict:
+    """The levels of a trie of some words, and the probabilities and weights of their nodes."""
+    size = len(word)
+    if shared is not None:
+        word, after, unigram = (
+            np.concatenate(x) for x in ((word, shared.word), (after, shared.after), (unigram, shared.unigram))
+        )
+    names, rank = np.unique(word, return_inverse=True)
+    parent = rank.astype(np.uint64) << np.uint64(32)
+    successors, first, succ = np.unique(parent | after.astype(np.uint64), return_index=True, return_inverse=True)
+    also, rank, parent, succ = succ[size:], rank[:size], parent[:size], succ[:size]
+    contexts, ctx = np.unique(parent | before.astype(np.uint64), return_inverse=True)
+    heads = np.arange(len(names) + 1, dtype=np.uint64) << np.uint64(32)
+    to_successors, to_contexts = np.searchsorted(successors, heads), np.searchsorted(contexts, heads)
+    degree = np.diff(to_successors)
+    base = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.diff(to_contexts) * degree)])
+    place = base[rank] + (ctx - to_contexts[rank]) * degree[rank] + succ - to_successors[rank]
+    thirds, one, times = np.unique(place, return_index=True, return_counts=True)
+
+    lower = np.nan_to_num(10.0 ** unigram[first])
+    owner = (successors >> np.uint64(32)).astype(np.int64)
+    kinds = np.bincount(succ[one], minlength=len(successors))
+    mass = np.bincount(owner, weights=kinds, minlength=len(names))
+    spread = degree.copy()
+    if shared is not None:
+        kinds[also] = shared.kinds
+        mass[owner[also]], spread[owner[also]] = shared.mass, shared.degree
+    weight = DISCOUNT * spread / np.maximum(mass, 1)
+    second = (kinds - DISCOUNT) / mass[owner] + weight[owner] * lower
+    total = np.bincount(ctx, minlength=len(contexts))
+    weight3 = DISCOUNT * np.bincount(ctx[one], minlength=len(contexts)) / np.maximum(total, 1)
+    third = (times - DISCOUNT) / total[ctx[one]] + weight3[ctx[one]] * second[succ[one]]
+    return {
+        "words": names,
+        "counts": np.bincount(rank, minlength=len(names)),
+        "successors": successors,
+        "contexts": contexts,
+        "thirds": thirds,
+        "to_successors": to_successors,
+        "to_contexts": to_contexts,
+        "base": base,
+        "second": second,
+        "third": third,
+        "weight": weight,
+        "weight3": weight3,
+    }
+
+
 class Trie:
     """A model of what follows the words of one shard.
 
@@ -354,51 +432,31 @@ class Trie:
         """Counts of positions: hashes of the word (64 bits), of the neighbours (32 bits), and
         log10 unigram probability of the next word (nan where it is not known here). ``shared``
         replaces what the positions of split words would say about their successors."""
-        size = len(word)
-        if shared is not None:
-            word, after, unigram = (
-                np.concatenate(x) for x in ((word, shared.word), (after, shared.after), (unigram, shared.unigram))
-            )
-        names, rank = np.unique(word, return_inverse=True)
-        parent = rank.astype(np.uint64) << np.uint64(32)
-        successors, first, succ = np.unique(parent | after.astype(np.uint64), return_index=True, return_inverse=True)
-        also, rank, parent, succ = succ[size:], rank[:size], parent[:size], succ[:size]
-        self.counts = np.bincount(rank, minlength=len(names))
-        contexts, ctx = np.unique(parent | before.astype(np.uint64), return_inverse=True)
-        heads = np.arange(len(names) + 1, dtype=np.uint64) << np.uint64(32)
-        to_successors, to_contexts = np.searchsorted(successors, heads), np.searchsorted(contexts, heads)
-        degree = np.diff(to_successors)
-        base = np.concatenate([[0], np.cumsum(np.diff(to_contexts) * degree)])
-        place = base[rank] + (ctx - to_contexts[rank]) * degree[rank] + succ - to_successors[rank]
-        thirds, one, times = np.unique(place, return_index=True, return_counts=True)
-
-        lower = np.nan_to_num(10.0 ** unigram[first])
-        owner = (successors >> np.uint64(32)).astype(np.int64)
-        kinds = np.bincount(succ[one], minlength=len(successors))
-        mass = np.bincount(owner, weights=kinds, minlength=len(names))
-        spread = degree.copy()
-        if shared is not None:
-            kinds[also] = shared.kinds
-            mass[owner[also]], spread[owner[also]] = shared.mass, shared.degree
-        weight = DISCOUNT * spread / np.maximum(mass, 1)
-        second = (kinds - DISCOUNT) / mass[owner] + weight[owner] * lower
-        total = np.bincount(ctx, minlength=len(contexts))
-        weight3 = DISCOUNT * np.bincount(ctx[one], minlength=len(contexts)) / np.maximum(total, 1)
-        third = (times - DISCOUNT) / total[ctx[one]] + weight3[ctx[one]] * second[succ[one]]
-
-        self.sequences = {
-            "words": EliasFano(names),
-            "successors": EliasFano(successors),
-            "contexts": EliasFano(contexts),
-            "thirds": EliasFano(thirds),
-            "to_successors": EliasFano(to_successors),
-            "to_contexts": EliasFano(to_contexts),
-            "base": EliasFano(base),
-        }
+        parts = [_counted(*one) for one in _word_blocks(word, before, after, unigram, shared)]
+        places, pairs, contexts, words = 0, 0, 0, 0
+        for part in parts:
+            # Of the block, then of the shard.
+            part["successors"] += np.uint64(words << 32)
+            part["contexts"] += np.uint64(words << 32)
+            part["thirds"] += places
+            for name, add in (("to_successors", pairs), ("to_contexts", contexts), ("base", places)):
+                part[name] = part[name] + add
+            words += len(part["words"])
+            pairs, contexts, places = (int(part[k][-1]) for k in ("to_successors", "to_contexts", "base"))
+            if part is not parts[-1]:
+                for name in ("to_successors", "to_contexts", "base"):
+                    part[name] = part[name][:-1]
+
+        def whole(name: str) -> np.ndarray:
+            return np.concatenate([part.pop(name) for part in parts])
+
+        self.counts = whole("counts")
         self.bytes: dict[str, np.ndarray] = {}
         self.levels: dict[str, np.ndarray] = {}
-        for name, p in (("second", second), ("third", third), ("weight", weight), ("weight3", weight3)):
-            self.bytes[name], self.levels[name] = _quantised(np.log10(np.maximum(p, 1e-300)))
+        for name in ("second", "third", "weight", "weight3"):
+            self.bytes[name], self.levels[name] = _quantised(np.log10(np.maximum(whole(name), 1e-300)))
+        names = ("words", "successors", "contexts", "thirds", "to_successors", "to_contexts", "base")
+        self.sequences = {name: EliasFano(whole(name)) for name in names}
         self._map()
 
     def _map(self) -> None:
@@ -470,6 +528,27 @@ def _shared(usual: Usual, pairs: list, own_code: np.ndarray, after: np.ndarray,
     return Shared(usual.hashes[code - 1], following, unigram[place], kinds, usual.mass[code], usual.degree[code])
 
 
+def _emptied(column: list[np.ndarray]) -> list[np.ndarray]:
+    """The arrays of a list, which holds them no longer."""
+    held = column[:]
+    column.clear()
+    return held
+
+
+def _trained(
+    usual: Usual, pairs: list, word: np.ndarray, before: np.ndarray, after: np.ndarray, code: np.ndarray, learn: np.ndarray
+) -> Trie:
+    """The trie of the positions to be learned from; all of them tell the unigrams of shared pairs."""
+    unigram, own_code = np.empty(len(word)), np.empty(len(word), np.int64)
+    for at in range(0, len(word), BLOCK_POSITIONS):
+        part = slice(at, at + BLOCK_POSITIONS)
+        unigram[part] = usual.log_unigram(code[part].astype(np.int64))
+        own_code[part] = usual.code(word[part])
+    shared = _shared(usual, pairs, own_code, after, unigram) if pairs else None
+    del own_code
+    return Trie(word[learn], before[learn], after[learn], unigram[learn], shared)
+
+
 def _score_shard(usual: Usual):
     """Build a shard's trie from its training positions and score all its positions by it."""
 
@@ -479,37 +558,41 @@ def _score_shard(usual: Usual):
                 [run["flush"].combine_chunks(), pa.array([True] * run.num_rows), run["payload"].combine_chunks()],
                 names=["flush", "about", "payload"],
             )
-        flushes_in, payloads_in = run["flush"].to_pylist(), run["payload"].to_pylist()
+        flushes_in, payloads_in = run["flush"].to_pylist(), [p.as_buffer() for p in run["payload"]]
         pairs = [_unpack(p, _PAIRS) for f, p in zip(flushes_in, payloads_in) if f == _PAIR_FLUSH]
         flushes_in, payloads_in = flushes_in[len(pairs) :], payloads_in[len(pairs) :]
-        pieces = [_unpack(p, _SEGMENT) for p in payloads_in]
         usual_high = np.append((usual.hashes >> np.uint64(32)).astype(np.uint32), np.uint32(0))
-        begin_high = np.uint32(int(_BEGIN) >> 32)
-        rows, outs, words, befores, afters, codes, lows = [], [], [], [], [], [], []
-        for delta, bits, own, word, a, c, rare_a, rare_c, low_c in pieces:
+        deltas, lows = [], []
+        columns: list[list[np.ndarray]] = [[], [], [], [], []]
+        for payload in payloads_in:
+            delta, bits, own, word, a, c, rare_a, rare_c, low_c = _unpack(payload, _SEGMENT)
             out = np.unpackbits(bits, count=len(word)).astype(bool)
-            before, after, low = usual_high[a.astype(np.int64) - 1], usual_high[c.astype(np.int64) - 1], np.zeros(len(word), np.uint32)
+            before, after = usual_high[a.astype(np.int64) - 1], usual_high[c.astype(np.int64) - 1]
             before[a == 0], after[c == 0] = rare_a, rare_c
-            low[(c == 0) & out] = low_c
-            rows.append(np.cumsum(delta.astype(np.int64)))
-            for target, value in ((outs, out), (words, own[word]), (befores, before), (afters, after), (codes, c.astype(np.int64)), (lows, low)):
+            deltas.append(delta)
+            lows.append(low_c)
+            for target, value in zip(columns, (out, own[word], before, after, c)):
                 target.append(value)
-        out, word, before, after, code = (np.concatenate(x) for x in (outs, words, befores, afters, codes))
-        unigram = usual.log_unigram(code)
-        learn = ~out
-        own_code = usual.code(word)
-        shared = _shared(usual, pairs, own_code, after, unigram) if pairs else None
-        trie = Trie(word[learn], before[learn], after[learn], unigram[learn], shared)
-        rank = trie.sequences["words"].find(word)
-        value, open_ = trie.score(rank, before, after)
-        value += np.where(open_ & (code > 0), unigram, 0.0)
-        wanting = open_ & (code == 0)
-        count = np.where(own_code > 0, np.append(usual.counts, 0)[own_code - 1], np.append(trie.counts, 0)[rank])
-        gain = np.log10(count + 0.5)
+        out, word, before, after, code = (np.concatenate(_emptied(column)) for column in columns)
+        trie = _trained(usual, pairs, word, before, after, code, ~out)
+        value, wanting = np.empty(len(word)), np.empty(len(word), bool)
+        count = np.empty(len(word), np.int64)
+        for at in range(0, len(word), BLOCK_POSITIONS):
+            part = slice(at, at + BLOCK_POSITIONS)
+            rank = trie.sequences["words"].find(word[part])
+            value[part], open_ = trie.score(rank, before[part], after[part])
+            codes = code[part].astype(np.int64)
+            value[part] += np.where(open_ & (codes > 0), usual.log_unigram(codes), 0.0)
+            wanting[part] = open_ & (codes == 0)
+            own_code = usual.code(word[part])
+            count[part] = np.where(own_code > 0, np.append(usual.counts, 0)[own_code - 1], np.append(trie.counts, 0)[rank])
         flushes, payloads, at = [], [], 0
-        for flush, row, low in zip(flushes_in, rows, lows):
-            part = slice(at, at + len(row))
-            at += len(row)
+        for flush, delta, low_c in zip(flushes_in, deltas, lows):
+            part = slice(at, at + len(delta))
+            at += len(delta)
+            row = np.cumsum(delta.astype(np.int64))
+            low = np.zeros(len(row), np.uint32)
+            low[(code[part] == 0) & out[part]] = low_c
             names, place = np.unique(row, return_inverse=True)
             lack = np.flatnonzero(wanting[part])
             flushes.append(flush)
@@ -518,7 +601,7 @@ def _score_shard(usual: Usual):
                     [
                         names,
                         np.bincount(place, weights=value[part]),
-                        np.bincount(place, weights=gain[part]),
+                        np.bincount(place, weights=np.log10(count[part] + 0.5)),
                         np.bincount(place, weights=count[part] > 0).astype(np.int64),
                         row[lack],
                         (after[part][lack].astype(np.uint64) << np.uint64(32)) | low[lack],

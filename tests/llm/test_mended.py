@@ -1,11 +1,14 @@
 """Inputs that once gave wrong rows or ended a job."""
 
 import json
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from reviewmart.llm import langid, lattice, toolcalls
+from reviewmart.llm import langid, lattice, ngrams, toolcalls
 from reviewmart.llm.common import find_package
 
 
@@ -122,3 +125,47 @@ def test_language_model_equals_a_plain_one(spark):
     assert set(np.flatnonzero(model.weights.any(axis=1)).tolist()) <= set(idf)
     found = langid.predicted(df.withColumn("score", F.lit("x")), model).collect()
     assert sum(r["lang_pred"] == r["lang"] for r in found) >= 6
+
+
+@pytest.mark.parametrize("block", [1, 7, 100, 10**6])
+def test_a_trie_is_the_same_in_any_blocks(monkeypatch, block):
+    rng = np.random.default_rng(4)
+    word = (rng.integers(1, 30, 500) * rng.integers(1, 3, 500)).astype(np.uint64)
+    before, after = (rng.integers(1, 12, 500).astype(np.uint32) for _ in range(2))
+    # Pairs that the positions hold, and one word that only these tell of.
+    n = 20
+    shared = ngrams.Shared(np.append(word[: n - 1], np.uint64(99)), after[:n], np.full(n, -2.0), np.full(n, 3), np.full(n, 60), np.full(n, 20))
+    pair = np.unique(shared.word << np.uint64(32) | shared.after, return_index=True)[1]
+    shared = ngrams.Shared(*(getattr(shared, k)[pair] for k in ("word", "after", "unigram", "kinds", "mass", "degree")))
+    asked = np.tile(np.arange(14, dtype=np.uint32), 14)
+    for told in (None, shared):
+        scores = []
+        for size in (10**9, block):
+            monkeypatch.setattr(ngrams, "BLOCK_POSITIONS", size)
+            trie = ngrams.Trie(word, before, after, np.full(500, -2.0), told)
+            names = np.append(np.unique(word), np.array([99, 1000], np.uint64))
+            rank = np.repeat(trie.sequences["words"].find(names), len(asked))
+            value, open_ = trie.score(rank, np.tile(np.repeat(asked[:14], 14), len(names)), np.tile(asked, len(names)))
+            scores.append((rank.tolist(), trie.counts.tolist(), value.tolist(), open_.tolist()))
+        assert scores[0] == scores[1]
+
+
+def test_a_shard_takes_little_memory_for_a_position(monkeypatch):
+    n = 200_000
+    rng = np.random.default_rng(5)
+    words = ngrams.mix(rng.integers(1, 4000, n).astype(np.uint64))
+    names, counts = np.unique(words, return_counts=True)
+    usual = ngrams.Usual(names, counts, n, len(names), 1)
+    first = np.arange(0, n + 1, 100)
+    before, after = ngrams._neighbours(words, first)
+    held = np.arange(n // 100) % 5 == 1
+    docs = [(pa.array(np.arange(n // 100)), held, np.diff(first), words[first[:-1]])]
+    sent = list(ngrams._flush(usual, 0, docs, [(np.arange(n) // 100, np.repeat(held, 100), before, words, after)]))
+    run = pa.Table.from_batches(sent).filter(pa.array([s >= 0 for b in sent for s in b.column(0).to_pylist()]))
+    monkeypatch.setattr(ngrams, "BLOCK_POSITIONS", 5000, raising=False)
+    tracemalloc.start()
+    found = ngrams._score_shard(usual)(run)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 339 bytes while the whole shard's intermediate arrays were held.
+    assert found.num_rows == 1 and peak < 180 * n
