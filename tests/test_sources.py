@@ -2,6 +2,7 @@ import html
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +214,27 @@ def test_text_columns_without_a_telling_name(spark, tmp_path):
     write(tmp_path, "3.csv", "id,n\n1,2\n")
     with pytest.raises(ValueError):
         C.read_texts(spark, C.dataset_files(spark, str(tmp_path)))
+
+
+def test_plain_csv_lines_are_not_looked_at_one_by_one(monkeypatch):
+    """Nor changed: a carriage return at the end goes, empty lines give no record."""
+    looked = []
+    ends_inside = R._ends_inside
+    monkeypatch.setattr(R, "_ends_inside", lambda line, inside: looked.append(line) or ends_inside(line, inside))
+    plain = ['1,"late, bad"', "2,nice", '"","",x\r', "", "\r", 'a,"b"\r\r'] * 500
+    # A quote inside an unquoted cell is a character; a doubled one and a line break need a closer look.
+    hard = ['3,a"b', '4,"say ""no"""', '5,"two', 'lines, ""both""",x', '6,"y, z"']
+
+    def batches(lines, **more):
+        n = len(lines)
+        columns = {"value": lines, "_file": ["f"] * n, "_start": [7] * n, **{k: [v] * n for k, v in more.items()}}
+        return iter([pa.RecordBatch.from_pydict(columns)])
+
+    (effect,) = [r for b in R._effects(batches(plain)) for r in b.to_pylist()]
+    assert (effect["after_outside"], effect["after_inside"]) == (False, False)
+    records = [r for b in R._records(batches(plain, inside=False)) for r in b.to_pylist()]
+    assert [r["record"] for r in records] == ['1,"late, bad"', "2,nice", '"","",x', 'a,"b"\r'] * 500
+    assert [r["_position"] for r in records] == list(range(2000)) and {r["kind"] for r in records} == {R._WHOLE}
+    assert len(looked) < 10
+    mixed = [r["record"] for b in R._records(batches(hard + plain[:2], inside=False)) for r in b.to_pylist()]
+    assert mixed == [*hard[:2], "\n".join(hard[2:4]), hard[4], *plain[:2]]
